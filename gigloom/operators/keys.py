@@ -29,9 +29,15 @@ def _list(x):
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def row_bin(df: DataFrame, keys, bins: int) -> Column:
+    """A bin per row from a few columns other than the keys, so column pruning still works."""
+    others = [c for c in df.columns if c not in keys][:3]
+    return F.pmod(F.xxhash64(*others), F.lit(bins)) if others else F.lit(0).cast("bigint")
+
+
 def _bin(df: DataFrame, keys) -> Column:
     empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return F.when(empty, F.pmod(F.xxhash64(*df.columns), F.lit(NULL_BINS)) + 1).otherwise(F.lit(0))
+    return F.when(empty, row_bin(df, keys, NULL_BINS) + 1).otherwise(F.lit(0).cast("bigint"))
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gigloom.functions.text import col, let
+from gigloom.operators.keys import lookup_join
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -58,20 +59,20 @@ def nearest(df: DataFrame, vec: str, categories: DataFrame, threshold: float, de
     return hit.withColumn(to, label).drop("_near")
 
 
-def _by_block(df, vec, categories, block):
+def _by_block(df, vec, categories, block, salts=64):
+    """Best category per distinct vector, one block of categories at a time."""
     blocks = (categories.withColumn("_block", F.floor(F.col("rank") / block))
-              .groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("rank", "category", "vec"))).alias("_cats")))
+              .groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("rank", "category", "vec"))).alias("_cats"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     top = categories.agg(F.max("rank")).first()[0]
-    rows = (df.withColumn("_id", F.monotonically_increasing_id())
-            .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(top // block)))))
+    asked = (df.select(vec).where(F.col(vec).isNotNull()).distinct()
+             .withColumn("_salt", F.pmod(F.hash(vec), F.lit(salts)))
+             .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(top // block).cast("bigint")))))
 
     @F.pandas_udf("struct<score:double,rank:int,label:string>")
     def best(vectors: pd.Series, cats: pd.Series) -> pd.DataFrame:
         out = []
         for v, group in zip(vectors, cats):
-            if v is None or group is None:
-                out.append((None, None, None))
-                continue
             m = np.stack([c["vec"] for c in group]).astype("float64")
             v = np.asarray(v, dtype="float64")
             s = (m @ v) / np.maximum(np.linalg.norm(m, axis=1) * np.linalg.norm(v), 1e-30)
@@ -79,13 +80,11 @@ def _by_block(df, vec, categories, block):
             out.append((float(s[i]), int(group[i]["rank"]), group[i]["category"]))
         return pd.DataFrame(out, columns=["score", "rank", "label"])
 
-    scored = rows.join(blocks, "_block").withColumn("_n", best(F.col(vec), F.col("_cats")))
-    keep = F.max_by(F.struct(*df.columns, F.col("_n.label").alias("_l"), F.col("_n.score").alias("_s")),
-                    F.struct(F.col("_n.score"), -F.col("_n.rank")))
-    first = F.first(F.struct(*df.columns, F.lit(None).cast("string").alias("_l"), F.lit(None).cast("double").alias("_s")))
-    won = scored.groupBy("_id").agg(F.coalesce(keep, first).alias("_w"))
-    return won.select(*[F.col("_w")[c].alias(c) for c in df.columns],
-                      F.struct(F.col("_w._l").alias("label"), F.col("_w._s").alias("score")).alias("_near"))
+    scored = asked.join(blocks, ["_block", "_salt"]).withColumn("_n", best(F.col(vec), F.col("_cats")))
+    won = scored.groupBy(vec).agg(F.max_by(
+        F.struct(F.col("_n.label").alias("label"), F.col("_n.score").alias("score")),
+        F.struct(F.col("_n.score"), -F.col("_n.rank"))).alias("_near"))
+    return lookup_join(df, won, [vec])
 
 
 def cosine(a, b) -> Column:

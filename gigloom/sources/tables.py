@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import fixed_values as V
 from gigloom.functions.text import strip
-from gigloom.operators.keys import lookup_join
+from gigloom.operators.keys import lookup_join, row_bin
 
 SCHEMAS = {
     "input_list": "id bigint, name string, domain string, description string, status string",
@@ -109,7 +109,7 @@ def parents(scrapes: DataFrame, ats_website: DataFrame, companies: DataFrame | N
 
 def salted_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left", salts: int = 8) -> DataFrame:
     """Join postings to a much smaller lookup so that one hot key is shared by `salts` tasks."""
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    left = df.withColumn("_salt", row_bin(df, [key], salts))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
