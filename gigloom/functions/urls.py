@@ -31,44 +31,34 @@ def _without_dots(path) -> Column:
                 .when(seg == ".", done).otherwise(F.concat(done, F.array(seg))))
 
     def resolve(p):
-        opened = F.when(p.rlike(r"/\.{1,2}$"), F.concat(p, F.lit("/"))).otherwise(p)
-        return F.array_join(F.aggregate(F.split(opened, "/"), F.lit([]).cast("array<string>"), step), "/")
+        opened = F.regexp_replace(p, r"(/\.{1,2})$", "$1/")
+        done = F.array_join(F.aggregate(F.split(opened, "/"), F.lit([]).cast("array<string>"), step), "/")
+        return F.regexp_replace(done, "^(?!/)", "/")
 
-    return let(path, lambda p: F.when(~p.rlike(r"/\.{1,2}(/|$)"), p).otherwise(
-        let(resolve(p), lambda r: F.when(r.startswith("/"), r).otherwise(F.concat(F.lit("/"), r)))))
+    return let(path, lambda p: F.when(p.rlike(r"/\.{1,2}(/|$)"), resolve(p)).otherwise(p))
 
 
 def absolute(page, href) -> Column:
     """The address `href` points to when found on `page`."""
     page, href = col(page), col(href)
-    site = F.regexp_extract(page, r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?)", 1)
-    scheme = F.regexp_extract(page, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
+    parts = r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?)([^?#]*)"
 
-    def split_rest(h):
+    def merged(h):
         path = F.regexp_extract(h, r"^([^?#]*)", 1)
-        rest = F.regexp_extract(h, r"^[^?#]*([?#].*)?$", 1)
-        return path, F.when(rest.isin("?", "#"), "").otherwise(rest)
-
-    def rooted(h):
-        path, rest = split_rest(h)
-        return F.concat(site, _without_dots(path), rest)
-
-    def below(h):
-        path, rest = split_rest(h)
-        here = F.regexp_extract(page, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-        folder = F.regexp_replace(here, "[^/]*$", "")
-        joined = F.concat(F.when(folder == "", "/").otherwise(folder), path)
-        return F.concat(site, _without_dots(F.regexp_replace(joined, "/{2,}", "/")), rest)
+        folder = F.regexp_replace(F.regexp_extract(page, parts, 2), "[^/]*$", "")
+        below = F.regexp_replace(F.concat(F.lit("/"), folder, path), "/{2,}", "/")
+        rest = F.regexp_replace(F.regexp_extract(h, r"([?#].*)$", 1), "^[?#]$", "")
+        return F.concat(F.regexp_extract(page, parts, 1),
+                        _without_dots(F.when(h.startswith("/"), path).otherwise(below)), rest)
 
     return let(F.coalesce(href, F.lit("")), lambda h: (
         F.when(h == "", page)
         .when(h.rlike(SCHEME), h)
-        .when(h.startswith("//"), F.concat(scheme, h))
-        .when(h.startswith("#"), F.concat(F.regexp_replace(page, "#.*$", ""), F.when(h == "#", "").otherwise(h)))
-        .when(h == "?", F.regexp_replace(page, "#.*$", ""))
+        .when(h.startswith("//"), F.concat(F.regexp_extract(page, SCHEME, 0), h))
+        .when(h.rlike("^[?#]$"), F.regexp_replace(page, "#.*$", ""))
+        .when(h.startswith("#"), F.concat(F.regexp_replace(page, "#.*$", ""), h))
         .when(h.startswith("?"), F.concat(F.regexp_replace(page, "[?#].*$", ""), h))
-        .when(h.startswith("/"), rooted(h))
-        .otherwise(below(h))))
+        .otherwise(merged(h))))
 
 
 def link_from(page, href) -> Column:

@@ -102,13 +102,11 @@ def closest_spelling(c, canon, threshold: float = 0.85) -> Column:
     The list travels in the plan, so this is a projection; ties go to the earlier entry.
     """
     text = col(c)
-    entries = F.array(*[F.struct(F.lit(-i).alias("order"), F.lit(name).alias("name"))
-                        for i, name in enumerate(canon)])
+    names = F.array(*[F.lit(name) for name in canon])
 
     def similarity(name):
         longest = F.greatest(F.length(text), F.length(name))
         return F.when(longest > 0, 1 - F.levenshtein(text, name) / longest).otherwise(0.0)
 
-    scored = F.transform(entries, lambda e: F.struct(
-        similarity(e["name"]).alias("score"), e["order"].alias("order"), e["name"].alias("name")))
+    scored = F.transform(names, lambda n, i: F.struct(similarity(n).alias("score"), (-i).alias("order"), n.alias("name")))
     return let(F.array_max(scored), lambda b: F.when(b["score"] >= threshold, b["name"]))
