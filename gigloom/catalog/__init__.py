@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["scans", "keyed", "scalars"]
+MODULES = ["scans", "keyed", "scalars", "landed", "platforms"]
 
 
 def load():

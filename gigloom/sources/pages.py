@@ -31,7 +31,7 @@ IMPLIED_END = {
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-HIDDEN = frozenset(["script", "style", "template", "title"])
+HIDDEN = frozenset(["script", "style", "template"])
 
 NODE = pa.struct([
     ("pos", pa.int32()), ("last", pa.int32()), ("up", pa.int32()), ("tag", pa.string()), ("cls", pa.string()),
@@ -122,7 +122,7 @@ def _nodes(markup: pa.Array) -> pa.Array:
             tag.extend(flat.tag)
             text.extend(flat.text)
             for pairs in flat.attrs:
-                own = dict(reversed(pairs))  # the first of repeated attributes counts
+                own = {k: v or "" for k, v in reversed(pairs)}  # the first of repeated attributes counts
                 classes = own.get("class")
                 cls.append(f" {' '.join(classes.split())} " if classes else None)
                 keys.extend(own)
