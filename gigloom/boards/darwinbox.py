@@ -60,22 +60,22 @@ def _parts(dom):
 def detail(dom):
     """The last label read wins."""
     body, snapshot, block, spare = _parts(dom)
-    both = F.concat(snapshot, block)
-
-    def last(name):
-        return routed(both, name, "last")
-    return details(original_description=body, location=last("location"), job_type=last("job_type"),
-                   department=last("department"), experience=first_nonempty(last("experience"), spare),
-                   posted=last("posted"))
+    return let(F.concat(snapshot, block), lambda both: details(
+        original_description=body, experience=first_nonempty(routed(both, "experience", "last"), spare),
+        **{f: routed(both, f, "last") for f in ("location", "job_type", "department", "posted")}))
 
 
 def detail_once(dom):
     """The first label read wins, but the snapshot's last experience goes first."""
     body, snapshot, block, spare = _parts(dom)
-    both = F.concat(snapshot, block)
-    return details(original_description=body, location=routed(both, "location"), job_type=routed(both, "job_type"),
-                   department=routed(both, "department"), posted=routed(both, "posted"),
-                   experience=first_nonempty(routed(snapshot, "experience", "last"), routed(block, "experience"), spare))
+
+    def whole(snap, rest):
+        both = F.concat(snap, rest)
+        return details(
+            original_description=body,
+            experience=first_nonempty(routed(snap, "experience", "last"), routed(rest, "experience"), spare),
+            **{f: routed(both, f) for f in ("location", "job_type", "department", "posted")})
+    return let(snapshot, lambda snap: let(block, lambda rest: whole(snap, rest)))
 
 
 BOARD = Board(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gigloom.boards.base import Board, details, has, kept, pairs, posting, route, routed
 from gigloom.functions import rules, urls
-from gigloom.functions.text import clean, first_nonempty, strip
+from gigloom.functions.text import clean, first_nonempty, let, strip
 from gigloom.sources.pages import attr_at, child, each, either, el, text_at
 
 LINK = child(el("a", cls_has="posting-title"))
@@ -32,19 +32,22 @@ def detail(dom):
     def unslashed(c):
         return strip(F.replace(c, F.lit("/"), F.lit("")))
 
-    # a field that is already filled does not use up its label: later routes get their turn
-    headed = {"location": head("location"), "department": unslashed(head("department")),
-              "job_type": unslashed(head("commitment"))}
-    open_routes = [(f, (lambda t, f=f: lambda x: t(x) & (headed[f] == ""))(t) if f in headed else t) for f, t in INFO]
-    rows = either(el("li"))
-    items = [(el("ul", cls="posting-requirements"), rows), (el(data_qa="job-info"), rows)]
+    headed = F.struct(head("location").alias("location"), unslashed(head("department")).alias("department"),
+                      unslashed(head("commitment")).alias("job_type"))
+    items = [(el("ul", cls="posting-requirements"), el("li")), (el(data_qa="job-info"), el("li"))]
     found = F.concat(*[pairs(dom, i, (either(el("h5"), el(cls="posting-category-title")),),
                              (either(el("span"), el(cls="posting-category-value")),)) for i in items])
-    info = route(found, open_routes)
-    return details(
-        original_description=clean(text_at(dom, el("div", cls=["section", "page-centered"], data_qa="job-description"))),
-        **{f: first_nonempty(headed[f], routed(info, f)) for f in headed},
-        experience=routed(info, "experience"), posted=routed(info, "posted"))
+
+    def whole(top, rows):
+        def unless_headed(name, test):
+            return (lambda x: test(x) & (top[name] == "")) if name in ("location", "department", "job_type") else test
+        # a field the headline has filled does not use up its label: later routes get their turn
+        return let(route(rows, [(f, unless_headed(f, t)) for f, t in INFO]), lambda info: details(
+            original_description=clean(text_at(
+                dom, el("div", cls=["section", "page-centered"], data_qa="job-description"))),
+            **{f: first_nonempty(top[f], routed(info, f)) for f in ("location", "department", "job_type")},
+            experience=routed(info, "experience"), posted=routed(info, "posted")))
+    return let(headed, lambda top: whole(top, found))
 
 
 BOARD = Board("lever", "lever", listing, detail, strict=True, drop="overwrite",

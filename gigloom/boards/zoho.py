@@ -109,9 +109,12 @@ def detail(dom):
     boxed = pairs(dom, (el("div", cls="tem3ContentBlock"), el("div", cls="tem3-TextCont")), (el("span"),),
                   (el("div", cls="tem3-RightSideText"),), read=lambda s: joined(s, " "))
     found = route(F.filter(F.concat(listed, boxed), lambda p: (p["label"] != "") & (p["value"] != "")), ROUTES)
-    fields = {f: routed(found, f) for f in ("posted", "job_type", "experience", "department", "industry")}
-    whole = details(title=title, original_description=body, location=routed(found, "location", sep=", "), **fields)
-    return F.when(title.isNotNull(), whole)
+
+    def whole(name):
+        return let(found, lambda f: details(
+            title=name, original_description=body, location=routed(f, "location", sep=", "),
+            **{x: routed(f, x) for x in ("posted", "job_type", "experience", "department", "industry")}))
+    return let(title, lambda name: F.when(name.isNotNull(), whole(name)))
 
 
 def _published(c, as_of):

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["scans", "keyed", "scalars", "landed", "platforms"]
+MODULES = ["scans", "keyed", "scalars", "landed", "platforms", "runs", "results"]
 
 
 def load():

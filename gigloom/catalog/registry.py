@@ -1,7 +1,8 @@
 """Registered queries: a Spark query over the driver's tables and, where SQL can say it, the same in ANSI SQL."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from gigloom.session import spread
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -25,14 +26,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for costly expressions: a scan too small to occupy all cores is dealt out."""
+    return spread(table(spark, sf, name))
+
+
 class Shape:
     """A reshaping of one driver table that reads the same in Spark SQL and DuckDB."""
 
     def __init__(self, source: str, **columns: str):
         self.source, self.columns = source, columns
 
-    def df(self, spark, sf) -> DataFrame:
-        return table(spark, sf, self.source).selectExpr(*[f"{e} AS {n}" for n, e in self.columns.items()])
+    def df(self, spark, sf, deal: bool = False) -> DataFrame:
+        return (dealt if deal else table)(spark, sf, self.source).selectExpr(*[f"{e} AS {n}" for n, e in self.columns.items()])
 
     def sql(self) -> str:
         return "(SELECT " + ", ".join(f"{e} AS {n}" for n, e in self.columns.items()) + f" FROM {self.source})"

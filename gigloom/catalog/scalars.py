@@ -24,7 +24,7 @@ def _in(shape: Shape, **exprs):
 
 
 def _of(shape, spark, sf, **cols):
-    return shape.df(spark, sf).select("id", *[c.alias(n) for n, c in cols.items()])
+    return shape.df(spark, sf, deal=True).select("id", *[c.alias(n) for n, c in cols.items()])
 
 
 # --- text -------------------------------------------------------------------------------
@@ -331,7 +331,7 @@ TITLES = Shape(
 
 
 def _titled(spark, sf, **cols):
-    return TITLES.df(spark, sf).select("id", "line", "part", *[c.alias(n) for n, c in cols.items()])
+    return TITLES.df(spark, sf, deal=True).select("id", "line", "part", *[c.alias(n) for n, c in cols.items()])
 
 
 def _case(rules, default):

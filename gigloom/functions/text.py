@@ -5,8 +5,12 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import fixed_values as V
 
-# Whitespace as a Unicode-aware class; the four separators are not in Java's \s.
-SPACE = r"[\s\x1c-\x1f]"
+# fixed values: every whitespace character but the plain space
+OTHER_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007" \
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = " " + OTHER_SPACES
+# the same as a Java class, which is faster than naming the characters
+RUNS = r"(?U)[\s\x1c-\x1f]+"
 LINE_END = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
@@ -20,12 +24,12 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c) -> Column:
-    return F.regexp_replace(col(c), f"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def collapse(c) -> Column:
     """Whitespace runs become one space; ends stripped; null stays null."""
-    return F.trim(F.regexp_replace(col(c), f"(?U){SPACE}+", " "))
+    return F.trim(F.regexp_replace(col(c), RUNS, " "))
 
 
 def clean(c, zero_width: bool = True) -> Column:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
 from gigloom.functions import urls
 from gigloom.functions.text import col, let, strip
@@ -37,7 +38,9 @@ NODE = pa.struct([
     ("pos", pa.int32()), ("last", pa.int32()), ("up", pa.int32()), ("tag", pa.string()), ("cls", pa.string()),
     ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()),
 ])
-NODE_DDL = "array<struct<pos:int,last:int,up:int,tag:string,cls:string,attrs:map<string,string>,text:string>>"
+NODES = ArrayType(StructType(
+    [StructField(n, IntegerType()) for n in ("pos", "last", "up")] + [StructField(n, StringType()) for n in ("tag", "cls")]
+    + [StructField("attrs", MapType(StringType(), StringType())), StructField("text", StringType())]))
 
 
 class _Flat(HTMLParser):
@@ -109,7 +112,7 @@ class _Flat(HTMLParser):
         return self
 
 
-@F.arrow_udf(NODE_DDL)
+@F.arrow_udf(NODES)
 def _nodes(markup: pa.Array) -> pa.Array:
     starts, pos, last, up, tag, cls, text = [0], [], [], [], [], [], []
     at, keys, values = [0], [], []
@@ -232,9 +235,9 @@ def shown(scope) -> Column:
     """Text as displayed: breaks at block edges, other whitespace collapsed."""
     kept = F.filter(scope, lambda n: n["tag"].isin("#text", "#br"))
     runs = F.transform(kept, lambda n: F.when(n["tag"] == "#br", "\n").otherwise(
-        F.regexp_replace(n["text"], r"[ \t\r\n\f]+", " ")))
-    text = F.regexp_replace(F.array_join(runs, ""), r" *\n[ \n]*", "\n")
-    return strip(F.regexp_replace(text, " {2,}", " "))
+        F.regexp_replace(n["text"], r"\s+", " ")))
+    text = F.regexp_replace(F.array_join(runs, ""), r" ?\n[ \n]*", "\n")
+    return strip(let(text, lambda t: F.when(t.contains("  "), F.regexp_replace(t, " {2,}", " ")).otherwise(t)))
 
 
 def joined(scope, sep="", keep_blank=False) -> Column:
