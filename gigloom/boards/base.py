@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import fixed_values as V
 from gigloom.functions.text import clean, col, first_nonempty, let, nonempty
+from gigloom.operators.keys import computed
 from gigloom.sources import pages as P
 
 LISTED = ["title", "job_url", "location", "job_type", "department", "posted"]
@@ -159,7 +160,12 @@ def listed(pages: DataFrame, listing, keep=None) -> DataFrame:
     return rows.select(*columns, "card_pos", "_job.*")
 
 
-def detailed(pages: DataFrame, detail) -> DataFrame:
-    """Landed posting pages to one row of fields each."""
+def detailed(pages: DataFrame, detail, needed: str | None = None) -> DataFrame:
+    """Landed posting pages to one row of fields each; pages without the needed field are left out."""
     columns = [c for c in pages.columns if c != "html"]
-    return P.with_nodes(pages).select(*columns, detail(F.col("dom")).alias("_d")).select(*columns, "_d.*")
+    rows = computed(P.with_nodes(pages), detail(F.col("dom")), "_d", said(needed))
+    return rows.select(*columns, "_d.*")
+
+
+def said(field_name: str | None):
+    return lambda d: F.lit(True) if field_name is None else d[field_name].isNotNull()

@@ -125,9 +125,8 @@ NOW = f"TIMESTAMP '{AS_OF}'"
 WORDS = "CASE WHEN trim(regexp_replace(text, '\\s+', ' ', 'g')) = '' THEN 0 ELSE len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) END"
 
 
-def _jobs(spark, sf):
-    lookup = T.parents(RUNS.df(spark, sf), ATS_SITES.df(spark, sf), COMPANIES.df(spark, sf))
-    return T.with_parents(JOBS.df(spark, sf), lookup)
+def _parents(spark, sf):
+    return T.parents(RUNS.df(spark, sf), ATS_SITES.df(spark, sf), COMPANIES.df(spark, sf))
 
 
 def _judged(edition):
@@ -141,7 +140,7 @@ def _judged(edition):
 def _register_counts(name, edition):
     @query(f"SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM ({_judged(edition)}) GROUP BY 1", f"publish_counts_{name}")
     def run(spark, sf):
-        return publish.counts(JOBS.df(spark, sf), DONE.df(spark, sf), edition, AS_OF)
+        return publish.counts(JOBS.df(spark, sf, deal=True), DONE.df(spark, sf), edition, AS_OF)
 
 
 EDITIONS = {"general": publish.GENERAL, "green": publish.GREEN, "long": publish.LONG}
@@ -191,8 +190,9 @@ def _categories(spark, sf, names):
 
 def _new_rows(spark, sf, edition, names):
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    jobs = _jobs(spark, sf).join(vectors, "id", "left")
-    return publish.publishable(jobs, DONE.df(spark, sf), edition, AS_OF, TRACK, categories=_categories(spark, sf, names), vec="vec")
+    jobs = JOBS.df(spark, sf, deal=True).join(vectors, "id", "left")
+    return publish.publishable(jobs, DONE.df(spark, sf), edition, AS_OF, TRACK, parents=_parents(spark, sf),
+                               categories=_categories(spark, sf, names), vec="vec")
 
 
 def _register_publish(name, edition, names):
@@ -217,7 +217,7 @@ OLD = Shape("labels", job_id="doc_id", source_table="CASE WHEN quality = 1 THEN
     FROM o FULL JOIN n ON o.job_id = n.job_id AND o.source_table = n.source_table""")
 def publish_table(spark, sf):
     old = T.conform(OLD.df(spark, sf), T.SCHEMAS["jobs_uploadable_wp"])
-    out = publish.publish(_jobs(spark, sf), old, publish.GENERAL, AS_OF, TRACK)
+    out = publish.publish(JOBS.df(spark, sf, deal=True), old, publish.GENERAL, AS_OF, TRACK, parents=_parents(spark, sf))
     return out.select("job_id", "source_table", "published_at", "title")
 
 

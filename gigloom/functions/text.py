@@ -44,19 +44,25 @@ def commas_to_spaces(c) -> Column:
     return strip(F.replace(col(c), F.lit(","), F.lit(" ")))
 
 
+def _unless(c, test) -> Column:
+    """The value where the test holds, else null; an expression is evaluated once."""
+    if isinstance(c, str):
+        return F.when(test(F.col(c)), F.col(c))
+    return let(c, lambda x: F.when(test(x), x))
+
+
 def nonblank(c) -> Column:
     """'' and all-whitespace become null."""
-    c = col(c)
-    return F.when(strip(c) != "", c)
+    return _unless(c, lambda x: strip(x) != "")
 
 
 def nonempty(c) -> Column:
-    return F.nullif(col(c), F.lit(""))
+    return _unless(c, lambda x: x != "")
 
 
 def not_missing(c) -> Column:
     """The 'NA' sentinel becomes null."""
-    return F.nullif(col(c), F.lit(V.MISSING_TEXT))
+    return _unless(c, lambda x: x != V.MISSING_TEXT)
 
 
 def first_nonempty(*cols) -> Column:

@@ -40,19 +40,33 @@ def _bin(df: DataFrame, keys) -> Column:
     return F.when(empty, row_bin(df, keys, NULL_BINS) + 1).otherwise(F.lit(0).cast("bigint"))
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left") -> DataFrame:
-    """Equi-join on key columns with null-key rows of `df` spread over the cluster."""
+def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", distinct: bool = False) -> DataFrame:
+    """Equi-join on key columns with null-key rows of `df` spread over the cluster.
+
+    distinct: the lookup holds key columns (and constants) only and is reduced to distinct
+    rows, in the partitioning the join uses.
+    """
     keys = _list(keys)
     left = df.withColumn("_bin", _bin(df, keys))
-    right = lookup.withColumn("_bin", F.lit(0).cast("bigint"))
+    # always 0, but not a literal: a literal would be folded out of the join keys
+    right = lookup.withColumn("_bin", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint"))
+    if distinct:
+        right = right.dropDuplicates([*keys, "_bin"])
     return left.join(right, [*keys, "_bin"], how).drop("_bin")
 
 
+def computed(df: DataFrame, value: Column, to: str, test) -> DataFrame:
+    """Add a costly column and keep the rows whose value passes the test.
+
+    A filter on the column would be pushed below the projection and build it twice.
+    """
+    return df.select("*", F.explode(F.filter(F.array(value), test)).alias(to))
+
+
 def new_only(df: DataFrame, existing: DataFrame, keys) -> DataFrame:
     """Rows whose key is not in `existing`; duplicates among the new rows stay."""
     keys = _list(keys)
-    known = existing.select(*keys).dropna().distinct()
-    return lookup_join(df, known, keys, "left_anti")
+    return lookup_join(df, existing.select(*keys).dropna(), keys, "left_anti", distinct=True)
 
 
 def known_by_any(df: DataFrame, existing: DataFrame, pairs, flag: str = "known") -> DataFrame:
@@ -64,8 +78,8 @@ def known_by_any(df: DataFrame, existing: DataFrame, pairs, flag: str = "known")
     for i, (left, right) in enumerate(pairs):
         name = f"_hit{i}"
         found = existing.select(F.col(right).alias(left)).where(
-            F.col(left).isNotNull() & (F.col(left) != "")).distinct().withColumn(name, F.lit(True))
-        df = lookup_join(df, found, [left])
+            F.col(left).isNotNull() & (F.col(left) != "")).withColumn(name, F.lit(True))
+        df = lookup_join(df, found, [left], distinct=True)
         hits.append(name)
     return df.withColumn(flag, F.coalesce(*hits, F.lit(False))).drop(*hits)
 

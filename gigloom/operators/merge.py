@@ -14,11 +14,12 @@ from gigloom.functions.text import nonempty
 from gigloom.operators.keys import _list, lookup_join
 
 
-def upsert(target: DataFrame, source: DataFrame, keys, nulls: str = "overwrite") -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys, nulls: str = "overwrite", fixed=()) -> DataFrame:
     """Supplied columns of matching rows are replaced, other rows are added.
 
     Columns the source lacks keep the target's value. nulls='keep' lets a null source value
-    leave the target's. Keys must be unique in the source; null keys match nothing.
+    leave the target's; `fixed` columns keep the target's value wherever the row exists.
+    Keys must be unique in the source; null keys match nothing.
     """
     keys = _list(keys)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -32,6 +33,8 @@ def upsert(target: DataFrame, source: DataFrame, keys, nulls: str = "overwrite")
         if c not in source.columns:
             return F.col("_t")[c]
         new, old = F.col("_s")[c], F.col("_t")[c]
+        if c in fixed:
+            return F.when(F.col("_t").isNotNull(), old).otherwise(new)
         if nulls == "keep":
             return F.coalesce(new, old)
         return F.when(F.col("_s").isNotNull(), new).otherwise(old)
@@ -92,18 +95,18 @@ def retain(df: DataFrame, column: str, as_of, days: int | None = None, months: i
 
 
 def enrich(listing: DataFrame, detail: DataFrame, keys, prefer=None, default: str = "detail",
-           missing=None) -> DataFrame:
+           missing=None, found_only: bool = False) -> DataFrame:
     """Merge detail fields into listed rows.
 
     prefer maps a column to 'detail' (detail wins, listing fills), 'listing' (listing wins),
     'detail_only' or 'listing_only'. missing maps a column to the value it takes when a row
-    has no detail at all.
+    has no detail at all; found_only drops such rows.
     """
     keys, prefer, missing = _list(keys), prefer or {}, missing or {}
     kinds = {**dict(detail.dtypes), **dict(listing.dtypes)}
     theirs = [c for c in detail.columns if c not in keys]
     found = detail.select(*keys, F.struct(*theirs).alias("_d"), F.lit(True).alias("_found"))
-    joined = lookup_join(listing, found, keys)
+    joined = lookup_join(listing, found, keys, "inner" if found_only else "left")
 
     def said(c, column):
         return nonempty(column) if kinds[c] == "string" else column

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gigloom.functions import fixed_values as V
 from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
-from gigloom.functions.text import code_name, collapse, first_of, let, nonempty, strip, urls_in
+from gigloom.functions.text import code_name, first_of, let, nonempty, strip, urls_in
 from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, pick_first, reason_counts, skip_reasons)
 from gigloom.session import settled, spread
 from gigloom.sources import pages as P
@@ -132,9 +132,9 @@ def page_platform(pages: DataFrame, requests: DataFrame | None = None, html: str
 def to_check(companies: DataFrame, ats_website: DataFrame) -> DataFrame:
     """Companies with a careers address, each with the reason it is skipped or null."""
     done = companies.join(ats_website.select(F.col("company_id").alias("id")).distinct(), "id", "left_semi")
-    homes = done.select(F.lower(strip("homepage_url")).alias("_home")).where(F.col("_home").isNotNull()).distinct()
+    homes = done.select(F.lower(strip("homepage_url")).alias("_home")).where(F.col("_home").isNotNull())
     rows = companies.where(urls.looks_fetchable("careers_url")).withColumn("_home", nonempty(F.lower(strip("homepage_url"))))
-    rows = lookup_join(rows, homes.withColumn("_done", F.lit(True)), ["_home"])
+    rows = lookup_join(rows, homes.withColumn("_done", F.lit(True)), ["_home"], distinct=True)
     return skip_reasons(rows, [("status", is_set("status")), ("homepage", F.col("_done"))]).drop("_home", "_done")
 
 
@@ -146,8 +146,8 @@ def detect(companies: DataFrame, ats_website: DataFrame, pages: DataFrame, reque
     """(new ats_website rows, company statuses, report rows)."""
     rows = to_check(companies, ats_website).where(F.col("reason").isNull()).select("id", "name", "homepage_url", "careers_url")
     wanted = P.fetched(pages).join(rows.select(F.col("careers_url").alias("url")).distinct(), "url", "left_semi")
-    found = dedupe(page_platform(wanted, requests).select("url", "ats_name", "ats_url").where(
-        F.col("ats_name").isNotNull()), ["url"], ["ats_name", "ats_url"], "first")
+    found = dedupe(page_platform(wanted, requests).select("url", "ats_name", "ats_url"), ["url"],
+                   [F.col("ats_name").isNull(), "ats_name", "ats_url"], "first")
     judged = lookup_join(rows, found.withColumnRenamed("url", "careers_url"), ["careers_url"])
     matched = judged.where(F.col("ats_name").isNotNull())
     new = matched.select(F.sha2(F.concat_ws("|", "id", "ats_url"), 256).alias("id"), F.col("id").alias("company_id"),

@@ -3,13 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gigloom.boards.base import Board, detailed, listed
+from gigloom.boards.base import Board, detailed, listed, said
 from gigloom.boards import oracle
 from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
 from gigloom.functions.numbers import experience
 from gigloom.functions.text import nonblank
-from gigloom.operators.keys import dedupe, lookup_join, new_only
+from gigloom.operators.keys import computed, dedupe, lookup_join, new_only
 from gigloom.operators.merge import enrich, patch, upsert
 from gigloom.session import settled
 from gigloom.sources import pages as P
@@ -21,10 +21,10 @@ def row_id(*cols):
     return F.xxhash64(*cols).bitwiseAND(F.lit(2**63 - 1))
 
 
-def _first_kind(pages: DataFrame, key, value, good) -> DataFrame:
+def _first_kind(read: DataFrame, key, value) -> DataFrame:
     """Per page address, the first kind of capture ('static' before others) that gave something."""
     rank = F.when(F.col("kind") == "static", 0).otherwise(1)
-    return pages.where(good).groupBy(*key).agg(F.min_by(value, rank).alias(value))
+    return read.groupBy(*key).agg(F.min_by(value, rank).alias(value))
 
 
 def read_listing(board: Board, pages: DataFrame, keep=None, once: bool = False) -> DataFrame:
@@ -34,9 +34,8 @@ def read_listing(board: Board, pages: DataFrame, keep=None, once: bool = False)
         return listed(pages.drop("kind"), static, keep)
     columns = [c for c in pages.columns if c not in ("html", "kind")]
     dom, url = F.col("dom"), F.col("url")
-    read = P.with_nodes(pages).select(*columns, "kind", F.when(F.col("kind") == "static", static(dom, url, keep))
-                                      .otherwise(board.listing_rendered(dom, url, keep)).alias("_jobs"))
-    best = _first_kind(read, columns, "_jobs", F.size("_jobs") > 0)
+    jobs = F.when(F.col("kind") == "static", static(dom, url, keep)).otherwise(board.listing_rendered(dom, url, keep))
+    best = _first_kind(computed(P.with_nodes(pages), jobs, "_jobs", lambda j: F.size(j) > 0), columns, "_jobs")
     return best.select(*columns, F.posexplode("_jobs").alias("card_pos", "_job")).select(*columns, "card_pos", "_job.*")
 
 
@@ -44,12 +43,12 @@ def read_details(board: Board, pages: DataFrame, as_of, once: bool = False) -> D
     """One row per landed posting page (column job_url), dates and experience parsed."""
     detail = (once and board.detail_once) or board.detail
     columns = [c for c in pages.columns if c not in ("html", "kind")]
+    needed = board.needed_once if once or board.needed_once == "title" else None
     if "kind" in pages.columns:
-        read = P.with_nodes(pages).select(*columns, "kind", detail(F.col("dom")).alias("_d"))
-        good = F.col("_d.title").isNotNull() if board.needed_once == "title" else F.col("_d").isNotNull()
-        rows = _first_kind(read, columns, "_d", good).select(*columns, "_d.*")
+        read = computed(P.with_nodes(pages), detail(F.col("dom")), "_d", said(needed))
+        rows = _first_kind(read, columns, "_d").select(*columns, "_d.*")
     else:
-        rows = detailed(pages, detail)
+        rows = detailed(pages, detail, needed)
     published = board.published or (lambda c, _: F.lit(None).cast("timestamp"))
     return (rows.withColumn("published_date", published("posted", as_of))
             .withColumn("_exp", experience("experience")).select("*", "_exp.*").drop("_exp", "experience", "posted"))
@@ -100,19 +99,21 @@ def enrich_pending(board: Board, jobs: DataFrame, scrapes: DataFrame, ats_websit
     addresses = wanted.select(F.col("job_url").alias("url")).distinct()
     told = P.fetched(pages).join(addresses, "url", "left_semi").drop("status", "page_id").withColumnRenamed("url", "job_url")
     told = read_details(board, told, as_of)
-    if board.needed_once == "title":
-        told = told.where(F.col("title").isNotNull())
     told = dedupe(told, ["job_url"], ["original_description"])
     theirs = [c for c in board.patched if c in told.columns]
-    mine = wanted.join(told.select("job_url").distinct(), "job_url", "left_semi").select("id", "job_url", *theirs)
-    merged = enrich(mine, told.select("job_url", *theirs), "job_url", prefer=board.prefer).drop("job_url")
+    merged = enrich(wanted.select("id", "job_url", *theirs), told.select("job_url", *theirs), "job_url",
+                    prefer=board.prefer, found_only=True).drop("job_url")
     if board.job_type:
         merged = merged.withColumn("job_type", board.job_type("job_type"))
     if board.needs_description:
         merged = merged.where(nonblank("original_description").isNotNull())
+    # only pending postings can change: the rest of the table is passed on without a shuffle
+    open_jobs = T.pending(jobs, "original_description")
     if board.drop == "overwrite":
-        return upsert(jobs, merged.withColumn("updated_at", moment(as_of)), "id")
-    return patch(jobs, merged, "id", drop=board.drop, as_of=as_of, stamp=board.stamp)
+        filled = upsert(open_jobs, merged.withColumn("updated_at", moment(as_of)), "id")
+    else:
+        filled = patch(open_jobs, merged, "id", drop=board.drop, as_of=as_of, stamp=board.stamp)
+    return jobs.where(F.col("original_description").isNotNull()).unionByName(filled)
 
 
 def once(board: Board, companies: DataFrame, pages: DataFrame, jobs: DataFrame, as_of, keep=rules.is_green_title):
@@ -134,14 +135,10 @@ def once(board: Board, companies: DataFrame, pages: DataFrame, jobs: DataFrame,
     told = P.fetched(pages).join(rows.select(F.col("job_url").alias("url")), "url", "left_semi")
     told = read_details(board, told.drop("status", "page_id", "board_url", "page_ord").withColumnRenamed("url", "job_url"),
                         as_of, once=True)
-    if board.needed_once:
-        told = told.where(F.col(board.needed_once).isNotNull())
     told = dedupe(told, ["job_url"], ["original_description"])
     if board.needed_once != "title":
         told = told.drop("title")
-    if board.skip_failed_once:
-        rows = rows.join(told.select("job_url"), "job_url", "left_semi")
-    merged = enrich(rows, told, "job_url", prefer=board.prefer_once,
+    merged = enrich(rows, told, "job_url", prefer=board.prefer_once, found_only=board.skip_failed_once,
                     missing={"original_description": board.failed_once})
     return T.conform(merged.withColumn("id", row_id("job_url")).withColumn("is_active", F.lit(True)),
                      T.SCHEMAS["jobs_sustain"])
@@ -168,5 +165,4 @@ def once_oracle(companies: DataFrame, listings: DataFrame, bodies: DataFrame, jo
 
 def save_once(jobs: DataFrame, rows: DataFrame) -> DataFrame:
     """jobs_sustain with the run's rows written over equal addresses; known rows keep their id."""
-    known = new_only(rows, jobs, "job_url")
-    return upsert(upsert(jobs, rows.drop("id"), "job_url"), known.select("job_url", "id"), "job_url")
+    return upsert(jobs, rows, "job_url", fixed=["id"])

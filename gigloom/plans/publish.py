@@ -11,9 +11,10 @@ from gigloom.functions.dates import any_timestamp, day_text, moment
 from gigloom.functions.numbers import experience_label
 from gigloom.functions.text import first_nonempty, nonblank, sections, slug, standard_location, words
 from gigloom.functions.urls import tracked
-from gigloom.operators.keys import lookup_join, reason_counts, skip_reasons
+from gigloom.operators.keys import computed, lookup_join, new_only, reason_counts, skip_reasons
 from gigloom.operators.match import closest_spelling, nearest
-from gigloom.operators.merge import retain, upsert
+from gigloom.operators.merge import retain
+from gigloom.sources.tables import with_parents
 
 
 @dataclass(frozen=True)
@@ -49,18 +50,35 @@ def cutoff(edition: Edition, as_of) -> Column:
     return now - F.make_ym_interval(F.lit(0), F.lit(edition.months))
 
 
-def judged(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> DataFrame:
-    """Active postings with the first reason they are skipped: exists, short, old; null when kept."""
-    rows = jobs.where("is_active")
+def _known(published: DataFrame, edition: Edition) -> DataFrame:
     if edition.by_source:
         published = published.where(F.col("source_table") == edition.source)
-    known = published.select(F.col("job_id").alias("id")).distinct().withColumn("_known", F.lit(True))
+    return published.select(F.col("job_id").alias("id"))
+
+
+def _tests(edition: Edition, as_of):
     when = any_timestamp("published_date")
-    return skip_reasons(lookup_join(rows, known, ["id"]), [
-        ("exists", F.col("_known")),
-        ("short", words("original_description") <= edition.min_words),
-        ("old", when.isNull() | (when < cutoff(edition, as_of))),
-    ]).drop("_known")
+    return {"short": words("original_description") <= edition.min_words,
+            "old": when.isNull() | (when < cutoff(edition, as_of))}
+
+
+def judged(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> DataFrame:
+    """Active postings with the first reason they are skipped: exists, short, old; null when kept."""
+    tests = _tests(edition, as_of)
+    # decided before the join, so a caller who only counts moves ids and flags, not texts
+    rows = jobs.where("is_active").select("*", *[t.alias(f"_{n}") for n, t in tests.items()])
+    known = _known(published, edition).withColumn("_known", F.lit(True))
+    found = lookup_join(rows, known, ["id"], distinct=True)
+    return skip_reasons(found, [("exists", F.col("_known")), *[(n, F.col(f"_{n}")) for n in tests]]).drop(
+        "_known", *[f"_{n}" for n in tests])
+
+
+def wanted(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> DataFrame:
+    """The postings `judged` gives no reason to skip; what a scan can decide is decided before the join."""
+    rows = jobs.where("is_active")
+    for test in _tests(edition, as_of).values():
+        rows = rows.where(~test)
+    return new_only(rows, _known(published, edition), "id")
 
 
 def counts(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> DataFrame:
@@ -84,19 +102,22 @@ def departments(rows: DataFrame, edition: Edition, categories: DataFrame | None
 
 
 def publishable(jobs: DataFrame, published: DataFrame, edition: Edition, as_of, tracking: str,
-                bare_host: str | None = None, categories: DataFrame | None = None,
-                vec: str | None = None) -> DataFrame:
+                bare_host: str | None = None, parents: DataFrame | None = None,
+                categories: DataFrame | None = None, vec: str | None = None, key: str = "scrape_id") -> DataFrame:
     """New rows for the published table.
 
-    `jobs` carries its company columns (company_name, company_url, company_logo, company_about)
-    and `candidate_description`, the cleaned description text.
+    `jobs` carries `candidate_description`, the cleaned description text. `parents` gives the
+    company columns by `key` (see sources.tables.parents) and meets only postings that are
+    kept; without it the postings carry them already.
     """
-    rows = judged(jobs, published, edition, as_of).where(F.col("reason").isNull()).drop("reason")
+    rows = wanted(jobs, published, edition, as_of)
     if edition.india_only:
         rows = rows.where(rules.in_india("location"))
     body = sections("candidate_description") if edition.structured else F.col("candidate_description")
     body = F.when(F.length("original_description") >= 50, body)
-    rows = rows.withColumn("generated_description", body).where(F.coalesce("generated_description", F.lit("")) != "")
+    rows = computed(rows, body, "generated_description", lambda b: b != "")
+    if parents is not None:
+        rows = with_parents(rows, parents, key)
     rows = departments(rows, edition, categories, vec)
     resolved = F.col("resolved_location") if "resolved_location" in rows.columns else None
     place = F.col("location") if edition.plain_location else standard_location("location", edition.remote, resolved)
@@ -117,5 +138,5 @@ def publishable(jobs: DataFrame, published: DataFrame, edition: Edition, as_of,
 def publish(jobs, published, edition: Edition, as_of, tracking: str, **more) -> DataFrame:
     """The published table after retention and the new rows."""
     kept = retain(published, "published_at", as_of, days=edition.days, months=edition.months)
-    new = publishable(jobs, kept, edition, as_of, tracking, **more)
-    return upsert(kept, new, ["job_id", "source_table"] if edition.by_source else "job_id")
+    # no new row has a key the table holds, so adding them is the upsert
+    return kept.unionByName(publishable(jobs, kept, edition, as_of, tracking, **more), allowMissingColumns=True)
