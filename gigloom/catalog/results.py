@@ -259,6 +259,14 @@ def export_files(spark, sf):
     return spark.read.option("header", True).csv(path).groupBy("ats_name").agg(F.count("*").alias("n"))
 
 
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name FROM supplier UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name FROM customer")
+def csv_append(spark, sf):
+    path = f"{shared_dir(spark)}/csv-{uuid4().hex}"
+    T.export_csv(table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), path, mode="append")
+    T.export_csv(table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name"), path, mode="append")
+    return spark.read.option("header", True).csv(path)
+
+
 @query("SELECT s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT c_custkey + 1000000, c_name FROM customer")
 def replaced_table(spark, sf):
     path = f"{shared_dir(spark)}/replaced-{uuid4().hex}"

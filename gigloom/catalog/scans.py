@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from gigloom.catalog.registry import BOARDS, COMPANIES, GREEN_COMPANIES, JOBS, SCRAPES, Shape, query, table
-from gigloom.functions.text import first_nonempty, nonblank, not_missing, strip
+from gigloom.functions.text import first_nonempty, no_nan, nonblank, not_missing, strip
+from gigloom.functions import rules as R
 from gigloom.functions import urls
 from gigloom.operators.keys import new_only
 from gigloom.sources import pages as P
@@ -154,12 +155,14 @@ def conform_rows(spark, sf):
 
 
 @query("""SELECT o_orderkey AS id, nullif(o_orderstatus, 'F') AS missing_text,
-    coalesce(nullif(nullif(o_orderstatus, 'F'), ''), nullif(o_orderpriority, '5-LOW'), 'none') AS chosen FROM orders""")
+    coalesce(nullif(nullif(o_orderstatus, 'F'), ''), nullif(o_orderpriority, '5-LOW'), 'none') AS chosen,
+    CASE WHEN o_totalprice >= 1000 THEN o_totalprice END AS price FROM orders""")
 def missing_values(spark, sf):
     o = table(spark, sf, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "NA").otherwise(F.col("o_orderstatus"))
     low = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.col("o_orderpriority"))
-    return o.select(F.col("o_orderkey").alias("id"), not_missing(status).alias("missing_text"),
+    price = F.when(F.col("o_totalprice") < 1000, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    return o.select(F.col("o_orderkey").alias("id"), no_nan(price).alias("price"), not_missing(status).alias("missing_text"),
                     first_nonempty(not_missing(status), low, F.lit("none")).alias("chosen"))
 
 
@@ -167,4 +170,4 @@ def missing_values(spark, sf):
     FROM pages""")
 def row_filters(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.looks_fetchable("url").alias("fetchable"),
-                                            F.lower(F.concat_ws(" ", "url", "html")).contains("india").alias("about"))
+                                            R.mentions("India", "url", "html").alias("about"))

@@ -37,6 +37,11 @@ def contains_any(c, parts) -> Column:
     return hit
 
 
+def mentions(word: str, *cols) -> Column:
+    """True when any of the columns holds the word, in any case."""
+    return F.lower(F.concat_ws(" ", *cols)).contains(word.lower())
+
+
 def on_platform(c) -> Column:
     return contains_any(c, V.PLATFORM_HOSTS)
 

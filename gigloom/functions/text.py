@@ -70,6 +70,11 @@ def first_nonempty(*cols) -> Column:
     return F.coalesce(*[nonempty(c) for c in cols])
 
 
+def no_nan(c) -> Column:
+    """NaN becomes null."""
+    return F.when(~F.isnan(col(c)), col(c))
+
+
 def first_of(c) -> Column:
     """First element of an array column, null when there is none."""
     return F.get(col(c), F.lit(0))

@@ -145,7 +145,7 @@ def check_counts(companies: DataFrame, ats_website: DataFrame) -> DataFrame:
 def detect(companies: DataFrame, ats_website: DataFrame, pages: DataFrame, requests: DataFrame | None = None):
     """(new ats_website rows, company statuses, report rows)."""
     rows = to_check(companies, ats_website).where(F.col("reason").isNull()).select("id", "name", "homepage_url", "careers_url")
-    wanted = P.fetched(pages).join(rows.select(F.col("careers_url").alias("url")).distinct(), "url", "left_semi")
+    wanted = P.landed(pages).join(rows.select(F.col("careers_url").alias("url")).distinct(), "url", "left_semi")
     found = dedupe(page_platform(wanted, requests).select("url", "ats_name", "ats_url"), ["url"],
                    [F.col("ats_name").isNull(), "ats_name", "ats_url"], "first")
     judged = lookup_join(rows, found.withColumnRenamed("url", "careers_url"), ["careers_url"])

@@ -58,7 +58,7 @@ def _board_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     """Pages of the boards at hand; a landed page may name the board it was reached from."""
     at = "board_url" if "board_url" in pages.columns else "url"
     order = F.col("page_ord") if "page_ord" in pages.columns else F.lit(0)
-    return (P.fetched(pages).withColumn("page_ord", order).withColumn("_at", F.col(at))
+    return (P.landed(pages).withColumn("page_ord", order).withColumn("_at", F.col(at))
             .join(runs.withColumnRenamed("url", "_at"), "_at").drop("_at", "status", "board_url"))
 
 
@@ -97,7 +97,7 @@ def enrich_pending(board: Board, jobs: DataFrame, scrapes: DataFrame, ats_websit
     wanted = T.pending_jobs(jobs, scrapes, ats_website, board.ats if board.match != "contains_cs" else "SmartRecruiters",
                             board.match).where(urls.looks_fetchable("job_url"))
     addresses = wanted.select(F.col("job_url").alias("url")).distinct()
-    told = P.fetched(pages).join(addresses, "url", "left_semi").drop("status", "page_id").withColumnRenamed("url", "job_url")
+    told = P.landed(pages).join(addresses, "url", "left_semi").drop("status", "page_id").withColumnRenamed("url", "job_url")
     told = read_details(board, told, as_of)
     told = dedupe(told, ["job_url"], ["original_description"])
     theirs = [c for c in board.patched if c in told.columns]
@@ -132,7 +132,7 @@ def once(board: Board, companies: DataFrame, pages: DataFrame, jobs: DataFrame,
     rows = settled(rows.withColumn("published_date", posted).select(
         "company_sustain_id", "title", "job_url", *board.listed_once))
 
-    told = P.fetched(pages).join(rows.select(F.col("job_url").alias("url")), "url", "left_semi")
+    told = P.landed(pages).join(rows.select(F.col("job_url").alias("url")), "url", "left_semi")
     told = read_details(board, told.drop("status", "page_id", "board_url", "page_ord").withColumnRenamed("url", "job_url"),
                         as_of, once=True)
     told = dedupe(told, ["job_url"], ["original_description"])

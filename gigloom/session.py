@@ -6,6 +6,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
+    # building a layout makes thousands of small expressions; do not record a call site for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -15,6 +17,9 @@ SETTINGS = {
 }
 
 
+_settled: list[str] = []
+
+
 def session(master: str | None = None, app: str = "gigloom", **settings) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -26,14 +31,13 @@ def session(master: str | None = None, app: str = "gigloom", **settings) -> Spar
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a scratch folder only on a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="gigloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gigloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -43,9 +47,18 @@ def settled(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/settled-{uuid4().hex}"
     df.write.parquet(path)
+    _settled.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_settled(spark: SparkSession) -> None:
+    """Delete this program's intermediate results once a run's outputs are written."""
+    for path in _settled:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _settled.clear()
+
+
 def spread(df: DataFrame, factor: int = 4) -> DataFrame:
     """Deal out a scan that has far fewer splits than the cluster has cores.
 

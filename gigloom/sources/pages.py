@@ -64,6 +64,8 @@ class _Flat(HTMLParser):
             self.add("#br")
 
     def shut(self, depth):
+        if depth is None:
+            return
         end = len(self.tag) - 1
         for at in self.open[depth:]:
             self.last[at] = end
@@ -79,12 +81,10 @@ class _Flat(HTMLParser):
         return None
 
     def handle_starttag(self, tag, attrs):
-        names, stoppers = IMPLIED_END.get(tag, ((), ()))
+        if tag in IMPLIED_END:
+            self.shut(self.nearest(*IMPLIED_END[tag]))
         if tag in BREAKS and tag != "br":
-            names, stoppers = {"p", *names}, {"button", "td", "th", *stoppers} - {*names}
-        depth = self.nearest(names, stoppers) if names else None
-        if depth:
-            self.shut(depth)
+            self.shut(self.nearest({"p"}, {"button", "td", "th", "table"}))
         if tag in BREAKS:
             self.gap()
         at = self.add(tag, attrs)
@@ -96,10 +96,9 @@ class _Flat(HTMLParser):
 
     def handle_endtag(self, tag):
         depth = self.nearest({tag}, () if tag in ("table", "ul", "ol", "div", "body", "html") else ("table",))
-        if depth:
-            self.shut(depth)
-            if tag in BREAKS:
-                self.gap()
+        self.shut(depth)
+        if depth and tag in BREAKS:
+            self.gap()
 
     def handle_data(self, data):
         hidden = self.tag[self.open[-1]] in HIDDEN
@@ -275,6 +274,11 @@ def fetched(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("status") == 200) if "status" in pages.columns else pages
 
 
+def landed(pages: DataFrame) -> DataFrame:
+    """Fetched pages, dealt out when they are few: what a run joins to its boards or postings."""
+    return spread(fetched(pages))
+
+
 def with_nodes(pages: DataFrame, markup: str = "html", to: str = "dom") -> DataFrame:
     """Replace the markup column by its nodes."""
     return spread(pages).withColumn(to, nodes(markup)).drop(markup)
