@@ -8,6 +8,7 @@ from gigloom.catalog.registry import AS_OF, Shape, query, table
 from gigloom.catalog.scalars import BAD, SLUG, TRACK, _any, _case, _q
 from gigloom.functions import fixed_values as V
 from gigloom.operators.match import nearest
+from gigloom.operators.wording import best_of
 from gigloom.plans import careers, export, publish
 from gigloom.session import shared_dir
 from gigloom.sources import tables as T
@@ -107,7 +108,8 @@ def detected_report(spark, sf):
 
 # --- publishing ----------------------------------------------------------------------------------------
 
-TITLE = "concat(CASE doc_id % 8 WHEN 0 THEN 'Solar Engineer' WHEN 1 THEN 'Data Analyst' WHEN 2 THEN 'ESG Reporting Lead' WHEN 3 THEN 'Gardener' WHEN 4 THEN 'HR Partner' WHEN 5 THEN 'Wind Turbine Cook' WHEN 6 THEN 'Poet' ELSE 'Python Developer' END, ' ', CAST(doc_id % 100 AS STRING))"
+TITLES = ["Solar Engineer", "Data Analyst", "ESG Reporting Lead", "Gardener", "HR Partner", "Wind Turbine Cook", "Poet", "Python Developer"]
+TITLE = "concat(CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(TITLES)) + " END, ' ', CAST(doc_id % 10 AS STRING))"
 JOBS = Shape(
     "documents", id="doc_id", scrape_id="substr(source, 4)", title=TITLE, job_url="concat('https://jobs.example.com/', CAST(doc_id AS STRING), CASE WHEN doc_id % 3 = 0 THEN '?a=1#x' ELSE '' END)",
     is_active="n_chars % 9 <> 0", published_date="CASE WHEN doc_id % 13 = 0 THEN NULL ELSE CAST(DATE '2023-12-01' + CAST(n_chars % 210 AS INT) AS TIMESTAMP) END",
@@ -157,6 +159,11 @@ def _department(edition, categories):
     rules = _case(edition.rules, "@").replace("lower(title)", "lower(trim(dept_text))").replace("ELSE '@' END", "END")
     near = f"CASE WHEN v.score >= {edition.similar} THEN list_extract([{', '.join(_q(c) for c in categories)}], v.label + 1) END"
     spelled = ""
+    if edition.wording:
+        # labels by wording of every title in use, from the matcher itself
+        titles = [f"{t} {n}" for t in TITLES for n in range(10)]
+        worded = ", ".join(f"({_q(t)}, {_q(w)})" for t, w in ((t, best_of(t, edition.wording, 85)) for t in titles) if w)
+        spelled = f"(SELECT w.label FROM (VALUES {worded}) w(title, label) WHERE w.title = dept_text), "
     return f"coalesce(CASE WHEN trim(dept_text) <> '' THEN {rules} END, {spelled}{near}, {_q(edition.default)})"
 
 

@@ -12,8 +12,9 @@ from gigloom.functions.numbers import experience_label
 from gigloom.functions.text import first_nonempty, nonblank, sections, slug, standard_location, words
 from gigloom.functions.urls import tracked
 from gigloom.operators.keys import computed, lookup_join, new_only, reason_counts, skip_reasons
-from gigloom.operators.match import closest_spelling, nearest
+from gigloom.operators.match import nearest
 from gigloom.operators.merge import retain
+from gigloom.operators.wording import closest_wording
 from gigloom.sources.tables import with_parents
 
 
@@ -27,7 +28,7 @@ class Edition:
     days: int | None = 90
     months: int | None = None
     similar: float = 0.30
-    spelling: list | None = None
+    wording: list | None = None
     by_source: bool = True
     structured: bool = True
     plain_location: bool = False
@@ -40,7 +41,7 @@ GENERAL = Edition("jobs", V.GENERAL_DEPARTMENT_RULES, V.GENERAL_DEPARTMENT_DEFAU
 GREEN = Edition("jobs_sustain", V.GREEN_DEPARTMENT_RULES, V.GREEN_DEPARTMENT_DEFAULT, india_only=True,
                 remote=("remote", "work from home", "wfh"))
 LONG = Edition("jobs", V.LONG_DEPARTMENT_RULES, V.LONG_DEPARTMENT_DEFAULT, min_words=20, days=None, months=6,
-               similar=0.5, spelling=V.LONG_DEPARTMENTS, by_source=False, structured=False, plain_location=True)
+               similar=0.5, wording=V.LONG_DEPARTMENTS, by_source=False, structured=False, plain_location=True)
 
 
 def cutoff(edition: Edition, as_of) -> Column:
@@ -87,14 +88,14 @@ def counts(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> Da
 
 def departments(rows: DataFrame, edition: Edition, categories: DataFrame | None = None, vec: str | None = None,
                 to: str = "department_label") -> DataFrame:
-    """Department by rules, then spelling, then nearest category, then the default."""
+    """Department by rules, then wording, then nearest category, then the default."""
     text = first_nonempty("department", "title")
-    label = F.when(nonblank(text).isNotNull(), rules.first_match(text, edition.rules))
-    if edition.spelling:
-        label = F.coalesce(label, closest_spelling(text, edition.spelling))
-    rows = rows.withColumn(to, label)
+    rows = rows.withColumn(to, F.when(nonblank(text).isNotNull(), rules.first_match(text, edition.rules)))
+    # the costlier steps see only postings no earlier step has named
+    if edition.wording:
+        open_text = F.when(F.col(to).isNull(), nonblank(text))
+        rows = rows.withColumn(to, F.coalesce(to, closest_wording(open_text, edition.wording)))
     if categories is not None and vec is not None:
-        # only postings no rule has named are compared
         open_vec = F.when(F.col(to).isNull() & nonblank(text).isNotNull(), F.col(vec))
         rows = nearest(rows.withColumn("_vec", open_vec), "_vec", categories, edition.similar, to="_near_label")
         rows = rows.withColumn(to, F.coalesce(to, "_near_label")).drop("_vec", "_near_label")
