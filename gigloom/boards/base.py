@@ -139,15 +139,15 @@ def label_rows(df: DataFrame, label: str, value: str, order: str, key: str, rout
     for field_name, test in routes:
         hit = test(F.lower(F.trim(label)))
         name = F.when(hit, field_name) if name is None else name.when(hit, field_name)
-    said = df.withColumn("_field", name).where(F.col("_field").isNotNull() & (col(value) != ""))
-    choose = F.min_by if keep == "first" else F.max_by
-    fields = list(dict.fromkeys(f for f, _ in routes))
-    if sep is not None:
-        best = said.groupBy(key, "_field").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-            F.struct(order, value))), lambda x: x[value]), sep).alias("_v"))
-    else:
-        best = said.groupBy(key, "_field").agg(choose(value, order).alias("_v"))
-    return best.groupBy(key).agg(*[F.max(F.when(F.col("_field") == f, F.col("_v"))).alias(f) for f in fields])
+    rows = df.withColumn("_field", name).where(F.col("_field").isNotNull() & (col(value) != ""))
+
+    def chosen(field_name):
+        mine = F.col("_field") == field_name
+        if sep is not None:
+            told = F.array_sort(F.collect_list(F.when(mine, F.struct(order, value))))
+            return nonempty(F.array_join(F.transform(told, lambda x: x[value]), sep))
+        return (F.min_by if keep == "first" else F.max_by)(F.when(mine, col(value)), F.when(mine, col(order)))
+    return rows.groupBy(key).agg(*[chosen(f).alias(f) for f in dict.fromkeys(f for f, _ in routes)])
 
 
 # --- running a layout over pages -----------------------------------------------------

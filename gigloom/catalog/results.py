@@ -4,6 +4,9 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
+from gigloom.boards import BOARDS
+from gigloom.boards.base import LISTED, listed
+from gigloom.catalog import platforms as C
 from gigloom.catalog.registry import AS_OF, Shape, query, table
 from gigloom.catalog.scalars import BAD, SLUG, TRACK, _any, _case, _q
 from gigloom.functions import fixed_values as V
@@ -292,3 +295,19 @@ def stream_append(spark, sf):
     landed = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     append_new(landed, f"{root}/target", "text", "doc_id", f"{root}/progress").awaitTermination()
     return spark.read.schema(schema).parquet(f"{root}/target").where("lang <> 'seen'")
+
+
+@query(f"SELECT title, job_url, location FROM ({C.cards_sql('keka', {f: f for f in LISTED})}) WHERE job_url NOT IN (SELECT 'https://k.example.com/' || s_suppkey FROM supplier)")
+def stream_listing(spark, sf):
+    """Board pages that land file by file, read into postings the target does not hold yet."""
+    root = f"{shared_dir(spark)}/stream-{uuid4().hex}"
+    known = "concat('https://k.example.com/', s_suppkey) AS job_url"
+    table(spark, sf, "supplier").selectExpr("s_name AS title", known, "'seen' AS location", "0L AS page_id", "0 AS card_pos").write.parquet(f"{root}/target")
+    landed = spark.readStream.schema(table(spark, sf, "part").schema).option("pathGlobFilter", "part.parquet").parquet(sf)
+    shape = C.list_pages("keka")
+
+    def postings(batch):
+        pages = batch.selectExpr(*[f"{e} AS {n}" for n, e in shape.columns.items()]).withColumnRenamed("id", "page_id")
+        return listed(pages, BOARDS["keka"].listing).select("title", "job_url", "location", "page_id", "card_pos")
+    append_new(landed, f"{root}/target", "job_url", ["page_id", "card_pos"], f"{root}/progress", prepare=postings).awaitTermination()
+    return spark.read.parquet(f"{root}/target").where("location IS NULL OR location <> 'seen'").select("title", "job_url", "location")

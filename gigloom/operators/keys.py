@@ -31,25 +31,29 @@ def _list(x):
 
 def row_bin(df: DataFrame, keys, bins: int) -> Column:
     """A bin per row from a few columns other than the keys, so column pruning still works."""
-    others = [c for c in df.columns if c not in keys][:3]
+    others = [c for c, kind in df.dtypes if c not in keys and not kind.startswith(("map", "array", "struct"))][:3]
     return F.pmod(F.xxhash64(*others), F.lit(bins)) if others else F.lit(0).cast("bigint")
 
 
-def _bin(df: DataFrame, keys) -> Column:
-    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return F.when(empty, row_bin(df, keys, NULL_BINS) + 1).otherwise(F.lit(0).cast("bigint"))
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", distinct: bool = False) -> DataFrame:
-    """Equi-join on key columns with null-key rows of `df` spread over the cluster.
+def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", distinct: bool = False,
+                salts: int = 1, spread_by=None) -> DataFrame:
+    """Equi-join on key columns that no single key can hold up.
 
+    Rows of `df` whose key is null match nothing and are dealt over NULL_BINS bins. With
+    salts > 1 the rows of every key are dealt over that many bins, by a hash of `spread_by`,
+    and the (much smaller) lookup is repeated for each; else adaptive skew splitting applies.
     distinct: the lookup holds key columns (and constants) only and is reduced to distinct
     rows, in the partitioning the join uses.
     """
     keys = _list(keys)
-    left = df.withColumn("_bin", _bin(df, keys))
-    # always 0, but not a literal: a literal would be folded out of the join keys
-    right = lookup.withColumn("_bin", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint"))
+    by = [c for c in (spread_by or df.columns) if c not in keys]
+    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    own = row_bin(df.select(*by) if by else df, keys, salts) if salts > 1 else F.lit(0).cast("bigint")
+    left = df.withColumn("_bin", F.when(empty, row_bin(df, keys, NULL_BINS) + salts).otherwise(own))
+    # one bin: always 0, but not a literal, which would be folded out of the join keys
+    bins = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint") if salts == 1 else F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    right = lookup.select("*", bins.alias("_bin"))
     if distinct:
         right = right.dropDuplicates([*keys, "_bin"])
     return left.join(right, [*keys, "_bin"], how).drop("_bin")

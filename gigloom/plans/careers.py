@@ -72,7 +72,8 @@ def crawl(sites: DataFrame, facts: DataFrame, max_depth: int = 2, stage: int = 1
 
 def accepted(candidates: DataFrame, facts: DataFrame) -> DataFrame:
     """Per company, the first candidate whose landed page passes: (list_id, careers_url, confidence, method)."""
-    judged = candidates.join(facts.select("url", "confidence", "reason"), "url").where(F.col("confidence") >= ACCEPTED)
+    passing = facts.where(F.col("confidence") >= ACCEPTED).select("url", "confidence", "reason")
+    judged = lookup_join(candidates, passing, "url", "inner", salts=8, spread_by=["list_id"])
     judged = judged.withColumn("careers_url", F.col("url")).withColumn("method", F.concat_ws(":", "how", "reason"))
     return pick_first(judged, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"])
 

@@ -58,8 +58,9 @@ def _board_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     """Pages of the boards at hand; a landed page may name the board it was reached from."""
     at = "board_url" if "board_url" in pages.columns else "url"
     order = F.col("page_ord") if "page_ord" in pages.columns else F.lit(0)
-    return (P.landed(pages).withColumn("page_ord", order).withColumn("_at", F.col(at))
-            .join(runs.withColumnRenamed("url", "_at"), "_at").drop("_at", "status", "board_url"))
+    rows = P.landed(pages).withColumn("page_ord", order).withColumn("_at", F.col(at))
+    found = lookup_join(rows, runs.withColumnRenamed("url", "_at"), "_at", "inner", salts=8, spread_by=["url", "page_ord"])
+    return found.drop("_at", "status", "board_url")
 
 
 def discover(board: Board, boards: DataFrame, pages: DataFrame, jobs: DataFrame, as_of):
@@ -156,7 +157,8 @@ def once_oracle(companies: DataFrame, listings: DataFrame, bodies: DataFrame, jo
         sites = lookup_join(sites, answered, ["api_base", "site_name"]).withColumn("api_base", F.when(
             F.col("_up").isNull(), F.coalesce(urls.alternate_host("api_base"), "api_base")).otherwise(F.col("api_base")))
         sites = sites.drop("_up")
-    found = oracle.listed(listings, keep).join(sites, ["api_base", "site_name"])
+    found = lookup_join(oracle.listed(listings, keep), sites, ["api_base", "site_name"], "inner", salts=8,
+                        spread_by=["job_id"])
     rows = dedupe(found, ["job_url"], ["company_sustain_id", "offset", "pos"], "first")
     rows = new_only(rows, jobs, "job_url")
     merged = oracle.merged(rows, oracle.detail(bodies))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import fixed_values as V
 from gigloom.functions.text import strip
-from gigloom.operators.keys import lookup_join, row_bin
+from gigloom.operators.keys import lookup_join
 
 SCHEMAS = {
     "input_list": "id bigint, name string, domain string, description string, status string",
@@ -107,17 +107,13 @@ def parents(scrapes: DataFrame, ats_website: DataFrame, companies: DataFrame | N
     return chain.drop("_ats", "_co")
 
 
-def salted_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left", salts: int = 8) -> DataFrame:
-    """Join postings to a much smaller lookup so that one hot key is shared by `salts` tasks."""
-    left = df.withColumn("_salt", row_bin(df, [key], salts))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
-
-
 def with_parents(jobs: DataFrame, lookup: DataFrame, key: str = "scrape_id", how: str = "left",
                  salts: int = 8) -> DataFrame:
-    """Postings with parent columns; a posting without a company gets the default name."""
-    out = salted_join(jobs, lookup, key, how, salts)
+    """Postings with parent columns; a posting without a company gets the default name.
+
+    A third of all postings may hang on one scrape: its postings are shared by `salts` tasks.
+    """
+    out = lookup_join(jobs, lookup, key, how, salts=salts)
     if "company_found" in out.columns:
         out = out.withColumn("company_name", F.when(F.col("company_found").isNull(), V.UNKNOWN_COMPANY)
                              .otherwise(F.col("company_name"))).drop("company_found")

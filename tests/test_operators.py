@@ -41,7 +41,7 @@ def test_hot_and_null_keys_are_spread(spark):
         nulls = out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
         assert len(nulls) == int(spark.conf.get("spark.sql.shuffle.partitions"))
         hot = spark.range(6000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 7 ELSE id END AS scrape_id")
-        joined = T.salted_join(hot, spark.range(10).selectExpr("id AS scrape_id", "id * 2 AS x"), "scrape_id")
+        joined = T.with_parents(hot, spark.range(10).selectExpr("id AS scrape_id", "id * 2 AS x"))
         assert joined.count() == 6000 and joined.where("scrape_id = 7 AND x = 14").groupBy(F.spark_partition_id()).count().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
