@@ -41,6 +41,7 @@ class Board:
     keys: tuple = ("job_url",)
     keep: str = "last"
     # one-pass runs
+    ats_once: str | None = None
     listing_once: Callable | None = None
     listing_rendered: Callable | None = None
     listed_once: tuple = ("location", "job_type", "department", "published_date")

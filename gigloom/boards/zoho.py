@@ -128,6 +128,6 @@ BOARD = Board(
              "department", "industry"),
     prefer={c: "detail_only" for c in ("title", "original_description", "job_type", "published_date", "location",
                                        "department", "industry")},
-    listing_rendered=listing_rendered, listed_once=("location", "job_type", "published_date"),
+    ats_once="zoho", listing_rendered=listing_rendered, listed_once=("location", "job_type", "published_date"),
     failed_once=None, needed_once="title",
 )

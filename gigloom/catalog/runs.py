@@ -211,7 +211,7 @@ def _once_sql(name):
 
 def _register_once(name):
     board = BOARDS[name]
-    companies = Shape("part", id="CAST(p_partkey AS STRING)", company_name="p_name", ats_detected=f"'on {board.ats.upper()}'",
+    companies = Shape("part", id="CAST(p_partkey AS STRING)", company_name="p_name", ats_detected=f"'on {(board.ats_once or board.ats).upper()}'",
                       jobs_page_url=f"concat(' {C.SITE}/list/', CAST(p_partkey AS STRING))")
     links = _once_rows(name)
     address = "CASE " + " ".join(f"WHEN {w} THEN {ONCE_URL.get(name, c['job_url'])}" for w, c in links.items()) + " ELSE concat('none', CAST(id AS STRING)) END"

@@ -119,7 +119,7 @@ def enrich_pending(board: Board, jobs: DataFrame, scrapes: DataFrame, ats_websit
 
 def once(board: Board, companies: DataFrame, pages: DataFrame, jobs: DataFrame, as_of, keep=rules.is_green_title):
     """One pass for gated postings: list, gate, drop known, read details, merge."""
-    targets = T.targets(companies, board.ats)
+    targets = T.targets(companies, board.ats_once or board.ats)
     found = read_listing(board, _board_pages(pages, targets), keep, once=True)
     order = ["company_sustain_id", "page_ord", "card_pos"]
     rows = dedupe(found, list(board.keys), order, "first")
