@@ -32,6 +32,7 @@ IMPLIED_END = {
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+CHUNK = 100_000
 HIDDEN = frozenset(["script", "style", "template"])
 
 NODE = pa.struct([
@@ -111,32 +112,38 @@ class _Flat(HTMLParser):
         return self
 
 
+def _as_structs(pos, last, up, tag, attrs, text) -> pa.StructArray:
+    cls, at, keys, values = [], [0], [], []
+    for pairs in attrs:
+        own = {k: v or "" for k, v in reversed(pairs)}  # the first of repeated attributes counts
+        classes = own.get("class")
+        cls.append(f" {' '.join(classes.split())} " if classes else None)
+        keys.extend(own)
+        values.extend(own.values())
+        at.append(len(keys))
+    held = pa.MapArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
+    ints = [pa.array(x, pa.int32()) for x in (pos, last, up)]
+    strings = [pa.array(x, pa.string()) for x in (tag, cls)]
+    return pa.StructArray.from_arrays([*ints, *strings, held, pa.array(text, pa.string())], fields=list(NODE))
+
+
 @F.arrow_udf(NODES)
 def _nodes(markup: pa.Array) -> pa.Array:
-    starts, pos, last, up, tag, cls, text = [0], [], [], [], [], [], []
-    at, keys, values = [0], [], []
-    for page in markup.to_pylist():
-        if page is not None:
-            flat = _Flat().read(page)
-            pos.extend(range(len(flat.tag)))
-            last.extend(flat.last)
-            up.extend(flat.up)
-            tag.extend(flat.tag)
-            text.extend(flat.text)
-            for pairs in flat.attrs:
-                own = {k: v or "" for k, v in reversed(pairs)}  # the first of repeated attributes counts
-                classes = own.get("class")
-                cls.append(f" {' '.join(classes.split())} " if classes else None)
-                keys.extend(own)
-                values.extend(own.values())
-                at.append(len(keys))
-        starts.append(len(pos))
-    attrs = pa.MapArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys, pa.string()),
-                                    pa.array(values, pa.string()))
-    rows = pa.StructArray.from_arrays(
-        [pa.array(pos, pa.int32()), pa.array(last, pa.int32()), pa.array(up, pa.int32()), pa.array(tag, pa.string()),
-         pa.array(cls, pa.string()), attrs, pa.array(text, pa.string())], fields=list(NODE))
-    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), rows)
+    starts, done = [0], []
+    held = [[] for _ in range(6)]
+    for page in markup:
+        if page.is_valid:
+            flat = _Flat().read(page.as_py())
+            for into, new in zip(held, (range(len(flat.tag)), flat.last, flat.up, flat.tag, flat.attrs, flat.text)):
+                into.extend(new)
+            starts.append(starts[-1] + len(flat.tag))
+        else:
+            starts.append(starts[-1])
+        if len(held[0]) > CHUNK:  # Python objects are held for a bounded number of nodes only
+            done.append(_as_structs(*held))
+            held = [[] for _ in range(6)]
+    done.append(_as_structs(*held))
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.concat_arrays(done))
 
 
 def nodes(markup) -> Column:

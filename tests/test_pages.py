@@ -83,3 +83,13 @@ def test_routing_first_last_joined(spark):
     got = r.select(routed(F.col("r"), "place"), routed(F.col("r"), "place", "last"), routed(F.col("r"), "place", sep=", "),
                    routed(F.col("r"), "kind"), routed(F.col("r"), "none")).first()
     assert tuple(got) == ("A", "B", "A, B", "T", None)
+
+
+def test_large_pages_in_one_batch_stay_whole_and_apart(spark):
+    """Nodes are handed over in chunks; every page keeps exactly its own."""
+    sizes = [40_000, 0, 35_000, 30_000, 5]
+    pages = spark.createDataFrame([(i, "<b>x</b>" * n if n else None) for i, n in enumerate(sizes)], "i int, html string").coalesce(1)
+    rows = pages.select("i", P.nodes("html").alias("dom")).select(
+        "i", F.size(P.pick(F.col("dom"), P.el("b"))).alias("n"), F.element_at("dom", -1)["pos"].alias("last"), F.size("dom").alias("all"))
+    for r in rows.orderBy("i").collect():
+        assert (r.n, r["last"] + 1) == (sizes[r.i], r["all"])
