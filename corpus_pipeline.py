@@ -5,18 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gigloom.llm import ngram_join
+from gigloom.llm import decontaminate, langid, line_dedup, mixing, ngram_join
 from gigloom.llm.store import read, stored
 
 
+SURE = 0.5  # probability below which a language isn't told
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told: not `und`, and at a probability of SURE or more."""
+    learn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
+    found = langid.languages(docs, learn, pred="_lang_pred", score="_lang_score")
+    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= SURE)).select(docs.columns)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies by 5-word shingles at 0.8: the smallest doc_id of each group stays."""
+    """Near copies by 5-word shingles at 0.8: the smallest doc_id of each group stays, and rows without an id."""
     groups = ngram_join.groups_of_near_copies(docs, width=5, similarity=(80, 100))
-    kept = groups.where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    copies = groups.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines and passages that an earlier document has; a document left without a word goes."""
+    left = line_dedup.without_repeats(docs)
+    kept = left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return (kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept).select(docs.columns)
+
+
+def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words the training mix takes of each document."""
+    return mixing.mixed(docs, weights=(5, 2, 1))
 
 
-STAGES = [("n-gram Jaccard join", one_of_each_group)]
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("substring dedup", without_repeated_passages),
+    ("benchmark decontamination", without_test_items),
+    ("mixing sources to target weights", mixed_sources),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,14 +14,13 @@ pivot's component are then compared with the others, block against block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gigloom.llm import sketch
 from gigloom.llm.components import components
 from gigloom.llm.store import stored
 from gigloom.llm.words import by_row, mix, pieces, shingles, words
@@ -30,7 +29,6 @@ HOT = 64  # classes; a shingle in more prefixes goes the pivot's way
 EXTRA = (1, 2, 3, 4, 6, 8, 12, 16)  # the l a document can pick
 VERIFY = 0.2  # cost of verifying a candidate, per shingle, in index entries read
 SKETCH_BITS = 21  # counters of the frequency estimate: 2**21 of 4 bytes, whatever the input's size
-SLICES = 64
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 500_000  # classes and shingles of one side of a block comparison
 
 
@@ -61,33 +59,11 @@ def _summary(width: int):
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(d1), pa.array(d2),
                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["doc_id", "n", "d1", "d2", "slice", "counts"])
-        parts = [x.tobytes() for x in counts.reshape(SLICES, -1)]
-        yield pa.RecordBatch.from_arrays([
-            *[pa.nulls(SLICES, pa.int64())] * 4, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())],
-            ["doc_id", "n", "d1", "d2", "slice", "counts"])
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(sketch.SLICES, pa.int64())] * 4, *sketch.sliced(counts)],
+                                         ["doc_id", "n", "d1", "d2", "slice", "counts"])
     return run
 
 
-def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of a slice's counters, a few rows in memory at a time."""
-    total = np.zeros((1 << SKETCH_BITS) // SLICES, np.int64)
-    for batch in batches:
-        for x in batch.column(batch.schema.get_field_index("counts")):
-            total += np.frombuffer(x.as_py(), np.int32)
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array(
-        [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())], ["slice", "counts"])
-
-
-def _frequencies(parts: DataFrame) -> np.ndarray:
-    """The sketch of the whole table: 2**SKETCH_BITS counters, added up in two steps on executors."""
-    some = parts.groupBy("slice", "part").applyInArrow(_added, "slice int, counts binary")
-    total = np.zeros(1 << SKETCH_BITS, np.int32)
-    size = len(total) // SLICES
-    for r in some.groupBy("slice").applyInArrow(_added, "slice int, counts binary").collect():
-        total[r.slice * size:(r.slice + 1) * size] = np.frombuffer(r.counts, np.int32)
-    return total
-
-
 def adaptive_prefix(found: np.ndarray, share: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
     """(prefix, l) of a set: `found` in global order, `share` the estimated frequency of each."""
     n = len(found)
@@ -104,9 +80,9 @@ def adaptive_prefix(found: np.ndarray, share: np.ndarray, num: int, den: int) ->
     return found[:base + pick], pick
 
 
-def _prefixes(width: int, num: int, den: int, sketch):
+def _prefixes(width: int, num: int, den: int, often):
     def run(batches):
-        df = sketch.value
+        df = often.value
         noise = float(df.mean())
         mask = np.uint64(len(df) - 1)
         for batch in pieces(batches, "text"):
@@ -249,20 +225,20 @@ def groups_of_near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int
     num, den = similarity
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    seen = stored(rows.mapInArrow(_summary(width), "doc_id long, n long, d1 long, d2 long, slice int, counts binary").withColumn(
-        "part", F.when(F.col("slice").isNotNull(), F.expr("spark_partition_id() div 256"))))
+    seen = stored(sketch.numbered(rows.mapInArrow(_summary(width), f"doc_id long, n long, d1 long, d2 long, {sketch.FIELDS}")))
     every = seen.where("slice is null").select("doc_id", "n", "d1", "d2")
-    sketch = spark.sparkContext.broadcast(_frequencies(seen.where("slice is not null").select("slice", "part", "counts")))
+    often = sketch.total(seen.where("slice is not null").select("slice", "part", "counts"), 1 << SKETCH_BITS)
+    often = spark.sparkContext.broadcast(often)
     classes = stored(every.where("doc_id is not null and n > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n")))
 
     # the index: prefix shingles of one document of each class, without shingles that only one class has
-    entries = rows.mapInArrow(_prefixes(width, num, den, sketch), "doc_id long, d1 long, d2 long, n long, l long, tokens array<long>")
+    entries = rows.mapInArrow(_prefixes(width, num, den, often), "doc_id long, d1 long, d2 long, n long, l long, tokens array<long>")
     entries = entries.where("n > 0").withColumnRenamed("doc_id", "rep").join(
         classes.select("rep", "d1", "d2"), ["rep", "d1", "d2"], "left_semi").dropDuplicates(["rep", "d1", "d2"])
     entries = stored(entries.select("d1", F.expr("n * 32 + l").alias("nl"), F.explode("tokens").alias("token")))
-    often = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    index = stored(entries.join(often, "token"))
+    shared = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    index = stored(entries.join(shared, "token"))
 
     few = index.where(F.col("df") <= HOT).select("token", "d1", F.expr("nl div 32").alias("n"), F.expr("nl % 32").alias("l"))
     a, b = few.selectExpr("token", "d1 AS a", "n AS na", "l AS la"), few.selectExpr("token", "d1 AS b", "n AS nb", "l AS lb")

@@ -1,8 +1,9 @@
 """The registered queries of the operators: each over its whole table, with the parameters of production."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gigloom.llm import ngram_join
+from gigloom.llm import decontaminate, langid, line_dedup, mixing, ngram_join
 from gigloom.llm.store import read
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -31,5 +32,43 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.v, d
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 LEFT JOIN (SELECT u, min(v) AS v FROM r GROUP BY u) m ON m.u = d.doc_id"""
 
-QUERIES = {"op1_ngram_join": op1_ngram_join}
-ORACLES = {"op1_ngram_join": OP1_SQL}
+def _fold(k: int) -> Column:
+    """Which of k folds a document is in, by its id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(k))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.languages(docs, _fold(5) != 0)
+    return found.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated passage that goes, with its offsets in the original text."""
+    return line_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of all sources takes, weights 5, 2, 1."""
+    return mixing.mixed(read(spark, sf_dir, "documents"), weights=(5, 2, 1)).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 80% or more of a test item's 5-word shingles."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _shingled_lower(table: str, key: str) -> str:
+    return _shingled(5, table, key).replace(_LOWER, "lower(text)")
+
+
+OP10_SQL = f"""WITH d AS MATERIALIZED {_shingled_lower('documents', 'doc_id')}, i AS MATERIALIZED {_shingled_lower('benchmark', 'item_id')},
+q AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
+SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*) / q.n AS containment
+FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
+GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_language_id, op5_line_dedup, op7_mixing, op10_decontaminate)}
+ORACLES = {"op1_ngram_join": OP1_SQL, "op10_decontaminate": OP10_SQL}
