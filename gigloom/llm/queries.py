@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gigloom.llm import decontaminate, langid, line_dedup, mixing, ngram_join
+from gigloom.llm import decontaminate, langid, line_dedup, mixing, ngram_join, topk
 from gigloom.llm.store import read
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -55,6 +55,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector among all others."""
+    return topk.nearest(read(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+OP8_SQL = """WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+QUALIFY rank <= 10"""
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 80% or more of a test item's 5-word shingles."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -70,5 +83,5 @@ SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*
 FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_language_id, op5_line_dedup, op7_mixing, op10_decontaminate)}
-ORACLES = {"op1_ngram_join": OP1_SQL, "op10_decontaminate": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_language_id, op5_line_dedup, op7_mixing, op8_topk, op10_decontaminate)}
+ORACLES = {"op1_ngram_join": OP1_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}
