@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gigloom.llm import decontaminate, langid, line_dedup, mixing, ngram_join, topk
+from gigloom.llm import decontaminate, langid, lattice_lm, line_dedup, mixing, ngram_join, topk
 from gigloom.llm.store import read
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -44,6 +44,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every text under the subword lattice model and the word base, learned outside the held-out fold."""
+    scored = lattice_lm.scored(read(spark, sf_dir, "documents"), _fold(10) != 0)
+    return scored.select("doc_id", F.coalesce(_fold(10) == 0, F.lit(False)).alias("held_out"),
+                         "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every repeated passage that goes, with its offsets in the original text."""
     return line_dedup.repeated_passages(read(spark, sf_dir, "documents"))
@@ -83,5 +90,5 @@ SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*
 FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_language_id, op5_line_dedup, op7_mixing, op8_topk, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_language_id, op4_lattice_lm, op5_line_dedup, op7_mixing, op8_topk, op10_decontaminate)}
 ORACLES = {"op1_ngram_join": OP1_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}
