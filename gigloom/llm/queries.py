@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gigloom.llm import decontaminate, langid, lattice_lm, line_dedup, mixing, ngram_join, topk
+from gigloom.llm import decontaminate, langid, lattice_lm, license_scan, line_dedup, mixing, ngram_join, topk, toxicity
 from gigloom.llm.store import read
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -37,6 +37,14 @@ def _fold(k: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(k))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic every text is, learned from labels outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), _fold(3) != 1)
+    return toxicity.scored(docs, model).select(
+        "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every text, learned outside the held-out fold."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -56,6 +64,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in every text: which, where, and how much of its template is there."""
+    return license_scan.licenses(read(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document a mix of all sources takes, weights 5, 2, 1."""
     return mixing.mixed(read(spark, sf_dir, "documents"), weights=(5, 2, 1)).select(
@@ -90,5 +103,5 @@ SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*
 FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_language_id, op4_lattice_lm, op5_line_dedup, op7_mixing, op8_topk, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_language_id, op4_lattice_lm, op5_line_dedup, op6_license_scan, op7_mixing, op8_topk, op10_decontaminate)}
 ORACLES = {"op1_ngram_join": OP1_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}

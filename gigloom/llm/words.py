@@ -110,9 +110,10 @@ class Words:
         return out
 
 
-def words(batch: pa.RecordBatch, column: str) -> Words:
+def words(batch: pa.RecordBatch, column: str, of: np.ndarray = _IS_WORD) -> Words:
+    """The words of a text column: runs of the bytes that `of` marks."""
     raw, at = texts(batch, column)
-    inside = _IS_WORD[raw]
+    inside = of[raw]
     edge = np.zeros(len(raw) + 1, bool)  # a text starts here
     edge[at[:-1][at[:-1] < len(raw)]] = True
     edge[len(raw)] = True
