@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gigloom.llm import decontaminate, langid, lattice_lm, license_scan, line_dedup, mixing, ngram_join, topk, toxicity
+from gigloom.llm import decontaminate, langid, lattice_lm, license_scan, line_dedup, mixing, ngram_join, topk, toxicity, wrappers
 from gigloom.llm.store import read
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -88,6 +88,11 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 QUALIFY rank <= 10"""
 
 
+def op9_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by wrappers inferred from all pages of its host."""
+    return wrappers.extracted(read(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 80% or more of a test item's 5-word shingles."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -103,5 +108,5 @@ SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*
 FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_language_id, op4_lattice_lm, op5_line_dedup, op6_license_scan, op7_mixing, op8_topk, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_language_id, op4_lattice_lm, op5_line_dedup, op6_license_scan, op7_mixing, op8_topk, op9_wrappers, op10_decontaminate)}
 ORACLES = {"op1_ngram_join": OP1_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}
