@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gigloom.llm.words import LOWER, pieces
+from gigloom.llm.words import LOWER, pieces, place_values
 
 BUCKETS = 1 << 18
 DIM = 16
@@ -69,28 +69,16 @@ def bags(texts: list[str | None]) -> Bags:
             i = np.flatnonzero(inner & ~blank[1:1 + m])
             found.append((h[i] * np.uint32(0x9E3779B1)) >> np.uint32(32 - 18))
             owner.append(word[i + 1])
-    sums = np.concatenate([[0], np.cumsum((raw.astype(np.uint64) + np.uint64(7)) * _place(len(raw)))]).astype(np.uint64)
-    whole = (sums[ends] - sums[begins]) * _unplace(len(raw))[begins]
+    up, down = place_values(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(7)) * up[:len(raw)], out=sums[1:])
+    whole = (sums[ends] - sums[begins]) * down[begins]
     found.append(((whole * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 18)).astype(np.uint32))
     owner.append(np.arange(len(begins)))
     bucket, owner = np.concatenate(found).astype(np.int64), np.concatenate(owner)
     return Bags(bucket, owner, row)
 
 
-_BASE = 0xD6E8FEB86659FD93
-_UP = np.cumprod(np.concatenate([[1], np.full((1 << 20) + 64, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-_DOWN = np.cumprod(np.concatenate([[1], np.full((1 << 20) + 64, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
-
-
-def _place(n: int) -> np.ndarray:
-    return _UP[:n] if n <= len(_UP) else np.cumprod(np.concatenate([[1], np.full(n - 1, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-
-
-def _unplace(n: int) -> np.ndarray:
-    return _DOWN[:n] if n <= len(_DOWN) else np.cumprod(
-        np.concatenate([[1], np.full(n - 1, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
-
-
 @dataclass
 class Model:
     """What scoring needs of the embeddings and the softmax: each subword's part of a window's logit, and the fit."""

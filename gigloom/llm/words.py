@@ -39,7 +39,12 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_UP, _DOWN = powers(_BASE, CHUNK + 1), powers(_INVERSE, CHUNK + 1)
+_UP, _DOWN = powers(_BASE, 2 * CHUNK), powers(_INVERSE, 2 * CHUNK)
+
+
+def place_values(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors of the first n + 1 places of a rolling hash, and their inverses."""
+    return (_UP, _DOWN) if n < len(_UP) else (powers(_BASE, n + 1), powers(_INVERSE, n + 1))
 
 
 def texts(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +92,7 @@ class Words:
             j = max(i + 1, int(np.searchsorted(self.end, low + CHUNK, "right")))
             high = int(self.end[j - 1])
             n = high - int(low)
-            up, down = (_UP, _DOWN) if n <= CHUNK else (powers(_BASE, n + 1), powers(_INVERSE, n + 1))
+            up, down = place_values(n)
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(_BYTE[self.raw[low:high]] * up[:n], out=sums[1:])
             s, e = self.start[i:j] - low, self.end[i:j] - low
