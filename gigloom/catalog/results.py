@@ -40,7 +40,8 @@ def _sites(spark, sf):
         return F.when(when, F.struct(F.concat("home", F.lit(path)).alias("url"), html.alias("html"), F.lit(status).alias("status")))
     n = F.col("nation")
     pages = s.select(F.explode(F.filter(F.array(
-        page("", F.col("front"), n != 10),
+        F.when(n != 10, F.struct(F.concat("home", F.when(n % 2 == 0, "/").otherwise("")).alias("url"), F.col("front").alias("html"),
+                                 F.lit(200).alias("status"))),
         page("/careers", F.lit("<h1>Join</h1>"), n.isin(0, 7)),
         page("/jobs", F.lit("<h1>x</h1>"), n.isin(0, 13), 200), page("/career", F.lit("gone"), n == 0, 404),
         page("/x/joblist", F.lit("missing"), n == 1, 404), page("/x/jobs2", F.lit("<p>list</p>"), n == 1),

@@ -192,7 +192,7 @@ AGO = Shape(
     "events", id="event_id", n="CAST(user_id AS INT)",
     text="CASE event_type WHEN 'view' THEN concat(CAST(user_id AS STRING), ' days ago') WHEN 'click' THEN 'Posted Yesterday'"
          " WHEN 'error' THEN 'Just now' WHEN 'signup' THEN concat('Posted ', CAST(user_id AS STRING), '+ Days Ago') ELSE '1 day ago' END",
-    unit="concat('Posted about ', CAST(user_id AS STRING), CASE event_type WHEN 'view' THEN ' minutes ago' WHEN 'click' THEN ' hours ago'"
+    unit="concat('Posted about ', CAST(user_id + 700001 * (CASE WHEN event_type IN ('view', 'click') THEN event_id % 2 ELSE 0 END) AS STRING), CASE event_type WHEN 'view' THEN ' minutes ago' WHEN 'click' THEN ' hours ago'"
          " WHEN 'error' THEN ' weeks ago' WHEN 'signup' THEN ' months ago' ELSE ' years ago' END)", kind="event_type")
 
 
@@ -205,7 +205,7 @@ def relative_dates(spark, sf):
 UNITS = f"CASE kind WHEN 'view' THEN {{}} WHEN 'click' THEN {{}} WHEN 'error' THEN {NOW} - to_days(n * 7) WHEN 'signup' THEN {NOW} - to_days(n * 30) ELSE {NOW} - to_days(n * 365) END"
 
 
-@query(_in(AGO, posted=UNITS.format(f"{NOW} - to_minutes(n)", f"{NOW} - to_hours(n)"), day=f"CAST({UNITS.format(NOW, NOW)} AS DATE)"))
+@query(_in(AGO, posted=UNITS.format(f"{NOW} - to_minutes(n + 700001 * (id % 2))", f"{NOW} - to_hours(n + 700001 * (id % 2))"), day=f"CAST({UNITS.format(NOW, NOW)} AS DATE)"))
 def relative_unit_dates(spark, sf):
     return _of(AGO, spark, sf, posted=D.relative_units("unit", AS_OF), day=D.relative_units("unit", AS_OF, whole_days=True))
 
@@ -440,7 +440,7 @@ def careers_verdict(spark, sf):
     return FEATURES.df(spark, sf).select("id", v.alias("v")).select("id", "v.*")
 
 
-GATES = Shape("customer", id="c_custkey", place="CASE c_nationkey % 10 WHEN 0 THEN 'Bengaluru, Karnataka' WHEN 1 THEN 'Indianapolis, Indiana' WHEN 2 THEN 'Remote' WHEN 3 THEN 'Remote - US' WHEN 4 THEN NULL WHEN 5 THEN 'Mumbai / Pune, India' WHEN 6 THEN c_mktsegment WHEN 7 THEN 'Hyderabad, Pakistan' WHEN 8 THEN 'remote india' ELSE 'Goalpara' END",
+GATES = Shape("customer", id="c_custkey", place="CASE c_nationkey % 10 WHEN 0 THEN 'Bengaluru, Karnataka' WHEN 1 THEN 'Indianapolis, Indiana' WHEN 2 THEN 'Remote' WHEN 3 THEN 'Remote - US' WHEN 4 THEN NULL WHEN 5 THEN 'Mumbai / Pune, India' WHEN 6 THEN c_mktsegment WHEN 7 THEN 'Hyderabad, Pakistan' WHEN 8 THEN 'remote india' WHEN 9 THEN concat(CASE c_custkey % 5 WHEN 0 THEN 'Kota Kinabalu, Malaysia' WHEN 1 THEN 'Surat Thani, Thailand' WHEN 2 THEN 'Agra, Kansas' WHEN 3 THEN 'Goa, Philippines' ELSE 'Goalpara' END, '') END",
               country="CASE c_nationkey % 5 WHEN 0 THEN 'IN' WHEN 1 THEN 'in' WHEN 2 THEN NULL WHEN 3 THEN '' ELSE 'US' END", nation="c_nationkey")
 
 

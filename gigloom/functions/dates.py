@@ -9,6 +9,7 @@ from gigloom.functions.text import clean, col, collapse, let, strip
 MDY = (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy")
 DMY = (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy")
 YMD = (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d")
+YMD_SLASH = (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d")
 DMY_DASH = (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy")
 MON_D_Y = (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy")
 MONTH_D_Y = (r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", "MMMM d, yyyy")
@@ -93,9 +94,10 @@ def relative_units(c, as_of, whole_days: bool = False) -> Column:
             if days == 0:
                 value = now
             elif days < 1:
-                step = F.make_dt_interval(F.lit(0), F.lit(0), F.least(n, F.lit(MAX_DAYS))) if word == "minute" \
-                    else F.make_dt_interval(F.lit(0), F.least(n, F.lit(MAX_DAYS)))
-                value = F.when(n <= MAX_DAYS, now - step)
+                most = F.lit(MAX_DAYS * (1440 if word == "minute" else 24))
+                step = F.make_dt_interval(F.lit(0), F.lit(0), F.least(n, most)) if word == "minute" \
+                    else F.make_dt_interval(F.lit(0), F.least(n, most))
+                value = F.when(n <= most, now - step)
             else:
                 value = _back(now, (n.cast("long") * days).try_cast("int"))
             out = out.when(t.rlike(pattern), value)
@@ -121,8 +123,9 @@ def leading_date(c) -> Column:
 
 
 def any_timestamp(c) -> Column:
-    """Timestamp or mixed text to UTC; unreadable text becomes null."""
-    return col(c).try_cast("timestamp")
+    """Timestamp, or text in ISO, month-name or numeric form (day first), to UTC; unreadable text becomes null."""
+    text = collapse(F.coalesce(col(c).cast("string"), F.lit("")))
+    return F.coalesce(col(c).try_cast("timestamp"), in_formats(text, [MON_D_Y, MONTH_D_Y, D_MON_Y, DMY, DMY_DASH, YMD_SLASH]))
 
 
 def day_text(c) -> Column:

@@ -310,7 +310,7 @@ INDIA_PLACES = [
     "cuttack", "rourkela", "guwahati", "shillong", "kochi", "cochin", "thiruvananthapuram", "trivandrum",
     "kozhikode", "calicut", "thrissur", "panaji", "srinagar",
 ]
-ELSEWHERE_PLACES = [
-    "usa", "united states", "u.s.", "indiana", "indianapolis", "pakistan", "bangladesh", "united kingdom", "uk",
-    "canada", "australia", "singapore", "germany", "france", "uae", "dubai",
+PLACE_FILLERS = [
+    "remote", "hybrid", "onsite", "on-site", "work from home", "wfh", "office", "head office", "hq", "headquarters",
+    "branch", "campus", "greater", "area", "region", "district", "city", "metro", "metropolitan", "urban", "rural",
 ]

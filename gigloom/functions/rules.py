@@ -121,14 +121,18 @@ def employment_class(c) -> Column:
 
 
 def in_india(c) -> Column:
-    """Place-token gate: an Indian place or plain 'Remote' passes, places elsewhere do not."""
-    def names(places):
-        return r"(?iU)\b(?:" + "|".join(re.sub(r"([^\w\s])", r"\\\1", p) for p in places) + r")(?!\w)"
+    """Place-token gate: 'India' or plain 'Remote' passes, and a place whose last part is an Indian one.
 
+    Parts stand between commas, slashes and the like. 'Kota Kinabalu' is not Kota, and in 'Agra,
+    Kansas' the last part decides; a place that is not listed does not pass.
+    """
+    places = "|".join(re.sub(r"([^\w\s])", r"\\\1", p) for p in V.INDIA_PLACES)
     t = collapse(F.lower(F.coalesce(col(c), F.lit(""))))
-    plain_remote = t.rlike(r"^(?:fully |100% )?remote$")
-    return (t != "") & (t.rlike(names(V.INDIA_PLACES)) & (~t.rlike(names(V.ELSEWHERE_PLACES)) | t.rlike(r"\bindia\b"))
-                        | plain_remote)
+    bare = F.regexp_replace(t, r"(?U)\b(?:" + "|".join(V.PLACE_FILLERS) + r")\b", " ")
+    parts = F.filter(F.transform(F.split(bare, r"[,/|;()]+| - "), strip), lambda p: p != "")
+    last = F.try_element_at(parts, F.lit(-1))
+    return (t != "") & (t.rlike(r"(?U)\b(?:india|bharat)\b") | t.rlike(r"^(?:fully |100% )?remote$")
+                        | F.coalesce(last.rlike(rf"(?U)^(?:{places})(?:[\s&+.-]+(?:{places}))*$"), F.lit(False)))
 
 
 def country_gate(c, wanted: str = "IN") -> Column:

@@ -19,6 +19,13 @@ def base(c) -> Column:
         F.regexp_replace(F.when(t.rlike(SCHEME), t).otherwise(F.concat(F.lit("https://"), t)), "/+$", "")))
 
 
+def key(c) -> Column:
+    """What two spellings of one address share: host in lower case, no fragment, no trailing slash."""
+    host = r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
+    return let(F.regexp_replace(F.regexp_replace(strip(col(c)), "#.*$", ""), "/+$", ""), lambda u: F.concat(
+        F.lower(F.regexp_extract(u, host, 1)), F.regexp_replace(u, host, "")))
+
+
 def origin(c) -> Column:
     """scheme://host, null when either is missing."""
     return nonempty(F.regexp_extract(col(c), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1))

@@ -13,80 +13,52 @@ from gigloom.operators.keys import lookup_join
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# categories up to this many are held by every task; more are compared block by block
-BLOCK = 4096
+BLOCK = 4096  # categories that a task compares at a time
 
 
-def _scorer(names, matrix):
-    unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-30)
-
-    @F.pandas_udf("struct<label:string,score:double,at:int>")
-    def best(vectors: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"label": None, "score": np.nan, "at": -1}, index=vectors.index)
-        given = vectors.notna().to_numpy()
-        if given.any():
-            rows = np.stack(vectors[given].to_numpy()).astype("float64")
-            rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-30)
-            scores = rows @ unit.T
-            at = scores.argmax(axis=1)
-            out.loc[given, "label"] = np.asarray(names, dtype=object)[at]
-            out.loc[given, "score"] = scores[np.arange(len(at)), at]
-            out.loc[given, "at"] = at
-        out["at"] = out["at"].astype("int32")
-        return out
-
-    return best
+def _best(rows: pd.DataFrame, cats: pd.DataFrame) -> pd.DataFrame:
+    """Of one block of vectors and one of categories: each vector's best category, by one matrix product."""
+    columns = ["vec", "label", "score", "rank"]
+    if not len(rows) or not len(cats):
+        return pd.DataFrame(columns=columns)
+    cats = cats.sort_values(["rank", "category"], na_position="last")
+    a, b = (np.stack(x.vec.to_numpy()).astype("float64") for x in (rows, cats))
+    a, b = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-30) for m in (a, b))
+    scores = a @ b.T
+    at = scores.argmax(axis=1)
+    return pd.DataFrame({"vec": rows.vec.to_numpy(), "label": cats.category.to_numpy(dtype=object)[at],
+                         "score": scores[np.arange(len(at)), at], "rank": cats["rank"].to_numpy()[at]}, columns=columns)
 
 
 def nearest(df: DataFrame, vec: str, categories: DataFrame, threshold: float, default: str | None = None,
             to: str = "label", block: int = BLOCK) -> DataFrame:
     """Category with the highest cosine at or above the threshold, else the default.
 
-    `categories` has (category, rank, vec); equal scores go to the smaller rank. A set of at
-    most `block` categories (checked) goes to every task and the input is not shuffled. A
-    larger set is cut into blocks; each block meets all rows as arrays, never as pairs in a
-    shuffle, and the best of all blocks is taken per row.
+    `categories` has (category, rank, vec); equal scores go to the smaller rank, a null rank
+    last. Distinct vectors are dealt over the shuffle partitions; each of those meets the
+    categories in blocks of about `block`, and the best of all blocks is taken. How many blocks
+    there are is a subquery of the plan: nothing runs before it does. The size of a block
+    changes no answer.
     """
-    some = categories.orderBy("rank").limit(block + 1).collect()
-    if len(some) <= block:
-        if not some:
-            return df.withColumn(to, F.lit(default).cast("string"))
-        score = _scorer([r["category"] for r in some], np.array([r["vec"] for r in some], dtype="float64"))
-        hit = df.withColumn("_near", score(F.col(vec)))
-    else:
-        hit = _by_block(df, vec, categories, block)
+    spark = df.sparkSession
+    bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = dict(categories.dtypes)["vec"]
+    cats = categories.select("category", F.col("rank").cast("double").alias("rank"), "vec").where(F.col("vec").isNotNull())
+    blocks = cats.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block)).cast("int").alias("n")).scalar()
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    asked = df.select(F.col(vec).cast(kind).alias("vec")).where(F.col("vec").isNotNull()).distinct().withColumn("_n", blocks)
+    asked = asked.select("vec", F.pmod(F.hash("vec"), F.lit(bins)).alias("_bin"), every(F.col("_n")).alias("_block"))
+    cats = cats.withColumn("_n", blocks).select(
+        "category", "rank", "vec", F.pmod(F.hash("category", "rank", "vec"), F.col("_n")).alias("_block"), every(F.lit(bins)).alias("_bin"))
+    scored = asked.groupBy("_bin", "_block").cogroup(cats.groupBy("_bin", "_block")).applyInPandas(
+        _best, f"vec {kind}, label string, score double, rank double")
+    won = scored.groupBy("vec").agg(F.max_by(F.struct("label", "score"), F.struct(
+        F.col("score"), F.col("rank").isNotNull(), -F.col("rank"))).alias("_near"))
+    hit = lookup_join(df.withColumn("_vec", F.col(vec).cast(kind)), won.withColumnRenamed("vec", "_vec"), ["_vec"]).drop("_vec")
     label = F.when(F.col("_near.score") >= threshold, F.col("_near.label")).otherwise(F.lit(default).cast("string"))
     return hit.withColumn(to, label).drop("_near")
 
 
-def _by_block(df, vec, categories, block, salts=64):
-    """Best category per distinct vector, one block of categories at a time."""
-    blocks = (categories.withColumn("_block", F.floor(F.col("rank") / block))
-              .groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("rank", "category", "vec"))).alias("_cats"))
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    top = categories.agg(F.max("rank")).first()[0]
-    asked = (df.select(vec).where(F.col(vec).isNotNull()).distinct()
-             .withColumn("_salt", F.pmod(F.hash(vec), F.lit(salts)))
-             .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(top // block).cast("bigint")))))
-
-    @F.pandas_udf("struct<score:double,rank:int,label:string>")
-    def best(vectors: pd.Series, cats: pd.Series) -> pd.DataFrame:
-        out = []
-        for v, group in zip(vectors, cats):
-            m = np.stack([c["vec"] for c in group]).astype("float64")
-            v = np.asarray(v, dtype="float64")
-            s = (m @ v) / np.maximum(np.linalg.norm(m, axis=1) * np.linalg.norm(v), 1e-30)
-            i = int(s.argmax())
-            out.append((float(s[i]), int(group[i]["rank"]), group[i]["category"]))
-        return pd.DataFrame(out, columns=["score", "rank", "label"])
-
-    scored = asked.join(blocks, ["_block", "_salt"]).withColumn("_n", best(F.col(vec), F.col("_cats")))
-    won = scored.groupBy(vec).agg(F.max_by(
-        F.struct(F.col("_n.label").alias("label"), F.col("_n.score").alias("score")),
-        F.struct(F.col("_n.score"), -F.col("_n.rank"))).alias("_near"))
-    return lookup_join(df, won, [vec])
-
-
 def cosine(a, b) -> Column:
     """Cosine of two array columns."""
     def dot(x, y):

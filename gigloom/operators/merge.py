@@ -23,26 +23,23 @@ def upsert(target: DataFrame, source: DataFrame, keys, nulls: str = "overwrite",
     """
     keys = _list(keys)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    t = target.where(complete).select(*keys, F.struct(*target.columns).alias("_t"))
-    s = source.where(complete).select(*keys, F.struct(*source.columns).alias("_s"))
-    both = t.join(s, keys, "full_outer")
+    new = source.where(complete)
+    supplied = [c for c in target.columns if c in source.columns and c not in keys]
+    told = new.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_s_{c}") for c in supplied])
+    # the target is passed on by one left join: where Spark can broadcast the source, it is not shuffled
+    both = target.join(told, keys, "left")
 
     def value(c) -> Column:
-        if c in keys:
+        if c not in supplied or c in fixed:
             return F.col(c)
-        if c not in source.columns:
-            return F.col("_t")[c]
-        new, old = F.col("_s")[c], F.col("_t")[c]
-        if c in fixed:
-            return F.when(F.col("_t").isNotNull(), old).otherwise(new)
-        if nulls == "keep":
-            return F.coalesce(new, old)
-        return F.when(F.col("_s").isNotNull(), new).otherwise(old)
-
-    merged = both.select(*[value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
-    loose_old = target.where(~complete)
-    loose_new = source.where(~complete).select(*[c for c in target.columns if c in source.columns])
-    return merged.unionByName(loose_old).unionByName(loose_new, allowMissingColumns=True)
+        theirs = F.col(f"_s_{c}").cast(target.schema[c].dataType)
+        return F.coalesce(theirs, F.col(c)) if nulls == "keep" else F.when(F.col("_hit"), theirs).otherwise(F.col(c))
+
+    merged = both.select(*[value(c).alias(c) for c in target.columns])
+    matched = target.select(*keys).join(new.select(*keys), keys, "left_semi").distinct()
+    fresh = new.join(matched, keys, "left_anti").unionByName(source.where(~complete))
+    return merged.unionByName(fresh.select(*[
+        F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns if c in source.columns]), allowMissingColumns=True)
 
 
 def _kept(c: Column, kind: str, drop: str) -> Column:

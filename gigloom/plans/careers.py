@@ -1,5 +1,7 @@
 """Careers-page discovery and hiring-platform detection over landed pages."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,34 +50,51 @@ def guesses(sites: DataFrame, stage: int, careers: bool = False) -> DataFrame:
         F.array("pos").alias("rank"), F.lit("direct").alias("how"))
 
 
-def crawl(sites: DataFrame, facts: DataFrame, max_depth: int = 2, stage: int = 1) -> DataFrame:
-    """Addresses reached from each homepage over job-like links, ranked breadth first.
+def judged(candidates: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(facts of the candidates' pages by address key, first accepted candidate of each company).
 
-    Depth is a fixed number of joins. An address counts at its first place in the queue and
-    is not followed twice; accepted pages end a search, so nothing is followed from them.
+    Only the latest captures of these addresses are read and parsed.
+    """
+    candidates = candidates.withColumn("_key", urls.key("url"))
+    held = P.captures(pages, candidates.select("_key"), address=urls.key)
+    facts = page_facts(held).withColumn("_key", urls.key("url")).select("_key", "next", "confidence", "reason")
+    facts = settled(dedupe(facts, ["_key"], ["confidence", "reason"]))
+    passing = facts.where(F.col("confidence") >= ACCEPTED).select("_key", "confidence", "reason")
+    hits = lookup_join(candidates, passing, "_key", "inner", spread_by=["list_id"], salts=_salts(candidates))
+    hits = hits.withColumn("careers_url", F.col("url")).withColumn("method", F.concat_ws(":", "how", "reason"))
+    return facts, settled(pick_first(hits, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"]))
+
+
+def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
+    """(list_id, careers_url, confidence, method) of sites (list_id, base) with a careers page.
+
+    Direct paths first, then a breadth-first crawl from the homepage over job-like links, then
+    the careers subdomain; each step is for companies that no earlier one has settled. In the
+    crawl an address counts at its first place in the queue and is not followed twice.
     """
-    level = sites.select("list_id", F.col("base").alias("url"), F.array(F.lit(0)).alias("rank"))
-    every = level.withColumn("depth", F.lit(0))
-    for depth in range(1, max_depth + 1):
-        here = level.join(facts.select("url", "next", "confidence"), "url").where(F.col("confidence") < ACCEPTED)
-        found = here.select("list_id", "rank", F.posexplode("next").alias("pos", "link")).select(
-            "list_id", F.col("link").alias("url"), F.concat("rank", F.array("pos")).alias("rank"))
-        found = dedupe(found, ["list_id", "url"], ["rank"], "first").select("list_id", "url", "rank")
-        level = found.join(every.select("list_id", "url"), ["list_id", "url"], "left_anti")
-        level = settled(level)
-        every = every.unionByName(level.withColumn("depth", F.lit(depth)))
-    # breadth first: a shallower page always precedes a deeper one
-    return every.select("list_id", "url", F.lit(stage).alias("stage"),
-                        F.concat(F.array("depth"), "rank").alias("rank"),
-                        F.concat(F.lit("depth-"), F.col("depth").cast("string")).alias("how"))
-
-
-def accepted(candidates: DataFrame, facts: DataFrame) -> DataFrame:
-    """Per company, the first candidate whose landed page passes: (list_id, careers_url, confidence, method)."""
-    passing = facts.where(F.col("confidence") >= ACCEPTED).select("url", "confidence", "reason")
-    judged = lookup_join(candidates, passing, "url", "inner", salts=8, spread_by=["list_id"])
-    judged = judged.withColumn("careers_url", F.col("url")).withColumn("method", F.concat_ws(":", "how", "reason"))
-    return pick_first(judged, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"])
+    _, hits = judged(guesses(sites, 0), pages)
+    found, left = [hits], sites.join(hits, "list_id", "left_anti")
+    level = left.select("list_id", F.col("base").alias("url"), F.array(F.lit(0)).alias("rank"))
+    every = level.select("list_id", urls.key("url").alias("_key"))
+    for depth in range(max_depth + 1):
+        facts, hits = judged(level.select("list_id", "url", F.lit(1).alias("stage"), "rank", F.lit(f"depth-{depth}").alias("how")), pages)
+        found.append(hits)
+        left = left.join(hits, "list_id", "left_anti")
+        if depth == max_depth:
+            break
+        here = lookup_join(level.join(hits, "list_id", "left_anti").withColumn("_key", urls.key("url")),
+                           facts.select("_key", "next"), "_key", "inner", spread_by=["list_id"], salts=_salts(level))
+        reached = here.select("list_id", "rank", F.posexplode("next").alias("pos", "url")).select(
+            "list_id", "url", urls.key("url").alias("_key"), F.concat("rank", F.array("pos")).alias("rank"))
+        reached = dedupe(reached, ["list_id", "_key"], ["rank"], "first").join(every, ["list_id", "_key"], "left_anti")
+        level = settled(reached.select("list_id", "url", "rank"))
+        every = every.union(level.select("list_id", urls.key("url")))
+    _, hits = judged(guesses(left, 2, careers=True), pages)
+    return reduce(DataFrame.unionByName, [*found, hits])
+
+
+def _salts(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
 
 
 def find_careers(input_list: DataFrame, companies: DataFrame, pages: DataFrame, redirects: DataFrame, as_of):
@@ -91,18 +110,14 @@ def find_careers(input_list: DataFrame, companies: DataFrame, pages: DataFrame,
     rows = settled(known_by_any(rows, companies, [("homepage", "homepage_url"), ("name", "name")]))
 
     open_rows = rows.where(~F.col("known"))
-    facts = settled(dedupe(page_facts(pages).drop("page_id", "fetched_at", "score", "text_length", "job_links",
-                                                  "platform_links"), ["url"], ["confidence", "reason"]))
-    candidates = (guesses(open_rows, 0).unionByName(crawl(open_rows, facts))
-                  .unionByName(guesses(open_rows, 2, careers=True)))
-    hits = accepted(candidates, facts)
-    judged = rows.join(hits, "list_id", "left")
+    hits = search(open_rows.select("list_id", "base"), pages)
+    told = rows.join(hits, "list_id", "left")
     now = moment(as_of)
-    fresh = judged.where(F.col("careers_url").isNotNull()).select(
+    fresh = told.where(F.col("careers_url").isNotNull()).select(
         F.sha2(F.concat_ws("|", "list_id", "homepage"), 256).alias("id"), now.alias("created_at"), now.alias("updated_at"),
         "name", F.col("homepage").alias("homepage_url"), "careers_url", urls.icon("homepage").alias("logo_file_name"),
         "description", "list_id", F.lit(None).cast("string").alias("status"))
-    status = judged.select(F.col("list_id").alias("id"), F.when(F.col("known"), V.EXISTS).when(
+    status = told.select(F.col("list_id").alias("id"), F.when(F.col("known"), V.EXISTS).when(
         F.col("careers_url").isNotNull(), V.SCANNED).otherwise(V.NO_CAREERS).alias("status"))
     return fresh, status
 
@@ -118,15 +133,15 @@ def page_platform(pages: DataFrame, requests: DataFrame | None = None, html: str
     """Per page: platform by final address, else by requested addresses, else by addresses in the markup."""
     final = F.col("final_url") if "final_url" in pages.columns else F.col("url")
     keep = [c for c in pages.columns if c not in (html, "final_url")]
-    own = spread(pages).select(*keep, rules.platform_of(final).alias("_at"),
-                               first_platform(urls_in(html)).alias("_in"))
+    own = spread(pages)
+    known = rules.platform_of(final)
     if requests is not None:
         asked = requests.select("page_id", "url", rules.platform_of("url").alias("_p")).where(F.col("_p").isNotNull())
         asked = asked.groupBy("page_id").agg(F.min_by("_p", "url").alias("_by"))
         own = lookup_join(own, asked, ["page_id"])
-        found = F.coalesce("_at", "_by", "_in")
-    else:
-        found = F.coalesce("_at", "_in")
+        known = F.coalesce(known, "_by")
+    # the markup is searched only where no address decides
+    found = let(known, lambda k: F.when(k.isNotNull(), k).otherwise(first_platform(urls_in(html))))
     return own.withColumn("_f", found).select(*keep, "_f.ats_name", "_f.ats_url")
 
 
@@ -146,14 +161,14 @@ def check_counts(companies: DataFrame, ats_website: DataFrame) -> DataFrame:
 def detect(companies: DataFrame, ats_website: DataFrame, pages: DataFrame, requests: DataFrame | None = None):
     """(new ats_website rows, company statuses, report rows)."""
     rows = to_check(companies, ats_website).where(F.col("reason").isNull()).select("id", "name", "homepage_url", "careers_url")
-    wanted = P.landed(pages).join(rows.select(F.col("careers_url").alias("url")).distinct(), "url", "left_semi")
-    found = dedupe(page_platform(wanted, requests).select("url", "ats_name", "ats_url"), ["url"],
-                   [F.col("ats_name").isNull(), "ats_name", "ats_url"], "first")
-    judged = lookup_join(rows, found.withColumnRenamed("url", "careers_url"), ["careers_url"])
-    matched = judged.where(F.col("ats_name").isNotNull())
+    held = P.captures(pages, rows.select(urls.key("careers_url")), address=urls.key)
+    found = page_platform(held, requests).select(urls.key("url").alias("_key"), "ats_name", "ats_url")
+    found = dedupe(found, ["_key"], [F.col("ats_name").isNull(), "ats_name", "ats_url"], "first")
+    told = lookup_join(rows.withColumn("_key", urls.key("careers_url")), found, ["_key"]).drop("_key")
+    matched = told.where(F.col("ats_name").isNotNull())
     new = matched.select(F.sha2(F.concat_ws("|", "id", "ats_url"), 256).alias("id"), F.col("id").alias("company_id"),
                          "ats_name", "ats_url", code_name("name", "ats_name").alias("code_name"))
-    status = judged.select("id", F.when(F.col("ats_name").isNotNull(), V.PLATFORM_FOUND).otherwise(
+    status = told.select("id", F.when(F.col("ats_name").isNotNull(), V.PLATFORM_FOUND).otherwise(
         V.PLATFORM_MISSING).alias("status"))
     report = matched.select(F.col("name").alias("Company Name"), F.col("homepage_url").alias("Domain"),
                             F.col("careers_url").alias("Company URL"), F.col("ats_name").alias("ATS_Detected"),

@@ -58,7 +58,7 @@ def _board_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     """Pages of the boards at hand; a landed page may name the board it was reached from."""
     at = "board_url" if "board_url" in pages.columns else "url"
     order = F.col("page_ord") if "page_ord" in pages.columns else F.lit(0)
-    rows = P.landed(pages).withColumn("page_ord", order).withColumn("_at", F.col(at))
+    rows = P.captures(pages, runs.select("url"), at).withColumn("page_ord", order).withColumn("_at", F.col(at))
     found = lookup_join(rows, runs.withColumnRenamed("url", "_at"), "_at", "inner", salts=8, spread_by=["url", "page_ord"])
     return found.drop("_at", "status", "board_url")
 
@@ -97,10 +97,9 @@ def enrich_pending(board: Board, jobs: DataFrame, scrapes: DataFrame, ats_websit
     """Stage two: the jobs table with this platform's pending postings filled in."""
     wanted = T.pending_jobs(jobs, scrapes, ats_website, board.ats if board.match != "contains_cs" else "SmartRecruiters",
                             board.match).where(urls.looks_fetchable("job_url"))
-    addresses = wanted.select(F.col("job_url").alias("url")).distinct()
-    told = P.landed(pages).join(addresses, "url", "left_semi").drop("status", "page_id").withColumnRenamed("url", "job_url")
+    told = P.captures(pages, wanted.select("job_url")).drop("status", "page_id", "fetched_at").withColumnRenamed("url", "job_url")
     told = read_details(board, told, as_of)
-    told = dedupe(told, ["job_url"], ["original_description"])
+    told = dedupe(told, ["job_url"], ["original_description"])  # for pages without an id, whose captures can't be told apart
     theirs = [c for c in board.patched if c in told.columns]
     merged = enrich(wanted.select("id", "job_url", *theirs), told.select("job_url", *theirs), "job_url",
                     prefer=board.prefer, found_only=True).drop("job_url")
@@ -133,8 +132,8 @@ def once(board: Board, companies: DataFrame, pages: DataFrame, jobs: DataFrame,
     rows = settled(rows.withColumn("published_date", posted).select(
         "company_sustain_id", "title", "job_url", *board.listed_once))
 
-    told = P.landed(pages).join(rows.select(F.col("job_url").alias("url")), "url", "left_semi")
-    told = read_details(board, told.drop("status", "page_id", "board_url", "page_ord").withColumnRenamed("url", "job_url"),
+    told = P.captures(pages, rows.select("job_url"))
+    told = read_details(board, told.drop("status", "page_id", "fetched_at", "board_url", "page_ord").withColumnRenamed("url", "job_url"),
                         as_of, once=True)
     told = dedupe(told, ["job_url"], ["original_description"])
     if board.needed_once != "title":

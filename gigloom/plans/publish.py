@@ -9,7 +9,7 @@ from gigloom.functions import fixed_values as V
 from gigloom.functions import rules
 from gigloom.functions.dates import any_timestamp, day_text, moment
 from gigloom.functions.numbers import experience_label
-from gigloom.functions.text import first_nonempty, nonblank, sections, slug, standard_location, words
+from gigloom.functions.text import first_nonempty, nonblank, sections, slug, standard_location
 from gigloom.functions.urls import tracked
 from gigloom.operators.keys import computed, lookup_join, new_only, reason_counts, skip_reasons
 from gigloom.operators.match import nearest
@@ -30,6 +30,7 @@ class Edition:
     similar: float = 0.30
     wording: list | None = None
     by_source: bool = True
+    retains: bool = True
     structured: bool = True
     plain_location: bool = False
     india_only: bool = False
@@ -41,7 +42,8 @@ GENERAL = Edition("jobs", V.GENERAL_DEPARTMENT_RULES, V.GENERAL_DEPARTMENT_DEFAU
 GREEN = Edition("jobs_sustain", V.GREEN_DEPARTMENT_RULES, V.GREEN_DEPARTMENT_DEFAULT, india_only=True,
                 remote=("remote", "work from home", "wfh"))
 LONG = Edition("jobs", V.LONG_DEPARTMENT_RULES, V.LONG_DEPARTMENT_DEFAULT, min_words=20, days=None, months=6,
-               similar=0.5, wording=V.LONG_DEPARTMENTS, by_source=False, structured=False, plain_location=True)
+               similar=0.5, wording=V.LONG_DEPARTMENTS, by_source=False, structured=False, plain_location=True,
+               retains=False)
 
 
 def cutoff(edition: Edition, as_of) -> Column:
@@ -59,8 +61,9 @@ def _known(published: DataFrame, edition: Edition) -> DataFrame:
 
 def _tests(edition: Edition, as_of):
     when = any_timestamp("published_date")
-    return {"short": words("original_description") <= edition.min_words,
-            "old": when.isNull() | (when < cutoff(edition, as_of))}
+    # more than so many words: the search ends at the first word beyond them
+    enough = F.coalesce(F.col("original_description"), F.lit("")).rlike(rf"(?U)^\s*(?:\S+\s+){{{edition.min_words}}}\S")
+    return {"short": ~enough, "old": when.isNull() | (when < cutoff(edition, as_of))}
 
 
 def judged(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> DataFrame:
@@ -76,9 +79,8 @@ def judged(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> Da
 
 def wanted(jobs: DataFrame, published: DataFrame, edition: Edition, as_of) -> DataFrame:
     """The postings `judged` gives no reason to skip; what a scan can decide is decided before the join."""
-    rows = jobs.where("is_active")
-    for test in _tests(edition, as_of).values():
-        rows = rows.where(~test)
+    tests = _tests(edition, as_of)
+    rows = jobs.where("is_active").where(~tests["old"]).where(~tests["short"])  # dates first: texts are read for fresh rows only
     return new_only(rows, _known(published, edition), "id")
 
 
@@ -137,7 +139,7 @@ def publishable(jobs: DataFrame, published: DataFrame, edition: Edition, as_of,
 
 
 def publish(jobs, published, edition: Edition, as_of, tracking: str, **more) -> DataFrame:
-    """The published table after retention and the new rows."""
-    kept = retain(published, "published_at", as_of, days=edition.days, months=edition.months)
+    """The published table after retention (for editions that drop old rows) and the new rows."""
+    kept = retain(published, "published_at", as_of, days=edition.days, months=edition.months) if edition.retains else published
     # no new row has a key the table holds, so adding them is the upsert
     return kept.unionByName(publishable(jobs, kept, edition, as_of, tracking, **more), allowMissingColumns=True)

@@ -30,7 +30,7 @@ BREAKS = frozenset(
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "option": ({"option"}, {"select"}),
+    "option": ({"option"}, {"select"}), "a": ({"a"}, BREAKS - {"br", "hr"}),
 }
 CHUNK = 100_000
 HIDDEN = frozenset(["script", "style", "template"])
@@ -45,12 +45,17 @@ NODES = ArrayType(StructType(
 
 
 class _Flat(HTMLParser):
-    """Appends one entry per element and text run to flat lists."""
+    """Appends one entry per element and text run to flat lists.
+
+    Any markup is read, in time proportional to its length: the open elements of each kind are
+    kept on a stack of their own, so the nearest one is found without walking over the others.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.up, self.last, self.tag, self.attrs, self.text = [-1], [0], ["#root"], [()], [None]
         self.open = [0]
+        self.at = {}  # depths of the open elements of each kind
 
     def add(self, tag, attrs=(), text=None):
         self.up.append(self.open[-1])
@@ -68,18 +73,17 @@ class _Flat(HTMLParser):
         if depth is None:
             return
         end = len(self.tag) - 1
-        for at in self.open[depth:]:
+        for at in reversed(self.open[depth:]):
             self.last[at] = end
+            if at:
+                self.at[self.tag[at]].pop()
         del self.open[depth:]
 
     def nearest(self, names, stoppers=()):
-        for depth in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[depth]]
-            if name in names:
-                return depth
-            if name in stoppers:
-                return None
-        return None
+        depth = max((self.at[n][-1] for n in names if self.at.get(n)), default=None)
+        if depth is None or any(self.at[n][-1] > depth for n in stoppers if self.at.get(n)):
+            return None
+        return depth
 
     def handle_starttag(self, tag, attrs):
         if tag in IMPLIED_END:
@@ -90,6 +94,7 @@ class _Flat(HTMLParser):
             self.gap()
         at = self.add(tag, attrs)
         if tag not in VOID:
+            self.at.setdefault(tag, []).append(len(self.open))
             self.open.append(at)
 
     def handle_startendtag(self, tag, attrs):
@@ -105,9 +110,20 @@ class _Flat(HTMLParser):
         hidden = self.tag[self.open[-1]] in HIDDEN
         self.add("#data" if hidden else "#text", text=data)
 
+    def parse_marked_section(self, i, report=1):
+        """A declaration that HTML does not know is a comment, as in browsers."""
+        return self.parse_bogus_comment(i, 0)
+
+    def parse_html_declaration(self, i):
+        known = self.rawdata.startswith("<!--", i) or self.rawdata[i:i + 9].lower() == "<!doctype"
+        return super().parse_html_declaration(i) if known else self.parse_bogus_comment(i, 0)
+
     def read(self, markup):
-        self.feed(markup)
-        self.close()
+        try:
+            self.feed(markup)
+            self.close()
+        except AssertionError:  # the markup ends within a declaration: what was read before counts
+            pass
         self.shut(0)
         return self
 
@@ -286,6 +302,26 @@ def landed(pages: DataFrame) -> DataFrame:
     return spread(fetched(pages))
 
 
+def captures(pages: DataFrame, wanted: DataFrame, at: str = "url", address=lambda c: F.col(c)) -> DataFrame:
+    """Fetched pages whose address (as `address` reads column `at`) is in the one column of `wanted`: the latest of each.
+
+    Later is a later fetched_at, then a larger page_id; kinds of capture and numbered pages of
+    one listing count separately. The choice is made without the markup, which is read for
+    chosen pages only. Without a page_id all captures count.
+    """
+    rows = fetched(pages)
+    held = wanted.toDF("_key").where(F.col("_key").isNotNull()).distinct()
+    if "page_id" not in rows.columns:
+        return rows.withColumn("_key", address(at)).join(held, "_key", "left_semi").select(*rows.columns)
+    variant = [c for c in ("url", "kind", "page_ord") if c in rows.columns and (c != "url" or at != "url")]
+    order = [c for c in ("fetched_at", "page_id") if c in rows.columns]
+    narrow = rows.select(address(at).alias("_key"), *variant, *order).join(held, "_key", "left_semi")
+    chosen = narrow.groupBy("_key", *variant).agg(F.max(F.struct(*order)).alias("_c")).select(
+        *[F.col(c).alias(f"_{c}") for c in variant], *[F.col("_c")[c].alias(f"_{c}") for c in order])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*variant, *order] if c != "page_id"]
+    return rows.join(chosen, [F.col("page_id") == F.col("_page_id"), *same], "left_semi")
+
+
 def with_nodes(pages: DataFrame, markup: str = "html", to: str = "dom") -> DataFrame:
     """Replace the markup column by its nodes."""
     return spread(pages).withColumn(to, nodes(markup)).drop(markup)

@@ -1,5 +1,7 @@
 """Markup to nodes, selection, text, and layouts with missing parts."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +95,21 @@ def test_large_pages_in_one_batch_stay_whole_and_apart(spark):
         "i", F.size(P.pick(F.col("dom"), P.el("b"))).alias("n"), F.element_at("dom", -1)["pos"].alias("last"), F.size("dom").alias("all"))
     for r in rows.orderBy("i").collect():
         assert (r.n, r["last"] + 1) == (sizes[r.i], r["all"])
+
+
+@pytest.mark.parametrize("markup", ["<![foo[bar]]><p>x</p>", "<p>x</p><![ x", "<p>x</p>a<![1", "<!foo><p>x</p>", "<p>x<!ENTITY a", "<p>x</p><![CDATA[y]]>"])
+def test_unknown_declarations_are_comments(markup):
+    flat = P._Flat().read(markup)
+    assert "x" in [t for t in flat.text if t]
+
+
+def test_time_grows_with_the_page():
+    start = time.time()
+    for markup in ("<b>" * 200_000 + "</i>" * 200_000, "<div>" * 100_000 + "</p>" * 100_000, "<a href=x>" * 200_000, "<li><p>" * 100_000):
+        P._Flat().read(markup)
+    assert time.time() - start < 20
+
+
+def test_unclosed_anchors_do_not_nest():
+    flat = P._Flat().read("<p><a href=1>one<a href=2>two<p><a href=3><div>three</div></a>")
+    assert [flat.last[i] - i for i, t in enumerate(flat.tag) if t == "a"][:2] == [1, 1]
