@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import dates, rules, urls
 from gigloom.functions.text import clean, first_nonempty, let, nonempty
-from gigloom.operators.keys import lookup_join
+from gigloom.operators.keys import lookup_join, salts_of
 from gigloom.sources.pages import joined, nodes
 from gigloom.sources.tables import REQUISITION_DETAILS, REQUISITIONS
 
@@ -28,7 +28,7 @@ def requisitions(listings: DataFrame) -> DataFrame:
         "api_base", "site_name").agg(F.max("_top.SiteNumber").alias("site_number"))
     rows = parsed.select("api_base", "site_name", "offset", F.posexplode("_top.requisitionList").alias("pos", "_r"))
     rows = rows.select("api_base", "site_name", "offset", "pos", "_r.*")
-    return lookup_join(rows, numbers, ["api_base", "site_name"], salts=8, spread_by=["offset", "pos"]).withColumn(
+    return lookup_join(rows, numbers, ["api_base", "site_name"], salts=salts_of(rows), spread_by=["offset", "pos"]).withColumn(
         "site_number", F.coalesce("site_number", "site_name"))
 
 

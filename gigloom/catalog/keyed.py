@@ -39,26 +39,26 @@ def dedupe_hot_key_first(spark, sf):
     return K.dedupe(_docs(spark, sf), "source", ["lang", "doc_id"], "first")
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
+@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey * 2 = p_partkey)")
 def new_only(spark, sf):
-    sold = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
+    sold = table(spark, sf, "lineitem").select((F.col("l_partkey") * 2).alias("p_partkey"))
     return K.new_only(table(spark, sf, "part").select("p_partkey", "p_name"), sold, "p_partkey")
 
 
 @query("""SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey, o_orderstatus, nullif(o_custkey % 3, 0) * o_custkey AS k FROM orders)
-    WHERE k IS NULL OR k NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)""")
+    WHERE k IS NULL OR k NOT IN (SELECT c_custkey * 2 FROM customer)""")
 def new_only_null_keys(spark, sf):
     rows = table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderstatus", "nullif(o_custkey % 3, 0) * o_custkey AS k")
-    seen = table(spark, sf, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("k"))
+    seen = table(spark, sf, "customer").select((F.col("c_custkey") * 2).alias("k"))
     return K.new_only(rows, seen, "k").drop("k")
 
 
 @query("""SELECT s_suppkey, EXISTS (SELECT 1 FROM customer WHERE c_custkey = s_suppkey * 7)
-    OR EXISTS (SELECT 1 FROM customer WHERE c_nationkey = s_nationkey AND c_acctbal > 9990) AS known FROM supplier""")
+    OR EXISTS (SELECT 1 FROM customer WHERE c_nationkey + 13 = s_nationkey) AS known FROM supplier""")
 def known_by_any(spark, sf):
     s = table(spark, sf, "supplier").selectExpr("s_suppkey", "CAST(s_suppkey * 7 AS STRING) AS a", "CAST(s_nationkey AS STRING) AS b")
     c = table(spark, sf, "customer").selectExpr(
-        "CAST(c_custkey AS STRING) AS x", "CASE WHEN c_acctbal > 9990 THEN CAST(c_nationkey AS STRING) END AS y")
+        "CAST(c_custkey AS STRING) AS x", "CAST(c_nationkey + 13 AS STRING) AS y")
     return K.known_by_any(s, c, [("a", "x"), ("b", "y")]).select("s_suppkey", "known")
 
 
@@ -237,11 +237,11 @@ def enrich_listing_first(spark, sf):
 def _status(strict):
     status = "CASE WHEN count(l.l_orderkey) > 0 THEN 'success' ELSE 'failed' END" if strict else "'success'"
     return f"""SELECT s_suppkey AS board, count(l.l_orderkey) AS n, {status} AS status
-        FROM supplier LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.09) l ON l_suppkey = s_suppkey GROUP BY 1"""
+        FROM supplier LEFT JOIN lineitem l ON l_suppkey * 2 = s_suppkey GROUP BY 1"""
 
 
 def _boards(spark, sf, strict):
-    found = table(spark, sf, "lineitem").where("l_quantity > 49 AND l_discount > 0.09").select(F.col("l_suppkey").alias("board"))
+    found = table(spark, sf, "lineitem").select((F.col("l_suppkey") * 2).alias("board"))
     return board_status(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("board")), found, "board", strict)
 
 

@@ -5,14 +5,10 @@ Each page is built from one row, so the expected postings are plain SQL over the
 
 import re
 
-from pyspark.sql import functions as F
-
 from gigloom.boards import BOARDS
-from gigloom.boards.base import LISTED, DETAIL, detailed, label_rows, listed
+from gigloom.boards.base import LISTED, DETAIL, detailed, listed
 from gigloom.boards import zoho
 from gigloom.catalog.registry import AS_OF, Shape, query, table
-from gigloom.plans import listing as plan
-from gigloom.sources import tables as T
 
 
 def h(markup: str) -> str:
@@ -169,7 +165,7 @@ TELLS["workday"] = dict(original_description=r"nullif(trim(replace(regexp_replac
 
 
 def list_pages(name) -> Shape:
-    return Shape("part", **{f"_{k}": v for k, v in {}.items()}, id="p_partkey", url=f"concat('{SITE}/list/', CAST(p_partkey AS STRING))", html=_inline(LIST[name], PARTS))
+    return Shape("part", id="p_partkey", url=f"concat('{SITE}/list/', CAST(p_partkey AS STRING))", html=_inline(LIST[name], PARTS))
 
 
 def detail_pages(name, source="documents", cols=None, url="concat('https://d.example.com/', CAST(doc_id AS STRING))") -> Shape:

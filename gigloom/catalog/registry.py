@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def dealt(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table for costly expressions: a scan too small to occupy all cores is dealt out."""
+    """A table for costly expressions, dealt out where the session says so."""
     return spread(table(spark, sf, name))
 
 

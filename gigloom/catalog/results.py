@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from gigloom.boards import BOARDS
 from gigloom.boards.base import LISTED, listed
 from gigloom.catalog import platforms as C
+from gigloom.catalog.expected import WORDED
 from gigloom.catalog.registry import AS_OF, Shape, query, table
-from gigloom.catalog.scalars import BAD, SLUG, TRACK, _any, _case, _q
+from gigloom.catalog.scalars import BAD, SLUG, TRACK, _case, _q
 from gigloom.functions import fixed_values as V
 from gigloom.operators.match import nearest
-from gigloom.operators.wording import best_of
 from gigloom.plans import careers, export, publish
 from gigloom.session import shared_dir
 from gigloom.sources import tables as T
@@ -97,6 +97,17 @@ def detected_platforms(spark, sf):
     return _detected(spark, sf)[0].drop("id")
 
 
+@query(f"""SELECT CAST(c_custkey AS VARCHAR) AS company_id, {ATS} AS ats_name FROM customer WHERE c_nationkey IN (1, 2, 3)""")
+def detected_recaptured(spark, sf):
+    """Every page has an older capture on another platform, under a larger id."""
+    new = ATS_PAGE.df(spark, sf).withColumn("fetched_at", F.lit("2024-06-02 00:00:00").cast("timestamp"))
+    old = new.withColumns({"page_id": F.col("page_id") + 10**9, "final_url": F.lit("https://boards.greenhouse.io/old/x"), "status": F.lit(200),
+                           "fetched_at": F.lit("2024-06-01 00:00:00").cast("timestamp")})
+    pages = new.unionByName(old.join(
+        new.where("status = 200").select((F.col("page_id") + 10**9).alias("page_id")), "page_id", "left_semi"))
+    return careers.detect(ATS_CO.df(spark, sf), ATS_DONE.df(spark, sf), pages, ATS_ASKED.df(spark, sf))[0].select("company_id", "ats_name")
+
+
 @query(f"""SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN {ATS} IS NULL THEN 'not ats found' ELSE 'scanned' END AS status
     FROM customer WHERE c_nationkey NOT IN (4, 8, 9)""")
 def detected_status(spark, sf):
@@ -164,9 +175,7 @@ def _department(edition, categories):
     near = f"CASE WHEN v.score >= {edition.similar} THEN list_extract([{', '.join(_q(c) for c in categories)}], v.label + 1) END"
     spelled = ""
     if edition.wording:
-        # labels by wording of every title in use, from the matcher itself
-        titles = [f"{t} {n}" for t in TITLES for n in range(10)]
-        worded = ", ".join(f"({_q(t)}, {_q(w)})" for t, w in ((t, best_of(t, edition.wording, 85)) for t in titles) if w)
+        worded = ", ".join(f"({_q(f'{t} {n}')}, {_q(w)})" for t, w in WORDED.items() for n in range(10))
         spelled = f"(SELECT w.label FROM (VALUES {worded}) w(title, label) WHERE w.title = dept_text), "
     return f"coalesce(CASE WHEN trim(dept_text) <> '' THEN {rules} END, {spelled}{near}, {_q(edition.default)})"
 
@@ -221,15 +230,35 @@ OLD = Shape("labels", job_id="doc_id", source_table="CASE WHEN quality = 1 THEN
             published_at="CASE WHEN toxic = 1 THEN NULL WHEN doc_id % 3 = 0 THEN '2024-01-01' ELSE '2024-05-05' END", title="'old'")
 
 
-@query(f"""WITH o AS (SELECT * FROM {OLD.sql()} WHERE published_at IS NULL OR published_at >= '2024-03-17'),
-      n AS (SELECT job_id, source_table, published_at, title FROM ({_published_sql(publish.GENERAL, V.GENERAL_CATEGORIES).replace(DONE.sql(), '(SELECT job_id, source_table FROM ' + OLD.sql() + " WHERE published_at IS NULL OR published_at >= '2024-03-17')")}))
-    SELECT coalesce(n.job_id, o.job_id) AS job_id, coalesce(n.source_table, o.source_table) AS source_table,
-      CASE WHEN n.job_id IS NOT NULL THEN n.published_at ELSE o.published_at END AS published_at, CASE WHEN n.job_id IS NOT NULL THEN n.title ELSE o.title END AS title
-    FROM o FULL JOIN n ON o.job_id = n.job_id AND o.source_table = n.source_table""")
-def publish_table(spark, sf):
+PUBLISHED = ["job_id", "company_name", "company_website", "job_url", "title", "published_at", "min_ex", "max_ex", "experience_range", "location",
+             "job_type", "logo_file", "internal_slug", "generated_description", "company_description", "industry"]
+
+
+def _table_sql(edition, categories, kept, columns):
+    """Rows that stay, as they are, and the new rows, which have keys of their own."""
+    own = ("job_id", "source_table", "published_at", "title")
+    held = f"(SELECT * FROM {OLD.sql()} WHERE {kept})"
+    new = _published_sql(edition, categories).replace(DONE.sql(), held)
+    old = ", ".join(c if c in own else f"NULL AS {c}" for c in columns)
+    return f"SELECT {', '.join(columns)} FROM ({new}) UNION ALL SELECT {old} FROM {held}"
+
+
+def _published_table(spark, sf, edition, columns):
     old = T.conform(OLD.df(spark, sf), T.SCHEMAS["jobs_uploadable_wp"])
-    out = publish.publish(JOBS.df(spark, sf, deal=True), old, publish.GENERAL, AS_OF, TRACK, parents=_parents(spark, sf))
-    return out.select("job_id", "source_table", "published_at", "title")
+    out = publish.publish(JOBS.df(spark, sf, deal=True), old, edition, AS_OF, TRACK, parents=_parents(spark, sf))
+    return out.select(*columns)
+
+
+@query(_table_sql(publish.GENERAL, V.GENERAL_CATEGORIES, "published_at IS NULL OR published_at >= '2024-03-17'",
+                  [*PUBLISHED, "source_table"]))
+def publish_table(spark, sf):
+    return _published_table(spark, sf, publish.GENERAL, [*PUBLISHED, "source_table"])
+
+
+@query(_table_sql(publish.LONG, V.LONG_DEPARTMENTS, "TRUE", PUBLISHED))
+def publish_table_long(spark, sf):
+    """This edition drops nothing it has published."""
+    return _published_table(spark, sf, publish.LONG, PUBLISHED)
 
 
 # --- vectors ----------------------------------------------------------------------------------------------

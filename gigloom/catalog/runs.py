@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from gigloom.boards import BOARDS, freshteam, oracle, zoho
-from gigloom.boards.base import LISTED, label_rows
+from gigloom.boards.base import label_rows
 from gigloom.catalog import platforms as C
+from gigloom.catalog.expected import ENRICHED, ONE_PASS
 from gigloom.catalog.registry import AS_OF, Shape, query, table
-from gigloom.functions import fixed_values as V
 from gigloom.plans import listing as plan
 from gigloom.sources import tables as T
 
@@ -39,7 +39,7 @@ def _board_rows(name):
 
 
 def _register_discover(name):
-    known = Shape("part", size="p_size", **{f"u{i}": C._inline(c["job_url"], C.PARTS).replace("||", "||") for i, (pos, _, c) in enumerate(C.CARDS[name]) if pos == 0})
+    known = Shape("part", size="p_size", **{f"u{i}": C._inline(c["job_url"], C.PARTS) for i, (pos, _, c) in enumerate(C.CARDS[name]) if pos == 0})
 
     @query(_discover_sql(name), f"discover_{name}")
     def run(spark, sf):
@@ -110,7 +110,7 @@ WRITTEN = ["title", "location", "job_type", "original_description", "min_exp", "
 
 
 def _enrich_sql(name):
-    board, tells = BOARDS[name], C.TELLS[name]
+    want, tells = ENRICHED[name], C.TELLS[name]
     said = {f: tells.get(f, "CAST(NULL AS VARCHAR)") for f in ("title", "location", "job_type", "department", "industry", "original_description")}
     if name == "zoho":
         said["department"] = "CAST(NULL AS VARCHAR)"
@@ -120,17 +120,17 @@ def _enrich_sql(name):
     # runs 20 and up belong to no known board, and board 4 is another platform
     run = "CAST(j.scrape_id AS INT) < 25 AND CAST(j.scrape_id AS INT) % 5 <> 4"
     hit = f"j.original_description IS NULL AND j.job_url LIKE 'http%' AND {run}"
-    if board.needs_description:
+    if want["needs_description"]:
         hit += " AND d.original_description IS NOT NULL"
     outs = []
     for f in WRITTEN:
-        new = FILLED.get((name, f), f"coalesce(d.{f}, j.{f})") if f in board.patched or f in ("min_exp", "max_exp") and f in board.patched else f"j.{f}"
+        new = FILLED.get((name, f), f"coalesce(d.{f}, j.{f})") if f in want["patched"] else f"j.{f}"
         outs.append(f"CASE WHEN {hit} THEN {new} ELSE j.{f} END AS {f}")
-    if board.stamp == "always" or board.drop == "overwrite":
+    if want["stamped"] == "always":
         stamped = hit
     else:
         stamped = f"{hit} AND coalesce(" + ", ".join(
-            f"CAST({'d.' + f if f in ('title', 'original_description', 'min_exp', 'max_exp', 'published_date', 'industry') else f'coalesce(d.{f}, j.{f})'} AS VARCHAR)" for f in board.patched) + ") IS NOT NULL"
+            f"CAST({'d.' + f if f in ('title', 'original_description', 'min_exp', 'max_exp', 'published_date', 'industry') else f'coalesce(d.{f}, j.{f})'} AS VARCHAR)" for f in want["patched"]) + ") IS NOT NULL"
     return f"""WITH j AS {JOBS.sql()}, d AS (SELECT doc_id AS id, {told} FROM documents)
         SELECT j.id, {', '.join(outs)}, CASE WHEN {stamped} THEN {NOW} ELSE j.updated_at END AS updated_at FROM j JOIN d ON j.id = d.id"""
 
@@ -148,6 +148,17 @@ for _name in TWO_STAGE:
     _register_enrich(_name)
 
 
+@query(_enrich_sql("lever"))
+def enrich_recaptured(spark, sf):
+    """Every page has an older capture that says something else, under a larger id."""
+    new = C.detail_pages("lever").df(spark, sf).withColumnRenamed("job_url", "url").withColumnRenamed("id", "page_id")
+    old = new.withColumns({"page_id": F.col("page_id") + 10**9, "html": F.regexp_replace("html", "[a-m]([a-z])", "$1$1"),
+                           "fetched_at": F.lit("2024-06-01 00:00:00").cast("timestamp")})
+    pages = new.withColumn("fetched_at", F.lit("2024-06-02 00:00:00").cast("timestamp")).unionByName(old)
+    return plan.enrich_pending(BOARDS["lever"], JOBS.df(spark, sf), RUNS.df(spark, sf), _ats("lever").df(spark, sf), pages, AS_OF).select(
+        "id", *WRITTEN, "updated_at")
+
+
 # --- one pass: companies and postings are parts ----------------------------------------------------------
 
 def _once_rows(name):
@@ -173,7 +184,7 @@ ALL = {**C.PART_TOLD, **{k: v for k, v in C.PARTS.items() if k not in C.PART_TOL
 
 
 def _once_sql(name):
-    board = BOARDS[name]
+    want = ONE_PASS[name]
     tells = dict(C.TELLS[name])
     if name == "darwinbox":
         tells["location"] = "'First'"
@@ -184,25 +195,25 @@ def _once_sql(name):
         card = {f: C._inline(e, C.PARTS) for f, e in card.items()}
         out = {"company_sustain_id": "CAST(p_partkey AS VARCHAR)", "is_active": "TRUE", "title": card["title"],
                "job_url": C._inline(ONCE_URL[name], C.PARTS) if name in ONCE_URL else card["job_url"]}
-        listed = {f: card.get(f, nothing) if f in board.listed_once else nothing for f in ("location", "job_type", "department")}
-        dated = "posted" in card and "published_date" in board.listed_once
+        listed = {f: card.get(f, nothing) if f in want["listed"] else nothing for f in ("location", "job_type", "department")}
+        dated = "posted" in card and "published_date" in want["listed"]
         listed["published_date"] = C._inline(ONCE_POSTED.get(name, "CAST(NULL AS DATE)") if dated else "CAST(NULL AS DATE)", C.PARTS)
         told = {f: tells.get(f, nothing) for f in ("location", "job_type", "department", "industry")}
         told["published_date"] = C._inline(ONCE_TOLD.get(name, "CAST(NULL AS DATE)"), C.PART_TOLD)
         for f in ("location", "job_type", "department", "published_date"):
             mine, their = listed[f], f"CASE WHEN {has_page} THEN {told[f]} END"
             out[f] = {"detail": f"coalesce({their}, {mine})", "listing": f"coalesce({mine}, {their})", "listing_only": mine,
-                      "detail_only": their}[board.prefer_once.get(f, "detail")]
+                      "detail_only": their}[want["wins"].get(f, "detail")]
         out["industry"] = f"CASE WHEN {has_page} THEN {told['industry']} END"
         low, high = ("years", "years") if name == "lever" else EXPERIENCE.get(name, ("NULL", "NULL"))
         out["min_exp"], out["max_exp"] = (
             f"CAST(CASE WHEN {has_page} THEN {C._inline(x, C.PART_TOLD)} END AS INT)" for x in (low, high))
-        failed = f"'{board.failed_once}'" if board.failed_once else "NULL"
+        failed = f"'{want['failed']}'" if want["failed"] else "NULL"
         out["original_description"] = f"CASE WHEN {has_page} THEN {tells['original_description']} ELSE {failed} END"
         if "title" in tells:
             out["title"] = f"CASE WHEN {has_page} THEN {tells['title']} ELSE {card['title']} END"
-        known = "TRUE" if board.refresh_once else "p_size % 11 <> 0"
-        if board.skip_failed_once:
+        known = "TRUE" if want["again"] else "p_size % 11 <> 0"
+        if want["skips_failed"]:
             known += f" AND {has_page}"
         cols = ", ".join(f"{out[c]} AS {c}" for c in ONCE_COLS)
         selects.append(f"SELECT {cols} FROM part WHERE ({C._inline(when, C.PARTS)}) AND p_size % 3 = 0 AND {known}")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gigloom.catalog.expected import PATHS
 from gigloom.catalog.registry import AS_OF, Shape, query, table
 from gigloom.functions import dates as D
 from gigloom.functions import fixed_values as V
@@ -129,10 +130,10 @@ def first_and_last_line(spark, sf):
 
 
 @query(_in(DOC, bullets="array_to_string(list_filter(list_transform(string_split(text, '. '), lambda x: " + CLEAN.format("x") + "), lambda x: x <> ''), ' | ')",
-           titled="concat_ws(chr(10) || chr(10), CASE WHEN " + CLEAN.format("split_part(text, chr(10), 1)") + " <> '' THEN '### Job Description' || chr(10) || " + CLEAN.format("split_part(text, chr(10), 1)") + " END, CASE WHEN " + CLEAN.format("split_part(text, chr(10), 2)") + " <> '' THEN '### Qualifications' || chr(10) || " + CLEAN.format("split_part(text, chr(10), 2)") + " END)",
-           plain="concat_ws(chr(10) || chr(10), nullif(" + CLEAN.format("split_part(text, chr(10), 1)") + ", ''), nullif(" + CLEAN.format("split_part(text, chr(10), 2)") + ", ''))"))
+           titled="concat_ws(chr(10) || chr(10), CASE WHEN " + CLEAN.format("split_part(text, chr(10), 1)") + " <> '' THEN '### Job Description' || chr(10) || " + CLEAN.format("split_part(text, chr(10), 1)") + " END, CASE WHEN " + CLEAN.format("substr(text, instr(text, chr(10)) + 1)") + " <> '' THEN '### Qualifications' || chr(10) || " + CLEAN.format("substr(text, instr(text, chr(10)) + 1)") + " END)",
+           plain="concat_ws(chr(10) || chr(10), nullif(" + CLEAN.format("split_part(text, chr(10), 1)") + ", ''), nullif(" + CLEAN.format("substr(text, instr(text, chr(10)) + 1)") + ", ''))"))
 def joined_parts(spark, sf):
-    one, two = (T.clean(F.split_part("text", F.lit("\n"), F.lit(i))) for i in (1, 2))
+    one, two = T.clean(F.split_part("text", F.lit("\n"), F.lit(1))), T.clean(F.expr("substring(text, instr(text, '\\n') + 1)"))
     return _of(DOC, spark, sf, bullets=T.bullets_or_text(F.split("text", r"\. "), F.col("text")),
                titled=T.titled_sections(("### Job Description", one), ("### Qualifications", two)),
                plain=T.plain_sections(one, two))
@@ -295,7 +296,7 @@ def url_tracking(spark, sf):
 
 
 @query("SELECT s_suppkey, 'https://s' || s_suppkey || '.example.com' || p AS url FROM supplier, (SELECT unnest(["
-       + ", ".join(_q(p) for p in U.path_guesses()) + "]) AS p)")
+       + ", ".join(_q(p) for p in PATHS) + "]) AS p)")
 def path_candidates(spark, sf):
     s = table(spark, sf, "supplier").select("s_suppkey", F.explode(F.array(*[F.lit(p) for p in U.path_guesses()])).alias("p"))
     return s.select("s_suppkey", F.concat(F.lit("https://s"), F.col("s_suppkey").cast("string"), F.lit(".example.com"), "p").alias("url"))

@@ -6,15 +6,13 @@ match nothing) are dealt out evenly instead of meeting in one task.
 """
 
 from functools import reduce
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gigloom.functions.text import strip
 
-NULL_BINS = 64
-
-
 def dedupe(df: DataFrame, keys, order, keep: str = "last") -> DataFrame:
     """One row per key: the last (or first) by `order`, which names one or more columns."""
     keys, order = _list(keys), _list(order)
@@ -29,9 +27,20 @@ def _list(x):
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def partitions(df: DataFrame) -> int:
+    """How many tasks a shuffle of the session has: what null keys are dealt over."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def salts_of(df: DataFrame) -> int:
+    """How many tasks share one hot key where a lookup is repeated for each: grows with the square root of the shuffle."""
+    return max(8, isqrt(partitions(df)))
+
+
 def row_bin(df: DataFrame, keys, bins: int) -> Column:
-    """A bin per row from a few columns other than the keys, so column pruning still works."""
-    others = [c for c, kind in df.dtypes if c not in keys and not kind.startswith(("map", "array", "struct"))][:3]
+    """A bin per row from all numbers, dates and flags other than the keys and three texts, so large texts can be pruned."""
+    plain = [(c, kind) for c, kind in df.dtypes if c not in keys and not kind.startswith(("map", "array", "struct", "binary"))]
+    others = [c for c, kind in plain if kind != "string"] + [c for c, kind in plain if kind == "string"][:3]
     return F.pmod(F.xxhash64(*others), F.lit(bins)) if others else F.lit(0).cast("bigint")
 
 
@@ -39,7 +48,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", disti
                 salts: int = 1, spread_by=None) -> DataFrame:
     """Equi-join on key columns that no single key can hold up.
 
-    Rows of `df` whose key is null match nothing and are dealt over NULL_BINS bins. With
+    Rows of `df` whose key is null match nothing and are dealt over 16 bins for each task of a shuffle. With
     salts > 1 the rows of every key are dealt over that many bins, by a hash of `spread_by`,
     and the (much smaller) lookup is repeated for each; else adaptive skew splitting applies.
     distinct: the lookup holds key columns (and constants) only and is reduced to distinct
@@ -49,7 +58,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", disti
     by = [c for c in (spread_by or df.columns) if c not in keys]
     empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     own = row_bin(df.select(*by) if by else df, keys, salts) if salts > 1 else F.lit(0).cast("bigint")
-    left = df.withColumn("_bin", F.when(empty, row_bin(df, keys, NULL_BINS) + salts).otherwise(own))
+    left = df.withColumn("_bin", F.when(empty, row_bin(df, keys, 16 * partitions(df)) + salts).otherwise(own))
     # one bin: always 0, but not a literal, which would be folded out of the join keys
     bins = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint") if salts == 1 else F.explode(
         F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))

@@ -9,7 +9,7 @@ from gigloom.functions import fixed_values as V
 from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
 from gigloom.functions.text import code_name, first_of, let, nonempty, strip, urls_in
-from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, pick_first, reason_counts, skip_reasons)
+from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, pick_first, reason_counts, salts_of, skip_reasons)
 from gigloom.session import settled, spread
 from gigloom.sources import pages as P
 from gigloom.sources.tables import pending
@@ -60,7 +60,7 @@ def judged(candidates: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFram
     facts = page_facts(held).withColumn("_key", urls.key("url")).select("_key", "next", "confidence", "reason")
     facts = settled(dedupe(facts, ["_key"], ["confidence", "reason"]))
     passing = facts.where(F.col("confidence") >= ACCEPTED).select("_key", "confidence", "reason")
-    hits = lookup_join(candidates, passing, "_key", "inner", spread_by=["list_id"], salts=_salts(candidates))
+    hits = lookup_join(candidates, passing, "_key", "inner", spread_by=["list_id"], salts=salts_of(candidates))
     hits = hits.withColumn("careers_url", F.col("url")).withColumn("method", F.concat_ws(":", "how", "reason"))
     return facts, settled(pick_first(hits, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"]))
 
@@ -83,7 +83,7 @@ def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
         if depth == max_depth:
             break
         here = lookup_join(level.join(hits, "list_id", "left_anti").withColumn("_key", urls.key("url")),
-                           facts.select("_key", "next"), "_key", "inner", spread_by=["list_id"], salts=_salts(level))
+                           facts.select("_key", "next"), "_key", "inner", spread_by=["list_id"], salts=salts_of(level))
         reached = here.select("list_id", "rank", F.posexplode("next").alias("pos", "url")).select(
             "list_id", "url", urls.key("url").alias("_key"), F.concat("rank", F.array("pos")).alias("rank"))
         reached = dedupe(reached, ["list_id", "_key"], ["rank"], "first").join(every, ["list_id", "_key"], "left_anti")
@@ -93,10 +93,6 @@ def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
     return reduce(DataFrame.unionByName, [*found, hits])
 
 
-def _salts(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-
-
 def find_careers(input_list: DataFrame, companies: DataFrame, pages: DataFrame, redirects: DataFrame, as_of):
     """(new company rows, list statuses) for pending list rows."""
     rows = pending(input_list, "status").select(

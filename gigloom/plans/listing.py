@@ -9,7 +9,7 @@ from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
 from gigloom.functions.numbers import experience
 from gigloom.functions.text import nonblank
-from gigloom.operators.keys import computed, dedupe, lookup_join, new_only
+from gigloom.operators.keys import computed, dedupe, lookup_join, new_only, salts_of
 from gigloom.operators.merge import enrich, patch, upsert
 from gigloom.session import settled
 from gigloom.sources import pages as P
@@ -59,7 +59,7 @@ def _board_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     at = "board_url" if "board_url" in pages.columns else "url"
     order = F.col("page_ord") if "page_ord" in pages.columns else F.lit(0)
     rows = P.captures(pages, runs.select("url"), at).withColumn("page_ord", order).withColumn("_at", F.col(at))
-    found = lookup_join(rows, runs.withColumnRenamed("url", "_at"), "_at", "inner", salts=8, spread_by=["url", "page_ord"])
+    found = lookup_join(rows, runs.withColumnRenamed("url", "_at"), "_at", "inner", salts=salts_of(rows), spread_by=["url", "page_ord"])
     return found.drop("_at", "status", "board_url")
 
 
@@ -156,7 +156,7 @@ def once_oracle(companies: DataFrame, listings: DataFrame, bodies: DataFrame, jo
         sites = lookup_join(sites, answered, ["api_base", "site_name"]).withColumn("api_base", F.when(
             F.col("_up").isNull(), F.coalesce(urls.alternate_host("api_base"), "api_base")).otherwise(F.col("api_base")))
         sites = sites.drop("_up")
-    found = lookup_join(oracle.listed(listings, keep), sites, ["api_base", "site_name"], "inner", salts=8,
+    found = lookup_join(oracle.listed(listings, keep), sites, ["api_base", "site_name"], "inner", salts=salts_of(listings),
                         spread_by=["job_id"])
     rows = dedupe(found, ["job_url"], ["company_sustain_id", "offset", "pos"], "first")
     rows = new_only(rows, jobs, "job_url")

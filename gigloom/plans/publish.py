@@ -11,7 +11,7 @@ from gigloom.functions.dates import any_timestamp, day_text, moment
 from gigloom.functions.numbers import experience_label
 from gigloom.functions.text import first_nonempty, nonblank, sections, slug, standard_location
 from gigloom.functions.urls import tracked
-from gigloom.operators.keys import computed, lookup_join, new_only, reason_counts, skip_reasons
+from gigloom.operators.keys import computed, lookup_join, map_distinct, new_only, reason_counts, skip_reasons
 from gigloom.operators.match import nearest
 from gigloom.operators.merge import retain
 from gigloom.operators.wording import closest_wording
@@ -95,8 +95,9 @@ def departments(rows: DataFrame, edition: Edition, categories: DataFrame | None
     rows = rows.withColumn(to, F.when(nonblank(text).isNotNull(), rules.first_match(text, edition.rules)))
     # the costlier steps see only postings no earlier step has named
     if edition.wording:
-        open_text = F.when(F.col(to).isNull(), nonblank(text))
-        rows = rows.withColumn(to, F.coalesce(to, closest_wording(open_text, edition.wording)))
+        rows = rows.withColumn("_open", F.when(F.col(to).isNull(), nonblank(text)))
+        rows = map_distinct(rows, "_open", lambda t: t.withColumn("_worded", closest_wording("_open", edition.wording)), "_worded")
+        rows = rows.withColumn(to, F.coalesce(to, "_worded")).drop("_open", "_worded")
     if categories is not None and vec is not None:
         open_vec = F.when(F.col(to).isNull() & nonblank(text).isNotNull(), F.col(vec))
         rows = nearest(rows.withColumn("_vec", open_vec), "_vec", categories, edition.similar, to="_near_label")

@@ -1,5 +1,7 @@
 """Session settings and the shared working folder."""
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -36,7 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gigloom-"))
+    own = tempfile.mkdtemp(prefix="gigloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -59,14 +63,11 @@ def drop_settled(spark: SparkSession) -> None:
     _settled.clear()
 
 
-def spread(df: DataFrame, factor: int = 4) -> DataFrame:
-    """Deal out a scan that has far fewer splits than the cluster has cores.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal a scan out over `partitions` tasks before costly work; without a number it keeps its splits.
 
-    Parsing a page costs far more than moving it, but only a scan too small to occupy the
-    cluster is moved; a large one keeps its splits and pays no shuffle.
+    The default is the session's spark.gigloom.partitions, which suits tables of a few large
+    files that are parsed on many cores; where it is unset nothing is moved.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores) if size / split * factor < cores else df
+    n = partitions or int(df.sparkSession.conf.get("spark.gigloom.partitions", "0"))
+    return df.repartition(n) if n else df

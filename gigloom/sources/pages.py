@@ -297,11 +297,6 @@ def fetched(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("status") == 200) if "status" in pages.columns else pages
 
 
-def landed(pages: DataFrame) -> DataFrame:
-    """Fetched pages, dealt out when they are few: what a run joins to its boards or postings."""
-    return spread(fetched(pages))
-
-
 def captures(pages: DataFrame, wanted: DataFrame, at: str = "url", address=lambda c: F.col(c)) -> DataFrame:
     """Fetched pages whose address (as `address` reads column `at`) is in the one column of `wanted`: the latest of each.
 

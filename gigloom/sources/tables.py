@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import fixed_values as V
 from gigloom.functions.text import strip
-from gigloom.operators.keys import lookup_join
+from gigloom.operators.keys import lookup_join, salts_of
 
 SCHEMAS = {
     "input_list": "id bigint, name string, domain string, description string, status string",
@@ -108,12 +108,12 @@ def parents(scrapes: DataFrame, ats_website: DataFrame, companies: DataFrame | N
 
 
 def with_parents(jobs: DataFrame, lookup: DataFrame, key: str = "scrape_id", how: str = "left",
-                 salts: int = 8) -> DataFrame:
+                 salts: int | None = None) -> DataFrame:
     """Postings with parent columns; a posting without a company gets the default name.
 
     A third of all postings may hang on one scrape: its postings are shared by `salts` tasks.
     """
-    out = lookup_join(jobs, lookup, key, how, salts=salts)
+    out = lookup_join(jobs, lookup, key, how, salts=salts or salts_of(jobs))
     if "company_found" in out.columns:
         out = out.withColumn("company_name", F.when(F.col("company_found").isNull(), V.UNKNOWN_COMPANY)
                              .otherwise(F.col("company_name"))).drop("company_found")
@@ -136,6 +136,11 @@ def export_rows(jobs: DataFrame, scrapes: DataFrame, ats_website: DataFrame, ats
 
 # --- writes --------------------------------------------------------------------------
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

@@ -66,7 +66,9 @@ CASES = [
     (lambda c: R.job_type(c, titled=True), {"Full time": "Full Time", "NA": None}),
     (R.employment_class, {"Internal transfer": "Internship", "Partner": "Contractor", "Permanent": "Full Time", None: "Full Time"}),
     (R.country_gate, {"IN": True, "in": True, None: True, "": True, "US": False}),
-    (R.in_india, {"Bengaluru": True, "Indianapolis, IN": False, "Remote": True, "Remote - US": False, "Indiana": False, "Remote India": True, None: False}),
+    (R.in_india, {"Bengaluru": True, "Indianapolis, IN": False, "Remote": True, "Remote - US": False, "Indiana": False, "Remote India": True, None: False,
+                   "Kota Kinabalu, Malaysia": False, "Surat Thani, Thailand": False, "Agra, Kansas": False, "Goa, Philippines": False,
+                   "Sector 62, Noida": True, "Delhi NCR": True, "Greater Hyderabad Area": True, "Kota": True}),
     (lambda c: R.first_match(c, V.GENERAL_DEPARTMENT_RULES, "x"), {"Senior QA Engineer": "Quality Assurance & Testing",
                                                                    "EV Charging Lead": "Electric Vehicles & Charging Infrastructure", "Poet": "x"}),
     (lambda c: closest_spelling(c, V.LONG_DEPARTMENTS), {"Enginering": "Engineering", "zzz": None, "Solar": "Solar"}),

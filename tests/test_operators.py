@@ -138,3 +138,33 @@ def test_shared_folder_is_named_by_the_session():
     assert shared_dir(Stub("hdfs://shared/x", "yarn")) == "hdfs://shared/x"
     with pytest.raises(ValueError):
         shared_dir(Stub(None, "yarn"))
+
+
+def test_nearest_takes_any_rank(spark):
+    """Negative, sparse and null ranks, and ties, give one answer at every size of a block."""
+    cats = [("a", -3, [1.0, 0.0]), ("b", 10**9, [0.0, 1.0]), ("c", None, [0.0, 1.0]), ("d", 5, [1.0, 0.0]), ("e", None, [-1.0, 0.0]), ("f", 0, None)]
+    c = spark.createDataFrame(cats, "category string, rank long, vec array<double>")
+    df = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, [-1.0, 0.1]), (4, [-1.0, -1.0]), (5, None)], "id int, vec array<double>")
+    for block in (1, 2, 4096):
+        assert dict(rows(nearest(df, "vec", c, 0.8, "none", block=block), "id", "label")) == {1: "a", 2: "b", 3: "e", 4: "none", 5: "none"}
+    assert {r.label for r in nearest(df, "vec", c.limit(0), 0.8, "none").collect()} == {"none"}
+
+
+def test_upsert_does_not_move_the_target(spark):
+    target = spark.range(1000).selectExpr("id", "id * 2 AS v", "'t' AS w")
+    source = spark.sql("SELECT CAST(id AS BIGINT) AS id, CAST(v AS BIGINT) AS v FROM VALUES (5, NULL), (2000, 7), (NULL, 8) AS s(id, v)")
+    out = M.upsert(target, source, "id")
+    got = {r.id: (r.v, r.w) for r in out.collect()}
+    assert (got[5], got[6], got[2000], got[None], len(got)) == ((None, "t"), (12, "t"), (7, None), (8, None), 1002)
+    assert {r.id: r.v for r in M.upsert(target, source, "id", nulls="keep").collect()}[5] == 10
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "SortMergeJoin" not in plan
+
+
+def test_repeated_batches_add_rows_without_a_key_once(spark, tmp_path):
+    schema = "job_url string, title string, seq long"
+    spark.createDataFrame([(None, "a", 1), ("u", "b", 2)], schema).write.parquet(f"{tmp_path}/landed")
+    for name in ("a", "b"):
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/landed")
+        append_new(stream, f"{tmp_path}/target", "job_url", "seq", f"{tmp_path}/{name}").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/target").count() == 2
