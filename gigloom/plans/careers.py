@@ -1,7 +1,5 @@
 """Careers-page discovery and hiring-platform detection over landed pages."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +49,7 @@ def guesses(sites: DataFrame, stage: int, careers: bool = False) -> DataFrame:
 
 
 def judged(candidates: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(facts of the candidates' pages by address key, first accepted candidate of each company).
+    """(facts of the candidates' pages by address key, candidates whose page passes).
 
     Only the latest captures of these addresses are read and parsed.
     """
@@ -61,36 +59,40 @@ def judged(candidates: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFram
     facts = settled(dedupe(facts, ["_key"], ["confidence", "reason"]))
     passing = facts.where(F.col("confidence") >= ACCEPTED).select("_key", "confidence", "reason")
     hits = lookup_join(candidates, passing, "_key", "inner", spread_by=["list_id"], salts=salts_of(candidates))
-    hits = hits.withColumn("careers_url", F.col("url")).withColumn("method", F.concat_ws(":", "how", "reason"))
-    return facts, settled(pick_first(hits, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"]))
+    return facts, settled(hits.select("list_id", F.col("url").alias("careers_url"), "stage", "rank", "confidence",
+                                      F.concat_ws(":", "how", "reason").alias("method")))
 
 
 def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
     """(list_id, careers_url, confidence, method) of sites (list_id, base) with a careers page.
 
-    Direct paths first, then a breadth-first crawl from the homepage over job-like links, then
-    the careers subdomain; each step is for companies that no earlier one has settled. In the
+    Direct paths come first, then a breadth-first crawl from the homepage over job-like links,
+    then the careers subdomain. Each round reads pages for companies that an earlier one has
+    not settled: paths and homepages, then links and subdomains, then deeper links. In the
     crawl an address counts at its first place in the queue and is not followed twice.
     """
-    _, hits = judged(guesses(sites, 0), pages)
-    found, left = [hits], sites.join(hits, "list_id", "left_anti")
-    level = left.select("list_id", F.col("base").alias("url"), F.array(F.lit(0)).alias("rank"))
+    def crawled(level, depth):
+        return level.select("list_id", "url", F.lit(1).alias("stage"), F.concat(F.array(F.lit(depth)), "rank").alias("rank"),
+                            F.lit(f"depth-{depth}").alias("how"))
+
+    level = sites.select("list_id", F.col("base").alias("url"), F.array(F.lit(0)).alias("rank"))
     every = level.select("list_id", urls.key("url").alias("_key"))
-    for depth in range(max_depth + 1):
-        facts, hits = judged(level.select("list_id", "url", F.lit(1).alias("stage"), "rank", F.lit(f"depth-{depth}").alias("how")), pages)
-        found.append(hits)
-        left = left.join(hits, "list_id", "left_anti")
-        if depth == max_depth:
-            break
-        here = lookup_join(level.join(hits, "list_id", "left_anti").withColumn("_key", urls.key("url")),
+    facts, hits = judged(guesses(sites, 0).unionByName(crawled(level, 0)), pages)
+    for depth in range(1, max_depth + 1):
+        done = hits.where("stage < 2").select("list_id").distinct()
+        here = lookup_join(level.join(done, "list_id", "left_anti").withColumn("_key", urls.key("url")),
                            facts.select("_key", "next"), "_key", "inner", spread_by=["list_id"], salts=salts_of(level))
         reached = here.select("list_id", "rank", F.posexplode("next").alias("pos", "url")).select(
             "list_id", "url", urls.key("url").alias("_key"), F.concat("rank", F.array("pos")).alias("rank"))
         reached = dedupe(reached, ["list_id", "_key"], ["rank"], "first").join(every, ["list_id", "_key"], "left_anti")
         level = settled(reached.select("list_id", "url", "rank"))
         every = every.union(level.select("list_id", urls.key("url")))
-    _, hits = judged(guesses(left, 2, careers=True), pages)
-    return reduce(DataFrame.unionByName, [*found, hits])
+        candidates = crawled(level, depth)
+        if depth == 1:
+            candidates = candidates.unionByName(guesses(sites.join(done, "list_id", "left_anti"), 2, careers=True))
+        facts, more = judged(candidates, pages)
+        hits = hits.unionByName(more)
+    return pick_first(hits, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"])
 
 
 def find_careers(input_list: DataFrame, companies: DataFrame, pages: DataFrame, redirects: DataFrame, as_of):
