@@ -63,6 +63,16 @@ def drop_settled(spark: SparkSession) -> None:
     _settled.clear()
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Fewer rows at a time to Python, where the session still has Spark's default of 10,000: pages and texts are wide.
+
+    Both sides hold a batch in memory outside the heap, so a wide one counts twice for each task.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal a scan out over `partitions` tasks before costly work; without a number it keeps its splits.
 

@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, Struc
 
 from gigloom.functions import urls
 from gigloom.functions.text import col, let, strip
-from gigloom.session import spread
+from gigloom.session import bounded_batches, spread
 
 # executors need no copy of this package: the parser travels with the function
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -319,6 +319,7 @@ def captures(pages: DataFrame, wanted: DataFrame, at: str = "url", address=lambd
 
 def with_nodes(pages: DataFrame, markup: str = "html", to: str = "dom") -> DataFrame:
     """Replace the markup column by its nodes."""
+    bounded_batches(pages.sparkSession)
     return spread(pages).withColumn(to, nodes(markup)).drop(markup)
 
 
