@@ -1,10 +1,36 @@
 """Intermediate tables in the shared folder that spark.checkpoint.dir names."""
 
+import os
+import tempfile
+import zipfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gigloom.session import shared_dir
+from gigloom.session import bounded_batches, shared_dir
+
+
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Give executors this package, once per application, as Spark hands out any Python file of a job.
+
+    Texts are wide rows, so batches handed to Python are bounded too.
+    """
+    bounded_batches(spark)
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="gigloom-"), "gigloom-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, "gigloom")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
 
 
 def stored(df: DataFrame, *by: str) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gigloom.llm.store import shipped
 from gigloom.llm.words import LOWER, pieces, place_values
 
 BUCKETS = 1 << 18
@@ -29,12 +30,14 @@ WINDOW = 8
 SAMPLE = 1500  # labelled texts of each class that are learned from, about; they are chosen by a hash of the id
 SHORT = 4000  # code points of a text in the sample, at most: it bounds what the driver holds
 RATE, BATCH = 0.1, 128
+TEXTS = 64  # of the sample that are cut into subwords at a time
 ROUNDS = 6
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _FOLD = LOWER.copy()
 _FOLD[_BLANK] = 32
+_PLAIN = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])  # letters, digits and all beyond ASCII
 
 
 @dataclass
@@ -49,6 +52,11 @@ class Bags:
 def bags(texts: list[str | None]) -> Bags:
     parts = [(t or "").encode("utf-8", "replace") for t in texts]
     raw = _FOLD[np.frombuffer(b" " + b" ".join(parts) + b"  ", np.uint8)]
+    # a sign counts within a word ("d*mn"), not beside it
+    plain = _PLAIN[raw]
+    beside = ~plain
+    beside[1:-1] &= ~(plain[:-2] & plain[2:])
+    raw[beside] = 32
     blank = raw == 32
     begins = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
     at = 1 + np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
@@ -75,8 +83,7 @@ def bags(texts: list[str | None]) -> Bags:
     whole = (sums[ends] - sums[begins]) * down[begins]
     found.append(((whole * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 18)).astype(np.uint32))
     owner.append(np.arange(len(begins)))
-    bucket, owner = np.concatenate(found).astype(np.int64), np.concatenate(owner)
-    return Bags(bucket, owner, row)
+    return Bags(np.concatenate(found).astype(np.int32), np.concatenate(owner).astype(np.int32), row)
 
 
 @dataclass
@@ -106,8 +113,20 @@ def worst(b: Bags, part: np.ndarray, bias: float, rows: int) -> np.ndarray:
     return out
 
 
-def _windows(b: Bags) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Non-overlapping windows for training: (buckets in window order, where each window begins and the end, its row)."""
+def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Non-overlapping windows for training: (buckets in window order, where each window begins and the end, its text).
+
+    Texts are cut a few at a time, so that only the buckets of all of them are held.
+    """
+    parts = [_cut(bags(texts[i:i + TEXTS])) for i in range(0, len(texts), TEXTS)]
+    sizes = np.concatenate([np.diff(at) for _, at, _ in parts])
+    return (np.concatenate([b for b, _, _ in parts]), np.concatenate([[0], np.cumsum(sizes)]),
+            np.concatenate([row + i * TEXTS for i, (_, _, row) in enumerate(parts)]))
+
+
+def _cut(b: Bags) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not len(b.row):
+        return b.bucket, np.zeros(1, np.int64), b.row
     first = np.searchsorted(b.row, b.row, "left")
     number = (np.arange(len(b.row)) - first) // WINDOW
     fresh = np.concatenate([[True], (b.row[1:] != b.row[:-1]) | (number[1:] != number[:-1])])
@@ -123,14 +142,14 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(5)
-    b = bags(texts)
-    bucket, at, row = _windows(b)
+    bucket, at, row = _windows(texts)
     aside = np.arange(len(texts)) % 5 == 0
     if len(set(labels[aside].tolist())) < 2 or len(set(labels[~aside].tolist())) < 2:
         aside = np.zeros(len(texts), bool)
-    emb = rng.normal(0, 1.0 / DIM, (BUCKETS, DIM)).astype(np.float32)
-    top = np.zeros((DIM, 2), np.float32)
-    top[:, 1] = rng.normal(0, 0.1, DIM)
+    # embeddings start at zero, and one that a single text has stays there: what is rare or unseen says nothing
+    emb = np.zeros((BUCKETS, DIM), np.float32)
+    shared = _in_several(bucket, row[np.repeat(np.arange(len(row)), np.diff(at))])
+    top = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     positive, used = labels[row] == 1, ~aside[row]
     target = positive.copy()  # of each window
@@ -164,6 +183,7 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
             fresh = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
             step = np.add.reduceat(np.repeat(back / size[:, None], size, axis=0)[order], fresh, axis=0)
             which = ids[order][fresh]
+            which, step = which[shared[which]], step[shared[which]]
             past[which] += (step * step).mean(axis=1)
             emb[which] -= RATE * step / np.sqrt(past[which])[:, None]
         logit = _logits(emb, top, bias, bucket, at)
@@ -172,10 +192,23 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
         target = positive & ((logit >= best[row]) | (logit > 2.0))  # each toxic text's worst window, and all that are plainly toxic
         trained = used & (target | ~positive)
     part = emb @ (top[:, 1] - top[:, 0])
-    slope, offset = _logistic(worst(b, part, float(bias[1] - bias[0]), len(texts)), labels, aside if aside.any() else ~aside)
+    highest = np.concatenate([worst(bags(texts[i:i + TEXTS]), part, float(bias[1] - bias[0]), len(texts[i:i + TEXTS]))
+                              for i in range(0, len(texts), TEXTS)])
+    slope, offset = _logistic(highest, labels, aside if aside.any() else ~aside)
     return Model(part.astype(np.float32), float(bias[1] - bias[0]), slope, offset)
 
 
+def _in_several(bucket: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which buckets two texts or more have; entries come text by text."""
+    first, several = np.full(BUCKETS, -1, np.int32), np.zeros(BUCKETS, bool)
+    for low in range(0, len(bucket), 1 << 20):
+        b, t = bucket[low:low + (1 << 20)], text[low:low + (1 << 20)].astype(np.int32)
+        new = first[b] == -1
+        first[b[new][::-1]] = t[new][::-1]
+        several[b[first[b] != t]] = True
+    return several
+
+
 def _logits(emb, top, bias, bucket, at) -> np.ndarray:
     part = emb @ (top[:, 1] - top[:, 0])
     return np.add.reduceat(part[bucket], at[:-1]) / np.diff(at) + bias[1] - bias[0]
@@ -226,6 +259,7 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", score: str
     repeated rows and their number stay; a column named like the new one is replaced. Every
     window of the whole text is scored.
     """
+    shipped(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c != score]
 
