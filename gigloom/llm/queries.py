@@ -64,6 +64,33 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+_WS = r"\x20\x09-\x0D"
+OP5_SQL = rf"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+placed AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base
+    FROM lines),
+runs AS (SELECT doc_id, i, base, regexp_extract_all(line, '[{_WS}]*[^{_WS}]+') AS r FROM placed),
+words AS (SELECT doc_id, i, base, unnest(r) AS w, generate_subscripts(r, 1) AS j FROM runs),
+ends AS (SELECT doc_id, i, j, regexp_replace(w, '^[{_WS}]+', '') AS word,
+    base + sum(length(w)) OVER (PARTITION BY doc_id, i ORDER BY j)::BIGINT AS e FROM words),
+cut AS (SELECT *, e - length(word) AS s, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    coalesce(sum((word[-1] IN ('.', '!', '?'))::INT) OVER (PARTITION BY doc_id, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
+    FROM ends),
+units AS (SELECT 'sentence' AS kind, doc_id, i, k, min(s) AS s, max(e) AS e, count(*) AS n, string_agg(low, ' ' ORDER BY j) AS norm
+    FROM cut GROUP BY doc_id, i, k
+  UNION ALL SELECT 'line', doc_id, i, 0, min(s), max(e), count(*), string_agg(low, ' ' ORDER BY j) FROM cut GROUP BY doc_id, i),
+judged AS (SELECT *, row_number() OVER (PARTITION BY kind, norm ORDER BY doc_id, s) > 1 AS again, min(doc_id) OVER (PARTITION BY kind, norm) AS first,
+    row_number() OVER (PARTITION BY kind, doc_id ORDER BY s) AS place FROM units),
+marks AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS island FROM judged WHERE again AND kind = 'sentence'),
+spans AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM marks GROUP BY doc_id, island HAVING sum(n) >= {line_dedup.MIN_RUN}
+  UNION ALL SELECT doc_id, s, e FROM judged WHERE again AND kind = 'line' AND n >= {line_dedup.MIN_LINE}),
+opened AS (SELECT *, coalesce(max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= s, FALSE) AS joins FROM spans),
+numbered AS (SELECT *, sum((NOT joins)::INT) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS part FROM opened),
+merged AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM numbered GROUP BY doc_id, part)
+SELECT p.doc_id, p.s AS start, p.e AS "end", sum(m.n)::BIGINT AS n_words, min(m.first) AS first_doc_id
+FROM merged p JOIN marks m ON m.doc_id = p.doc_id AND m.s >= p.s AND m.s < p.e GROUP BY p.doc_id, p.s, p.e"""
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every license notice in every text: which, where, and how much of its template is there."""
     return license_scan.licenses(read(spark, sf_dir, "documents"))
@@ -93,6 +120,14 @@ def op9_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extracted(read(spark, sf_dir, "pages"))
 
 
+# the given pages have their text in h1 and p blocks of one article element
+_BLOCK = r"""trim(regexp_replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'),
+    '&quot;', '"'), '&quot', '"'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))"""
+OP9_SQL = rf"""WITH t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(string_split_regex(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|\z)', 1), '</?(?:h1|p)>'), lambda x: {_BLOCK}), lambda x: x <> ''), chr(10)) AS text FROM pages)
+SELECT page_id, url, text, length(text) AS n_chars FROM t"""
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 80% or more of a test item's 5-word shingles."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -109,4 +144,4 @@ FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_language_id, op4_lattice_lm, op5_line_dedup, op6_license_scan, op7_mixing, op8_topk, op9_wrappers, op10_decontaminate)}
-ORACLES = {"op1_ngram_join": OP1_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}
+ORACLES = {"op1_ngram_join": OP1_SQL, "op5_line_dedup": OP5_SQL, "op9_wrappers": OP9_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}

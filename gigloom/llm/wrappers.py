@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gigloom.llm.store import stored
+from gigloom.llm.store import shipped, stored
 from gigloom.llm.words import pieces
 
 DEPTH = 48  # deeper elements count as text of their ancestor at this depth
@@ -46,7 +46,9 @@ SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd":
 NOISE = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
             "disclaimer disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pager "
             "pagination popup promo promoted promotion recommended related replies respond share sharing sidebar signup skip social "
-            "sponsor sponsored subscribe subscription toolbar widget".split())
+            "sponsor sponsored subscribe subscription teaser teasers toolbar widget".split())
+QUALIFIERS = set("has have hide is js no not show with without".split())  # "has-sidebar" names a page's layout, not a sidebar
+ARTICLE_NOISE = set("ad ads advert comment comments promo promoted recommended related replies reply sponsored teaser teasers".split())
 NOISE_ROLES = set("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 LEAF = set("p h1 h2 h3 h4 h5 h6 li td th dd dt blockquote pre figcaption".split())
 
@@ -63,8 +65,10 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
         for m in _ATTR.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
-                words = {w.lower() for w in _PART.findall(value)}
-                noise |= bool(words & NOISE)
+                known = ARTICLE_NOISE if tag in ("article", "main") else NOISE
+                for one in value.split():
+                    words = [w.lower() for w in _PART.findall(one)]
+                    noise |= bool(words) and words[0] not in QUALIFIERS and not known.isdisjoint(words)
                 if name == "class":
                     kinds += "." + ".".join(sorted({re.sub(r"\d+", "0", w) for w in value.split()}))
             elif name == "role":
@@ -435,6 +439,7 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     the groups' wrappers: a host with a third of all pages reaches a task as a few rows. Rows
     with a null or odd url are a host of their own, named ''.
     """
+    shipped(pages.sparkSession)
     rows = pages.select(host_of(F.col(url).cast("string")).alias("host"), F.col(html).cast("string").alias("html"))
     some = rows.mapInArrow(_induced, _WRAPPER).withColumn("part", F.expr("spark_partition_id() div 64"))
     met = some.groupBy("host", "part").applyInArrow(_met, _WRAPPER).groupBy("host").applyInArrow(_met, _WRAPPER)

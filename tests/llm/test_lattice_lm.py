@@ -59,7 +59,7 @@ def test_seen_words_and_lattice_share_the_mass():
     logs = lat.words(words)
     counts = {b"a": (3, 1), b"ab": (0, 2), b"bb": (1, 0)}
     classes = [Level(4 + 2, 3, 2, 0.5), Level(3 + 1, 3, 1, 0.4)]
-    model = Model(lat, Level(10, 4, 3, 0.6), classes, np.zeros(0, np.int64), np.zeros((0, 2), np.int64))
+    model = Model(Level(10, 4, 3, 0.6), classes, np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.zeros(0))
     c = np.array([counts.get(w, (0, 0)) for w in words])
     total = (10.0 ** model.scores(c, logs)).sum(axis=0)
     ends = 10.0 ** (model.end() - np.log10([(z.ends + 0.5) / (3 + 1) for z in classes]))

@@ -26,9 +26,9 @@ def test_stages_on_planted_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").where("lang = 'en'")
     item = spark.read.parquet(f"{SF}/benchmark.parquet").where("item_id = 2").first().text
     clean = [(90_001, "Quite another text, with words that no one else has: " + " ".join(f"zyx{i}" for i in range(80)))]
-    passage = " ".join(f"pass{i} age{i}." for i in range(40))
+    passage, own = " ".join(f"pass{i} age{i}." for i in range(40)), " ".join(f"other{i}" for i in range(60)) + ". "
     planted = [(90_002, clean[0][1] + " more"), (90_003, "1234 5678"), (90_004, "begin " + item + " end"),
-               (90_005, "First own words here. " + passage), (90_006, "Other own words there. " + passage)]
+               (90_005, " ".join(f"first{i}" for i in range(60)) + ". " + passage), (90_006, own + passage)]
     more = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in clean + planted], docs.schema)
     docs = docs.union(more)
     ids = []
@@ -38,7 +38,7 @@ def test_stages_on_planted_documents(spark):
     language, near, dedup, leaks = ids
     assert set(language) == {90_001, 90_002, 90_004, 90_005, 90_006}
     assert set(near) == {90_001, 90_004, 90_005, 90_006}
-    assert dedup[90_005] == planted[3][1] and dedup[90_006] == "Other own words there. "
+    assert dedup[90_005] == planted[3][1] and dedup[90_006] == own
     assert set(leaks) == {90_001, 90_005, 90_006} and leaks[90_001] == clean[0][1]
     assert docs.where(F.length("text") != F.col("n_chars")).count() == 0
 

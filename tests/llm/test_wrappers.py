@@ -61,6 +61,12 @@ def test_broken_markup_never_fails(page):
     assert isinstance(text_of(page)[0], str)
 
 
+def test_layout_names_are_not_furniture():
+    page = ("<body class='nav-open'><div class='layout has-sidebar no-comments'><article class='post share-on'><p>x</p></article>"
+            "<div class='left-sidebar'>s</div></div><article class='comment'><p>c</p></article><article class='teaser'><p>t</p></article></body>")
+    assert text_of(page) == ["x"]
+
+
 def test_unclosed_article_keeps_its_text():
     assert text_of("<body><article><h1>a</h1><p>b") == ["a\nb"]
 
