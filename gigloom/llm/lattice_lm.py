@@ -16,13 +16,14 @@ from a class to all classes, and from there to the lattice, so both lines sum to
 and the end. Discounts are estimated from how many words occur once and twice. The text that is
 scored never tells its class.
 
-The HEAD most frequent words are known to every task. Rarer ones are counted per document and
-meet their corpus counts in a join by hash.
+Every distinct word of the table is valued by the lattice once. The HEAD most frequent words are
+known to every task; rarer ones are counted per document and meet their corpus counts and
+values in a join by hash.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gigloom.llm.store import stored
+from gigloom.llm.store import shipped, stored
 from gigloom.llm.words import LOWER, pieces, words
 
 HEAD = 200_000  # words whose counts every task holds, about: 16 bytes each
-ROUNDS = 3
-COUNT_CHUNK = 8 << 20  # bytes of text whose words are counted together
+ROUNDS = 2
+COUNT_CHUNK = 2 << 20  # bytes of text whose words are counted together
 CELLS = 200_000  # bytes of words in one lattice block
 CLASSES = 8  # of training texts: the most frequent ones, others are one more class
-KNOWN = 400_000  # words whose lattice value a worker remembers before it starts anew
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 21
@@ -67,80 +67,120 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
 
 @dataclass
 class Lattice:
-    """Pieces in two hash tables, and their log probabilities (one more entry: no piece)."""
+    """All prefixes of the pieces in two hash tables, the piece that a prefix is, and log probabilities (one more: no piece)."""
 
     keys: np.ndarray
+    piece: np.ndarray
     first: np.ndarray
     second: np.ndarray
-    longest: int
     logp: np.ndarray
 
     @classmethod
     def of(cls, names: list[bytes], p: np.ndarray) -> Lattice:
-        keys = np.zeros(len(names) + 1, np.uint64)
+        found: dict[int, int] = {}
+        none = len(names)
         for i, x in enumerate(names):
             h = 0
-            for b in x:
+            for n, b in enumerate(x, 1):
                 h = (h * int(_STEP) + b + 1) & 0xFFFFFFFFFFFFFFFF
-            keys[i] = h
-        none = len(names)
-        first, second = np.full(1 << _SLOTS, none, np.int32), np.full(1 << _SLOTS, none, np.int32)
+                if n == len(x):
+                    found[h] = i
+                else:
+                    found.setdefault(h, none)
+        keys = np.array([*found, 0], np.uint64)
+        last = len(found)
+        first, second = np.full(1 << _SLOTS, last, np.int32), np.full(1 << _SLOTS, last, np.int32)
         slot, other = cls._slots(keys[:-1])
-        for i in range(none):
-            if first[slot[i]] == none:
+        for i in range(last):
+            if first[slot[i]] == last:
                 first[slot[i]] = i
-            elif second[other[i]] == none:
+            elif second[other[i]] == last:
                 second[other[i]] = i
             else:
                 raise ValueError("two hash tables don't hold this vocabulary; raise _SLOTS")
+        return cls(keys, np.array([*found.values(), none], np.int32), first, second, np.zeros(0)).weighed(p)
+
+    def weighed(self, p: np.ndarray) -> Lattice:
+        """The same pieces with other probabilities."""
         with np.errstate(divide="ignore"):
-            return cls(keys, first, second, max(map(len, names)), np.log(np.append(p, 0.0)))
+            return replace(self, logp=np.log(np.append(p, 0.0)))
 
     @staticmethod
     def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         shift = np.uint64(64 - _SLOTS)
         return (h * np.uint64(0xD6E8FEB86659FD93)) >> shift, (h * np.uint64(0xA0761D6478BD642F)) >> shift
 
-    def ids(self, h: np.ndarray) -> np.ndarray:
+    def _found(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash among the keys; the last place is for hashes that aren't there."""
         a, b = self._slots(h)
         one = self.first[a]
-        miss = self.keys[one] != h
-        if miss.any():
-            two = self.second[b[miss]]
-            one[miss] = np.where(self.keys[two] == h[miss], two, len(self.keys) - 1)
+        miss = np.flatnonzero(self.keys[one] != h)
+        two = self.second[b[miss]]
+        one[miss] = np.where(self.keys[two] == h[miss], two, len(self.keys) - 1)
         return one
 
     def arcs(self, grid: np.ndarray) -> list[np.ndarray]:
-        """For each length the piece that starts at each byte of each word of a grid (words x bytes)."""
-        out, h = [], np.zeros(grid.shape, np.uint64)
-        for n in range(1, min(self.longest, grid.shape[1]) + 1):
-            h = h[:, :grid.shape[1] - n + 1] * _STEP + grid[:, n - 1:] + np.uint64(1)
-            out.append(self.ids(h.ravel()).reshape(h.shape))
+        """For each length the piece that starts at each byte of each word of a grid (words x bytes).
+
+        A start whose bytes so far begin no piece is not looked up again.
+        """
+        words_, size = grid.shape
+        none = len(self.logp) - 1
+        h, at, col = np.zeros(words_ * size, np.uint64), np.arange(words_ * size), np.tile(np.arange(size), words_)
+        flat, out = grid.ravel(), []
+        for n in range(1, size + 1):
+            inside = col + n <= size
+            h, at, col = h[inside], at[inside], col[inside]
+            h = h * _STEP + flat[at + n - 1] + np.uint64(1)
+            key = self._found(h)
+            some = key != len(self.keys) - 1
+            h, at, col, key = h[some], at[some], col[some], key[some]
+            if not len(h):
+                break
+            ids = np.full(words_ * size, none, np.int32)
+            ids[at] = self.piece[key]
+            out.append(np.ascontiguousarray(ids.reshape(words_, size).T))  # by start
         return out
 
-    def forward(self, arcs: list[np.ndarray], size: int) -> np.ndarray:
+    def _ways(self, arcs: list[np.ndarray], size: int) -> list[list[tuple[int, int]]]:
+        """For each end the (start, length) of pieces that some word has there."""
+        none, ways = len(self.logp) - 1, [[] for _ in range(size + 1)]
+        for n, ids in enumerate(arcs, 1):
+            for start in np.flatnonzero((ids != none).any(axis=1)):
+                ways[start + n].append((int(start), n))
+        return ways
+
+    def forward(self, arcs: list[np.ndarray], size: int, ways=None) -> np.ndarray:
         """Log probability of all cuts of each word's first bytes, 0 to all."""
-        alpha = np.full((size + 1, len(arcs[0])), -np.inf)
+        alpha = np.full((size + 1, arcs[0].shape[1]), -np.inf)
         alpha[0] = 0.0
-        for end in range(1, size + 1):
-            ways = np.stack([alpha[end - n] + self.logp[arcs[n - 1][:, end - n]] for n in range(1, min(len(arcs), end) + 1)])
-            top = ways.max(axis=0)
-            alpha[end] = top + np.log(np.exp(ways - top).sum(axis=0))
+        for end, found in enumerate(ways or self._ways(arcs, size)):
+            if found:
+                x = np.stack([alpha[start] + self.logp[arcs[n - 1][start]] for start, n in found])
+                top = x.max(axis=0)
+                alpha[end] = top + np.log(np.exp(x - top).sum(axis=0))
         return alpha
 
     def expected(self, arcs: list[np.ndarray], size: int, weight: np.ndarray) -> np.ndarray:
         """How often each piece is used, over all cuts of the words."""
-        alpha = self.forward(arcs, size)
+        ways = self._ways(arcs, size)
+        alpha = self.forward(arcs, size, ways)
         beta = np.full_like(alpha, -np.inf)
         beta[size] = 0.0
         used = np.zeros(len(self.logp))
+        starts: list[list[int]] = [[] for _ in range(size)]
+        for found in ways:
+            for start, n in found:
+                starts[start].append(n)
         for start in range(size - 1, -1, -1):
-            ways = np.stack([beta[start + n] + self.logp[arcs[n - 1][:, start]] for n in range(1, min(len(arcs), size - start) + 1)])
-            top = ways.max(axis=0)
-            beta[start] = top + np.log(np.exp(ways - top).sum(axis=0))
-            share = np.exp(ways + alpha[start] - alpha[size]) * weight
-            for n in range(len(ways)):
-                used += np.bincount(arcs[n][:, start], share[n], minlength=len(used))
+            if not starts[start]:
+                continue
+            x = np.stack([beta[start + n] + self.logp[arcs[n - 1][start]] for n in starts[start]])
+            top = np.maximum(x.max(axis=0), -1e300)  # no cut goes on from here
+            beta[start] = top + np.log(np.maximum(np.exp(x - top).sum(axis=0), 1e-300))
+            share = np.exp(x + (alpha[start] - alpha[size])) * weight
+            for n, own in zip(starts[start], share):
+                used += np.bincount(arcs[n - 1][start], own, minlength=len(used))
         return used[:-1]
 
     @staticmethod
@@ -165,14 +205,17 @@ class Lattice:
 
 
 def _counted(batches):
+    """Words of a task's texts, how often its training texts have them (perhaps never), and the training texts' ends."""
     for batch in pieces(batches, "text", COUNT_CHUNK):
         w = words(batch, "text")
         h, kind = w.hashes(), batch.column(1).to_numpy().astype(np.int64)
+        learn = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
         z = kind[w.row]
-        _, where, n = np.unique(h + z.astype(np.uint64) * _STEP, return_index=True, return_counts=True)
+        _, where, back = np.unique(h + z.astype(np.uint64) * _STEP, return_index=True, return_inverse=True)
+        n = np.bincount(back, learn[w.row], minlength=len(where)).astype(np.int64)
         low = LOWER[w.raw].tobytes()
         found = [low[a:b] for a, b in zip(w.start[where].tolist(), w.end[where].tolist())]
-        texts = np.bincount(kind)
+        texts = np.bincount(kind[learn])
         ends = np.flatnonzero(texts)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([h[where].view(np.int64), np.zeros(len(ends), np.int64)])),
@@ -180,10 +223,23 @@ def _counted(batches):
             pa.array(np.concatenate([n, texts[ends]]))], ["h", "word", "z", "n"])
 
 
+def _gathered(batches, rows: int = 32_768):
+    """Batches of about `rows` rows: words of one length are worked on together, so a batch should hold many."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _expected(lattice):
     def run(batches):
         model, used = lattice.value, None
-        for batch in batches:
+        for batch in _gathered(batches):
             found = batch.column(0).to_pylist()
             for at, grid in model.blocks(found):
                 one = model.expected(model.arcs(grid), grid.shape[1], np.ones(len(at)))
@@ -193,6 +249,16 @@ def _expected(lattice):
     return run
 
 
+def _valued(lattice):
+    """(h, word, counts ...) with the log probability of each word in place of the word."""
+    def run(batches):
+        for batch in _gathered(batches):
+            value = lattice.value.words(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(value)],
+                                             [batch.schema.names[0], *batch.schema.names[2:], "lattice"])
+    return run
+
+
 @dataclass
 class Level:
     """Counts of one class, or of all: tokens, distinct tokens, ends, discount."""
@@ -216,11 +282,11 @@ class Level:
 
 @dataclass
 class Model:
-    lattice: Lattice
     all: Level
     classes: list[Level]
     head: np.ndarray  # word hashes, sorted
     counts: np.ndarray  # of the head's words, in each class
+    lattice: np.ndarray  # their log probabilities there
 
     def base(self, c):
         return np.log10((c + 0.1) / (self.all.total + 0.1 * (self.all.distinct + 1)))
@@ -242,11 +308,11 @@ class Model:
 
 
 def train(rows: DataFrame, path: str, head: int) -> tuple[DataFrame, Model]:
-    """(h, word, n, c0, c1, ... of every training word, the model) from `rows` (text, z)."""
+    """(h, n, c0, c1, ..., lattice of every word, the model) from `rows` (text, z, learn)."""
     spark = rows.sparkSession
-    k = (rows.agg(F.max("z")).first()[0] or 0) + 1
+    k = (rows.where("learn").agg(F.max("z")).first()[0] or 0) + 1
     each = [f"c{i}" for i in range(k)]
-    counts = stored(rows.select("text", "z").mapInArrow(_counted, "h long, word binary, z int, n long").groupBy("h", "word").agg(
+    counts = stored(rows.select("text", "z", "learn").mapInArrow(_counted, "h long, word binary, z int, n long").groupBy("h", "word").agg(
         F.sum("n").alias("n"), *[F.sum(F.when(F.col("z") == i, F.col("n")).otherwise(0)).alias(c) for i, c in enumerate(each)]))
     end = F.length("word") == 0
     told = counts.agg(*[x for c in ("n", *each) for x in (
@@ -256,61 +322,53 @@ def train(rows: DataFrame, path: str, head: int) -> tuple[DataFrame, Model]:
     lattice = Lattice.of(names, p)
     for _ in range(ROUNDS if levels[0].total else 0):
         used = np.zeros(len(names))
-        for r in counts.where(~end).select("word").mapInArrow(
+        for r in counts.where(~end & (F.col("n") > 0)).select("word").mapInArrow(
                 _expected(spark.sparkContext.broadcast(lattice)), "piece long, used double").groupBy("piece").agg(F.sum("used").alias("used")).collect():
             used[r.piece] = r.used  # one row per piece of the vocabulary
-        lattice = Lattice.of(names, (used + 50.0 * p) / (used.sum() + 50.0))
-    known = counts.where(~end)
+        lattice = lattice.weighed((used + 50.0 * p) / (used.sum() + 50.0))
+    columns = ["n", *each]
+    known = stored(counts.where(~end).select("h", "word", *columns).mapInArrow(
+        _valued(spark.sparkContext.broadcast(lattice)), "h long, " + ", ".join(f"{c} long" for c in columns) + ", lattice double"))
+    seen = known.where("n > 0")
     level = F.floor(F.log2("n") * 8)
     least, so_far = 0, 0
-    for r in known.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # at most some hundred levels
+    for r in seen.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # at most some hundred levels
         if so_far + r["count"] > head:
             least = r.level + 1
             break
         so_far += r["count"]
-    top = known.where(level >= least).groupBy("h").agg(*[F.sum(c).alias(c) for c in each]).toPandas().sort_values("h")  # at most `head` rows
-    return counts, Model(lattice, levels[0], levels[1:], top["h"].to_numpy(np.int64), top[each].to_numpy(np.int64))
+    top = seen.where(level >= least).select("h", *each, "lattice").toPandas().drop_duplicates("h").sort_values("h")  # at most `head` rows
+    return known, Model(levels[0], levels[1:], top["h"].to_numpy(np.int64), top[each].to_numpy(np.int64), top["lattice"].to_numpy(float))
 
 
 def _fields(k: int) -> list[str]:
-    return ["row", "doc_id", "n_tokens", "n_known", "base", *[f"s{i}" for i in range(k)], "h", "n", "lattice"]
+    return ["row", "doc_id", "n_tokens", "n_known", "base", *[f"s{i}" for i in range(k)], "h", "n"]
 
 
 def _scored(shared):
+    """A row of sums over its head words for each text, and a row for each other word that it has."""
     def run(batches):
         model = shared.value
         k = len(model.classes)
         row = TaskContext.get().partitionId() << 40
-        memory: dict[int, float] = {}
+        base, score, end = model.base(model.counts.sum(axis=1)), model.scores(model.counts, model.lattice), model.end()
         for batch in pieces(batches, "text"):
             n = len(batch)
             w = words(batch, "text")
-            keys, where, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
-            if len(memory) > KNOWN:
-                memory.clear()
-            listed = keys.tolist()
-            new = [i for i, x in enumerate(listed) if x not in memory]
-            raw = w.raw.tobytes()
-            memory.update(zip([listed[i] for i in new], model.lattice.words([raw[w.start[j]:w.end[j]] for j in where[new]]).tolist()))
-            log_lattice = np.array([memory[x] for x in listed])
+            keys, back = np.unique(w.hashes(), return_inverse=True)
             signed = keys.view(np.int64)
-            c = np.zeros((len(keys), k), np.int64)
-            known = np.zeros(len(keys), bool)
+            at, known = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
             if len(model.head):
                 at = np.minimum(np.searchsorted(model.head, signed), len(model.head) - 1)
                 known = model.head[at] == signed
-                c[known] = model.counts[at[known]]
             is_head = known[back]
-            here, which = w.row[is_head], back[is_head]
-            base, score = model.base(c.sum(axis=1)), model.scores(c, log_lattice)
-            end = model.end()
+            here, which = w.row[is_head], at[back[is_head]]
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 pa.array(row + np.arange(n)), batch.column(0), pa.array(w.counts() + 1),
                 pa.array(np.bincount(here, minlength=n) + (1 if model.all.ends else 0)),
                 pa.array(np.bincount(here, base[which], minlength=n) + float(model.base(model.all.ends))),
-                *[pa.array(np.bincount(here, score[which, i], minlength=n) + end[i]) for i in range(k)],
-                none, none, pa.nulls(n, pa.float64())], _fields(k))
+                *[pa.array(np.bincount(here, score[which, i], minlength=n) + end[i]) for i in range(k)], none, none], _fields(k))
             rare = np.flatnonzero(~is_head)
             if len(rare):
                 order = rare[np.lexsort((back[rare], w.row[rare]))]
@@ -318,7 +376,7 @@ def _scored(shared):
                 pick, m = order[first], len(first)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row + w.row[pick]), *[pa.nulls(m, pa.int64())] * 3, *[pa.nulls(m, pa.float64())] * (k + 1),
-                    pa.array(signed[back[pick]]), pa.array(np.diff(np.append(first, len(order)))), pa.array(log_lattice[back[pick]])], _fields(k))
+                    pa.array(signed[back[pick]]), pa.array(np.diff(np.append(first, len(order))))], _fields(k))
             row += n
     return run
 
@@ -334,6 +392,7 @@ def scored(docs: DataFrame, learn: Column, classes: str | None = "lang", path: s
     lattice is left; the end is then certain. An empty table gives no rows; other columns aren't
     read. Texts and words of any length are read whole. Counts are of all training texts.
     """
+    shipped(docs.sparkSession)
     kind = F.coalesce(F.col(classes).cast("string"), F.lit("")) if classes else F.lit("")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"), kind.alias("kind"))
@@ -342,10 +401,10 @@ def scored(docs: DataFrame, learn: Column, classes: str | None = "lang", path: s
     z = F.lit(0)
     if names:
         z = F.coalesce(F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)])[F.col("kind")], F.lit(len(names)))
-    counts, model = train(rows.where("learn").select("text", z.cast("int").alias("z")), path, head)
+    known, model = train(rows.select("text", F.when(F.col("learn"), z).otherwise(0).cast("int").alias("z"), "learn"), path, head)
     k = len(model.classes)
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    types = ["long"] * 4 + ["double"] * (k + 1) + ["long", "long", "double"]
+    types = ["long"] * 4 + ["double"] * (k + 1) + ["long", "long"]
     parts = stored(rows.select("doc_id", "text").mapInArrow(_scored(shared), ", ".join(f"{a} {b}" for a, b in zip(_fields(k), types))))
 
     def seen(c: str, level: Level) -> Column:
@@ -357,8 +416,8 @@ def scored(docs: DataFrame, learn: Column, classes: str | None = "lang", path: s
         return F.when(seen_ > 0, top + F.log(F.exp(F.log(seen_) - top) + F.exp(back - top))).otherwise(back)
 
     each = [f"c{i}" for i in range(k)]
-    of_word = counts.where(F.length("word") > 0).groupBy("h").agg(*[F.sum(c).alias(c) for c in ("n", *each)])
-    rare = parts.where("h is not null").select("row", "h", F.col("n").alias("times"), "lattice").join(of_word, "h", "left")
+    of_word = known.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("n", *each)], F.max("lattice").alias("lattice"))
+    rare = parts.where("h is not null").select("row", "h", F.col("n").alias("times")).join(of_word, "h")
     rare = rare.withColumn("back", log_sum(seen("n", model.all), model.all.freed, F.col("lattice")))
     c = F.coalesce(F.col("n"), F.lit(0))
     rare = rare.select(
