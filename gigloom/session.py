@@ -51,10 +51,15 @@ def settled(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/settled-{uuid4().hex}"
     df.write.parquet(path)
-    _settled.append(path)
+    remember(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remember(path: str) -> None:
+    """A folder that `drop_settled` removes."""
+    _settled.append(path)
+
+
 def drop_settled(spark: SparkSession) -> None:
     """Delete this program's intermediate results once a run's outputs are written."""
     for path in _settled:

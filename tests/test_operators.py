@@ -168,3 +168,11 @@ def test_repeated_batches_add_rows_without_a_key_once(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/landed")
         append_new(stream, f"{tmp_path}/target", "job_url", "seq", f"{tmp_path}/{name}").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/target").count() == 2
+
+
+def test_settled_tables_are_dropped(spark):
+    from gigloom.session import drop_settled
+    held = settled(spark.range(5))
+    path = held.inputFiles()[0]
+    drop_settled(spark)
+    assert not T.exists(spark, path)
