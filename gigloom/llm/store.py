@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gigloom.session import bounded_batches, shared_dir
+from gigloom.session import bounded_batches, remember, shared_dir
 
 
 _shipped: set[str] = set()
@@ -36,11 +36,13 @@ def shipped(spark: SparkSession) -> None:
 def stored(df: DataFrame, *by: str) -> DataFrame:
     """Write a table once, where every executor can reach it, and go on from its files.
 
-    Cuts the lineage: an executor lost later costs a reread, not a recomputation.
+    Cuts the lineage: an executor lost later costs a reread, not a recomputation. The caller
+    removes such tables with gigloom.session.drop_settled once its outputs are written.
     """
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid4().hex}"
     writer = df.write.partitionBy(*by) if by else df.write
     writer.parquet(path)
+    remember(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
