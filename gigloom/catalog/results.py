@@ -312,8 +312,8 @@ def replaced_table(spark, sf):
     path = f"{shared_dir(spark)}/replaced-{uuid4().hex}"
     T.append(table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), path)
     more = table(spark, sf, "customer").selectExpr("c_custkey + 1000000 AS id", "c_name AS name")
-    T.replace(spark.read.parquet(path).unionByName(more), path)
-    return spark.read.parquet(path)
+    T.replace(spark.read.parquet(T.live(spark, path)).unionByName(more), path)
+    return spark.read.parquet(T.live(spark, path))
 
 
 @query("""SELECT doc_id, text, lang FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS rn FROM documents) WHERE rn = 1

@@ -45,7 +45,7 @@ REQUISITION_DETAILS = (
 
 
 def read(spark: SparkSession, table: str, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[table]).parquet(path)
+    return spark.read.schema(SCHEMAS[table]).parquet(live(spark, path))
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
@@ -142,7 +142,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").parquet(live(df.sparkSession, path))
 
 
 def export_csv(df: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
@@ -150,21 +150,30 @@ def export_csv(df: DataFrame, path: str, by: str | None = None, mode: str = "ove
     (out.partitionBy(by) if by else out).csv(path)
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a replaced table, oldest first: a version counts once its writer has left _SUCCESS in it."""
+    top = f"{path}/_versions"
+    if not exists(spark, top):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(top)
+    names = [x.getPath().getName() for x in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)]
+    return [f"{top}/{n}" for n in sorted(names) if exists(spark, f"{top}/{n}/_SUCCESS")]
+
+
+def live(spark: SparkSession, path: str) -> str:
+    """The folder with a table's contents: its newest complete version, or the path itself if it was never replaced."""
+    return ([path] + _versions(spark, path))[-1]
+
+
 def replace(df: DataFrame, path: str) -> None:
-    """Write the table's next contents beside it, then swap the folders.
+    """Write the table's next contents as a new version, which readers of `live` see once it is complete.
 
-    `df` may read `path`: the old files stay until the new ones are complete.
+    `df` may read the table: the version before stays, for readers that have begun; older ones go.
     """
     spark = df.sparkSession
-    tag = uuid4().hex
-    fresh, old = f"{path}.next-{tag}", f"{path}.old-{tag}"
-    df.write.parquet(fresh)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    had = fs.exists(hadoop(path))
-    if had and not fs.rename(hadoop(path), hadoop(old)):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(hadoop(fresh), hadoop(path)):
-        raise OSError(f"cannot move {fresh} to {path}; previous contents are in {old}")
-    if had:
-        fs.delete(hadoop(old), True)
+    done = _versions(spark, path)
+    number = int(done[-1].rsplit("/v", 1)[1].split("-")[0]) + 1 if done else 1
+    df.write.parquet(f"{path}/_versions/v{number:08d}-{uuid4().hex}")
+    for old in done[:-1]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(old)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

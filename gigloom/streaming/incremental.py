@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gigloom.operators.keys import dedupe, new_only
-from gigloom.sources.tables import exists
+from gigloom.sources.tables import exists, live
 
 
 def append_new(stream: DataFrame, target: str, keys, order, checkpoint: str, keep: str = "last",
@@ -27,10 +27,11 @@ def append_new(stream: DataFrame, target: str, keys, order, checkpoint: str, kee
 
     def write(batch: DataFrame, _: int) -> None:
         rows = dedupe(prepare(batch) if prepare else batch, keys, order, keep)
-        if exists(batch.sparkSession, target):
-            seen = batch.sparkSession.read.schema(rows.schema).parquet(target)
+        held = live(batch.sparkSession, target)
+        if exists(batch.sparkSession, held):
+            seen = batch.sparkSession.read.schema(rows.schema).parquet(held)
             rows = new_only(marked(rows), marked(seen), "_mark").drop("_mark")
-        rows.write.mode("append").parquet(target)
+        rows.write.mode("append").parquet(held)
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -176,3 +176,18 @@ def test_settled_tables_are_dropped(spark):
     path = held.inputFiles()[0]
     drop_settled(spark)
     assert not T.exists(spark, path)
+
+
+def test_replaced_tables_are_whole_at_any_time(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    T.append(spark.range(3), path)
+    assert spark.read.parquet(T.live(spark, path)).count() == 3
+    for n in (4, 5, 6):
+        before = T.live(spark, path)
+        T.replace(spark.read.parquet(before).union(spark.range(1)), path)
+        assert spark.read.parquet(T.live(spark, path)).count() == n
+        assert T.live(spark, path) != before and T.exists(spark, before)  # a reader that has begun goes on
+    T.append(spark.range(2), path)
+    assert spark.read.parquet(T.live(spark, path)).count() == 8 and len(T._versions(spark, path)) == 2
+    (tmp_path / "t/_versions/v99999999-broken").mkdir()  # a writer that died
+    assert spark.read.parquet(T.live(spark, path)).count() == 8
