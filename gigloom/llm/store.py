@@ -1,7 +1,7 @@
 """Intermediate tables in the shared folder that spark.checkpoint.dir names."""
 
+import io
 import os
-import tempfile
 import zipfile
 from uuid import uuid4
 
@@ -23,13 +23,20 @@ def shipped(spark: SparkSession) -> None:
     if app in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="gigloom-"), "gigloom-package.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for folder, _, names in os.walk(os.path.join(top, "gigloom")):
             for name in sorted(names):
                 if name.endswith(".py"):
                     z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
-    spark.sparkContext.addPyFile(path)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gigloom-{uuid4().hex}.zip")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(path)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    remember(str(path))
+    spark.sparkContext.addPyFile(fs.makeQualified(path).toString())
     _shipped.add(app)
 
 
