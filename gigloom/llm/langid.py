@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gigloom.llm import sketch
-from gigloom.llm.store import stored
+from gigloom.llm.store import shipped, stored
 from gigloom.llm.words import pieces
 
 DIMS = 1 << 16
@@ -85,11 +85,11 @@ def _statistics(batches):
         if len(picked):
             rows = features(picked, "text")
             yield pa.RecordBatch.from_arrays([
-                picked.column(0), pa.array([f.astype(np.int32) for f, _ in rows], pa.list_(pa.int32())),
-                pa.array([s.astype(np.float32) for _, s in rows], pa.list_(pa.float32())),
+                picked.column(0), pa.array([f.astype(np.int32).tobytes() for f, _ in rows], pa.binary()),
+                pa.array([s.astype(np.float32).tobytes() for _, s in rows], pa.binary()),
                 pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
     k = sketch.SLICES
-    yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.string()), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.list_(pa.float32())),
+    yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.string()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
                                       *sketch.sliced(seen)], names)
 
 
@@ -142,6 +142,7 @@ def fit(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text")
     Document frequencies are of all those rows; weights are learned on about SAMPLE of each
     language, chosen by a hash of the text, which the driver holds as hashed features.
     """
+    shipped(docs.sparkSession)
     rows = docs.where(learn & F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     counts = sorted(((r["count"], r["lang"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()),
                     key=lambda x: x[1])
@@ -151,13 +152,13 @@ def fit(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text")
     shares = F.create_map(*[F.lit(x) for n, name in counts for x in (name, min(1.0, SAMPLE / n))])
     mark = F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < shares[F.col("lang")] * (1 << 20), F.lit(False))
     seen = stored(sketch.numbered(rows.select("lang", "text", mark.alias("mark")).mapInArrow(
-        _statistics, f"lang string, found array<int>, share array<float>, {sketch.FIELDS}")))
+        _statistics, f"lang string, found binary, share binary, {sketch.FIELDS}")))
     df = sketch.total(seen.where("slice is not null").select("slice", "part", "counts"), DIMS + sketch.SLICES)
     idf = np.log((1.0 + df[DIMS]) / (1.0 + df[:DIMS])) + 1.0
     sample = []
     for r in seen.where("slice is null").select("lang", "found", "share").orderBy("lang", F.xxhash64("found")).toLocalIterator():
-        i = np.array(r.found, np.int64)
-        sample.append((langs.index(r.lang), i, np.array(r.share) * idf[i]))
+        i = np.frombuffer(r.found, np.int32)
+        sample.append((langs.index(r.lang), i, (np.frombuffer(r.share, np.float32) * idf[i]).astype(np.float32)))
     order = np.random.default_rng(11).permutation(len(sample))
     w, bias, t = train([sample[k] for k in order], len(langs))
     return Model(langs, (w * idf[:, None]).astype(np.float32), bias, t)
@@ -181,6 +182,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
     probabilities go to the first language in code point order. Other columns, repeated rows
     and their number stay as they are; columns named like the two new ones are replaced.
     """
+    shipped(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c not in (pred, score)]
 

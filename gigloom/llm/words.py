@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20  # bytes of text worked on at a time (a longer text is a chunk of its own)
+CHUNK = 1 << 18  # bytes of text worked on at a time (a longer text is a chunk of its own)
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[32, 9, 10, 11, 12, 13]] = False
