@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from gigloom.llm.store import shipped, stored
 from gigloom.llm.words import mix, pieces, words
 
 MIN_LINE = 5  # words of a line; shorter ones ("Yes.", "Chapter 1") repeat by chance
@@ -125,9 +126,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     and its occurrences are split by adaptive skew handling in the join.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
+    shipped(docs.sparkSession)
     schema = "digest long, doc_id long, span long, meta long"
-    firsts = rows.mapInArrow(_units, schema).where("meta & 2 = 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    firsts = stored(rows.mapInArrow(_units, schema).where("meta & 2 = 0").groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"))
     again = rows.mapInArrow(_units, schema).join(firsts, "digest", "left").where("meta & 2 <> 0 OR doc_id > first")
     found = again.groupBy("doc_id").agg(F.collect_set(F.struct("span", "meta", F.coalesce("first", "doc_id").alias("first"))).alias("found"))
     return found.mapInArrow(_passages, "doc_id long, start long, end long, n_words long, first_doc_id long")
