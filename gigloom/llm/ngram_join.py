@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from gigloom.llm import sketch
 from gigloom.llm.components import components
-from gigloom.llm.store import stored
+from gigloom.llm.store import shipped, stored
 from gigloom.llm.words import by_row, mix, pieces, shingles, words
 
 HOT = 64  # classes; a shingle in more prefixes goes the pivot's way
@@ -115,8 +115,8 @@ def _wanted(ids: DataFrame) -> np.ndarray:
     words_ = ids.select(_slot("doc_id").alias("s")).groupBy(F.expr("s div 64").alias("i")).agg(
         F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("bits"))
     out = np.zeros(1 << (WANTED_BITS - 6), np.int64)
-    for r in words_.collect():
-        out[r.i] = r.bits
+    found = words_.toPandas()
+    out[found.i.to_numpy()] = found.bits.to_numpy()
     return out
 
 
@@ -151,7 +151,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _block_links(num: int, den: int):
-    """Of one block of outliers and one of members: links that join components, found by one matrix product."""
+    """Of one block of outliers and one of members: pairs of components that a link joins, found by one matrix product."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out, mem = pdf[pdf.outlier].reset_index(drop=True), pdf[~pdf.outlier].reset_index(drop=True)
         links = []
@@ -181,20 +181,20 @@ def _block_links(num: int, den: int):
                 a, b = find(out.component[i]), find(mem.component[j])
                 if a != b:
                     root[a] = b
-                    links.append((out.rep[i], mem.rep[j]))
+                    links.append((out.component[i], mem.component[j]))
         return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
     return run
 
 
-def _across(groups: DataFrame, sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between different components within each pivot's group."""
+def _across(groups: DataFrame, sets: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of components `found` so far that some link within a pivot's group joins."""
     rows = groups.join(sets.select("d1", "rep", "d2", F.size("tokens").alias("n")), "d1")
-    rows = rows.join(components(links).select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep"))
+    rows = stored(rows.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")))
     by_part = rows.groupBy("pivot", "component").agg(F.count("*").alias("c"), F.sum("n").alias("t"))
-    totals = by_part.groupBy("pivot").agg(
+    totals = stored(by_part.groupBy("pivot").agg(
         F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"),
-        F.sum("t").alias("all_t"), F.max_by("t", F.struct("c", "component")).alias("main_t")).where("all > most")
+        F.sum("t").alias("all_t"), F.max_by("t", F.struct("c", "component")).alias("main_t")).where("all > most"))
     blocks = lambda c, t, k: F.greatest(F.lit(1), F.ceil(F.expr(c) / (BLOCK_ROWS * k)), F.ceil(F.expr(t) / BLOCK_SHINGLES))
     rows = rows.join(totals, "pivot").withColumns({
         "bo": blocks("all - most", "all_t - main_t", 1), "bm": blocks("all", "all_t", 4), "h": F.xxhash64("d1", "d2", "pivot")})
@@ -204,7 +204,7 @@ def _across(groups: DataFrame, sets: DataFrame, links: DataFrame, num: int, den:
     members = rows.select(
         "pivot", "d1", "d2", "rep", "component", F.lit(False).alias("outlier"), upto("bo").alias("i"), F.expr("pmod(h, bm)").alias("j"))
     cells = outliers.unionByName(members).join(sets.select("d1", "d2", "tokens"), ["d1", "d2"])
-    return cells.select("pivot", "i", "j", "outlier", "rep", "component", "tokens").groupBy("pivot", "i", "j").applyInPandas(
+    return cells.select("pivot", "i", "j", "outlier", "component", "tokens").groupBy("pivot", "i", "j").applyInPandas(
         _block_links(num, den), "u long, v long")
 
 
@@ -224,6 +224,7 @@ def groups_of_near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int
     """
     num, den = similarity
     spark = docs.sparkSession
+    shipped(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     seen = stored(sketch.numbered(rows.mapInArrow(_summary(width), f"doc_id long, n long, d1 long, d2 long, {sketch.FIELDS}")))
     every = seen.where("slice is null").select("doc_id", "n", "d1", "d2")
@@ -237,7 +238,7 @@ def groups_of_near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int
     entries = entries.where("n > 0").withColumnRenamed("doc_id", "rep").join(
         classes.select("rep", "d1", "d2"), ["rep", "d1", "d2"], "left_semi").dropDuplicates(["rep", "d1", "d2"])
     entries = stored(entries.select("d1", F.expr("n * 32 + l").alias("nl"), F.explode("tokens").alias("token")))
-    shared = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    shared = stored(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))  # a table, so that the join can split a hot shingle
     index = stored(entries.join(shared, "token"))
 
     few = index.where(F.col("df") <= HOT).select("token", "d1", F.expr("nl div 32").alias("n"), F.expr("nl % 32").alias("l"))
@@ -249,7 +250,7 @@ def groups_of_near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int
 
     hot = index.where(F.col("df") > HOT).select("token", "d1")
     rank = hot.groupBy("d1").agg(F.count("*").alias("k"))
-    pivots = hot.join(rank, "d1").groupBy("token").agg(F.max_by("d1", F.struct("k", "d1")).alias("pivot"))
+    pivots = stored(hot.join(rank, "d1").groupBy("token").agg(F.max_by("d1", F.struct("k", "d1")).alias("pivot")))
     groups = stored(hot.join(pivots, "token").select("pivot", "d1").distinct())
 
     keys = pairs.select(F.explode(F.array("a", "b")).alias("d1")).union(groups.select("d1")).distinct()
@@ -264,10 +265,12 @@ def groups_of_near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int
     reps = every.join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep").where("doc_id is not null")
     repeated = reps.groupBy("doc_id").agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m < x").select("doc_id", "m")
     links = stored(links.union(reps.join(repeated, "doc_id").select(F.col("rep").alias("u"), F.col("m").alias("v"))))
-    links = stored(links.union(_across(groups, sets, links, num, den)))
+    found = stored(components(links))
+    joined = components(stored(_across(groups, sets, found, num, den))).toDF("first", "last")
 
-    root = classes.join(components(links).select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    root = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+        "d1", "d2", F.coalesce("component", "rep").alias("first")).join(joined, "first", "left").select(
+        "d1", "d2", F.coalesce("last", "first").alias("component"))
     return every.join(root, ["d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
