@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gigloom.llm.store import stored
+from gigloom.llm.store import shipped, stored
 
 BLOCK = 512  # vectors
 GROUP = 16  # blocks that a cell holds
@@ -123,6 +123,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024
     A cell holds GROUP blocks and QUERIES queries, whatever the number of either; blocks of
     equal vectors are as large as others, as blocks are cut by number.
     """
+    shipped(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("e"))
     bad = F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where("id is not null and e is not null").where(~bad).select(
@@ -130,12 +131,13 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024
     strong = F.expr("coalesce(array_position(v, array_max(v)) * 4096 + array_position(transform(v, x -> -x), array_max(transform(v, x -> -x))), 0)")
     rows = stored(rows.withColumn("way", strong))
     spread = rows.groupBy("dim", "way").agg(F.count("*").alias("n"))
-    cuts = spread.select("dim", "way", F.ceil(F.col("n") / BLOCK).alias("cuts"))
+    # a table, so that the join can split a way that a third of all vectors go
+    cuts = stored(spread.select("dim", "way", F.ceil(F.col("n") / BLOCK).alias("cuts")))
     dealt = rows.join(cuts, ["dim", "way"]).withColumn("cut", F.pmod(F.xxhash64("id", "v"), F.col("cuts")))
     # small ranges share a block: those of one dimension whose strongest components are the same or neighbours
     sized = stored(dealt.groupBy("dim", "way", "cut").agg(F.count("*").alias("n")))
     chunk = F.sum("n").over(Window.partitionBy("dim", F.expr("way div 4096")).orderBy("way", "cut").rowsBetween(Window.unboundedPreceding, -1))
-    named = sized.select("dim", "way", "cut", F.xxhash64("dim", F.expr("way div 4096"), F.floor(F.coalesce(chunk, F.lit(0)) / BLOCK)).alias("block"))
+    named = stored(sized.select("dim", "way", "cut", F.xxhash64("dim", F.expr("way div 4096"), F.floor(F.coalesce(chunk, F.lit(0)) / BLOCK)).alias("block")))
     blocks = stored(dealt.join(named, ["dim", "way", "cut"]).select("dim", "block", "id", "v").groupBy("dim", "block").applyInPandas(_block, _PART))
     queries = stored(blocks.mapInArrow(_seeds(k, every), "dim int, query_id long, v array<long>, floor long"))
     groups, sheets = max(1, -(-blocks.count() // GROUP)), max(1, -(-queries.count() // QUERIES))
