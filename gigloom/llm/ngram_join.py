@@ -249,7 +249,7 @@ def groups_of_near_copies(docs: DataFrame, width: int = 5, similarity: tuple[int
     pairs = stored(pairs)
 
     hot = index.where(F.col("df") > HOT).select("token", "d1")
-    rank = hot.groupBy("d1").agg(F.count("*").alias("k"))
+    rank = stored(hot.groupBy("d1").agg(F.count("*").alias("k")))
     pivots = stored(hot.join(rank, "d1").groupBy("token").agg(F.max_by("d1", F.struct("k", "d1")).alias("pivot")))
     groups = stored(hot.join(pivots, "token").select("pivot", "d1").distinct())
 
