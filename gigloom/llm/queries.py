@@ -60,8 +60,8 @@ def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated passage that goes, with its offsets in the original text."""
-    return line_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+    """Every repeated run of whole lines and sentences that goes, with its offsets in the original text."""
+    return line_dedup.repeated_passages(read(spark, sf_dir, "documents"), anywhere=False)
 
 
 _WS = r"\x20\x09-\x0D"

@@ -91,6 +91,22 @@ def test_passage_inside_a_line(spark):
     assert got[0] == rows[0][1] and all(got[i] == f"Text {i} begins so{i}. And {i} ends so{i}." for i in range(1, 5))
 
 
+def test_passage_pasted_within_a_sentence(spark):
+    """Without sentence ends, with its only ends far inside, and with a full stop of another script: all go to their exact ends."""
+    plain = " ".join(f"é{i}w" for i in range(51))
+    ends = " ".join(f"k{i}" + "." * (i in (20, 40)) for i in range(60))
+    other = " ".join(f"漢{i}" + "。" * (i % 10 == 9) for i in range(70))
+    rows = [(10 * k + i, f"Host {k} {i} says{i}  {p}\tand{i} goes on{i} so.") for k, p in enumerate((plain, ends, other)) for i in range(4)]
+    short = " ".join(f"s{i}" for i in range(49))
+    rows += [(90 + i, f"Own{i} {short} end{i}") for i in range(3)]
+    got = {r.doc_id: r.text for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        k, i2 = divmod(i, 10)
+        assert got[i] == (text if i2 == 0 or k == 9 else f"Host {k} {i2} says{i2}  and{i2} goes on{i2} so.")
+    spans = {r.doc_id: (r.n_words, r.first_doc_id) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert spans == {10 * k + i: (n, 10 * k) for k, n in enumerate((51, 60, 70)) for i in range(1, 4)}
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     got = {(r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in repeated_passages(docs).collect()}
