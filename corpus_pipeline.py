@@ -9,14 +9,11 @@ from gigloom.llm import decontaminate, langid, line_dedup, mixing, ngram_join
 from gigloom.llm.store import read, stored
 
 
-SURE = 0.5  # probability below which a language isn't told
-
-
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told: not `und`, and at a probability of SURE or more."""
+    """Documents that have a language: all but `und`. A clean text between near languages is sure of none, and stays."""
     learn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
     found = langid.languages(docs, learn, pred="_lang_pred", score="_lang_score")
-    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= SURE)).select(docs.columns)
+    return found.where(F.col("_lang_pred") != "und").select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,15 @@ def test_stages_on_planted_documents(spark):
     assert docs.where(F.length("text") != F.col("n_chars")).count() == 0
 
 
+def test_short_texts_of_near_languages_stay(spark):
+    """Eight languages share all their words, so the best probability of each text is far below a half."""
+    rows = [(i, f"casa grande {'mar sol luz'.split()[i % 3]} {'terra vento'.split()[i % 2]}", f"l{i // 12}", "a") for i in range(96)]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in [*rows, (96, "12 34", "l0", "a")]],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, docs, SF).collect()}
+    assert kept == set(range(96))
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     sizes = {}
