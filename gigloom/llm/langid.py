@@ -9,6 +9,7 @@ sampled texts that weren't trained on.
 from __future__ import annotations
 
 import re
+import tempfile
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,10 @@ from gigloom.llm.words import pieces
 DIMS = 1 << 16
 ORDERS = (1, 2, 3)
 SAMPLE = 1000  # labelled texts of each language that are learned from, about; they are chosen by hash
-LANGUAGES = 200  # at most so many languages, those with most texts
+DENSE = 200  # languages up to which weights are one matrix; with more they are sparse rows, and the sample stays at DENSE * SAMPLE texts
+LEAST = 20  # texts of each language in the sample, however many languages there are
+CELLS = 2_000_000  # probabilities that a task holds at a time
+ASIDE = 8_000_000  # probabilities that the temperature is fitted on, at most
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.05  # follow-the-regularised-leader
 ROWS = 256  # texts whose features are marked at a time
 SCALE = 30.0  # of features: shares of n-grams are small
@@ -93,10 +97,30 @@ def _statistics(batches):
                                       *sketch.sliced(seen)], names)
 
 
+@dataclass
+class Sparse:
+    """A matrix of features x languages of which most is zero: entries of row i are those from at[i] to at[i + 1]."""
+
+    at: np.ndarray
+    lang: np.ndarray
+    value: np.ndarray
+    langs: int
+
+    def of(self, found: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The sum of the rows `found`, `x` times each."""
+        size = self.at[found + 1] - self.at[found]
+        i = np.repeat(self.at[found] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.bincount(self.lang[i], np.repeat(x, size) * self.value[i], minlength=self.langs)
+
+    def times(self, factor: np.ndarray) -> Sparse:
+        """Each row times its factor."""
+        return Sparse(self.at, self.lang, (self.value * np.repeat(factor, np.diff(self.at))).astype(np.float32), self.langs)
+
+
 @dataclass
 class Model:
     langs: list[str]
-    weights: np.ndarray  # DIMS x languages, with the inverse document frequencies in them
+    weights: np.ndarray | Sparse  # DIMS x languages, with the inverse document frequencies in them
     bias: np.ndarray
     temperature: float
 
@@ -106,9 +130,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tuple[np.ndarray, np.ndarray, float]:
+def _on_disk(shape: tuple[int, int]) -> np.ndarray:
+    """Zeros in a nameless temporary file of the driver, which the system may take out of memory."""
+    with tempfile.TemporaryFile() as f:
+        return np.memmap(f, np.float32, "w+", shape=shape)
+
+
+def train(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tuple[np.ndarray | Sparse, np.ndarray, float]:
     """(weights, bias, temperature) from (class, features, values); every fifth row only sets the temperature."""
-    z, n = np.zeros((DIMS + 1, classes)), np.zeros((DIMS + 1, classes))
+    dense = classes <= DENSE
+    z, n = ((np.zeros if dense else _on_disk)((DIMS + 1, classes)) for _ in range(2))
 
     def weights(i):
         zi, ni = z[i], n[i]
@@ -128,44 +159,68 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tuple
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / ALPHA
             z[i] += g - sigma * w
             n[i] += g * g
-    w = weights(slice(None))
-    logits = np.array([(x * SCALE) @ w[found] + w[DIMS] for _, found, x in aside]).reshape(len(aside), classes)
+    aside = aside[:ASIDE // classes]
+    if dense:
+        w = weights(slice(None))
+        bias, w = w[DIMS], w[:DIMS] * SCALE
+        logits = np.array([x @ w[found] + bias for _, found, x in aside]).reshape(len(aside), classes)
+    else:
+        bias, w = weights(DIMS), _sparse(weights, classes)
+        logits = np.array([w.of(found, x) + bias for _, found, x in aside]).reshape(len(aside), classes)
     labels = np.array([label for label, _, _ in aside])
     grid = np.exp(np.linspace(np.log(0.05), np.log(20), 200))
     loss = [-np.log(_softmax(logits / t)[np.arange(len(labels)), labels] + 1e-300).mean() + 1e-3 * np.log(t) ** 2 for t in grid]
-    return w[:DIMS] * SCALE, w[DIMS], float(grid[int(np.argmin(loss))]) if len(aside) else 1.0
+    return w, bias, float(grid[int(np.argmin(loss))]) if len(aside) else 1.0
+
+
+def _sparse(weights, classes: int) -> Sparse:
+    """All rows of weights, ROWS at a time, times SCALE."""
+    size, lang, value = [], [], []
+    for low in range(0, DIMS, ROWS):
+        w = weights(slice(low, low + ROWS))
+        row, col = np.nonzero(w)
+        size.append(np.bincount(row, minlength=ROWS))
+        lang.append(col.astype(np.int32))
+        value.append((w[row, col] * SCALE).astype(np.float32))
+    return Sparse(np.concatenate([[0], np.cumsum(np.concatenate(size))]), np.concatenate(lang), np.concatenate(value), classes)
 
 
 def fit(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text") -> Model:
     """Learn the languages of the rows where `learn` holds and lang isn't null.
 
-    Document frequencies are of all those rows; weights are learned on about SAMPLE of each
-    language, chosen by a hash of the text, which the driver holds as hashed features.
+    Every value of lang is learned. Document frequencies are of all those rows; weights are
+    learned on about SAMPLE of each language, chosen by a hash of the text, which the driver
+    holds as hashed features. With over DENSE languages it is as many fewer of each that the
+    sample doesn't grow, but LEAST at least.
     """
     shipped(docs.sparkSession)
     rows = docs.where(learn & F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    counts = sorted(((r["count"], r["lang"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()),
+    counts = sorted(((r["count"], r["lang"]) for r in rows.groupBy("lang").count().collect()),
                     key=lambda x: x[1])
     langs = [name for _, name in counts]
     if not langs:
         return Model([], np.zeros((DIMS, 0), np.float32), np.zeros(0), 1.0)
-    shares = F.create_map(*[F.lit(x) for n, name in counts for x in (name, min(1.0, SAMPLE / n))])
+    each = SAMPLE if len(langs) <= DENSE else max(LEAST, SAMPLE * DENSE // len(langs))
+    shares = F.create_map(*[F.lit(x) for n, name in counts for x in (name, min(1.0, each / n))])
     mark = F.coalesce(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < shares[F.col("lang")] * (1 << 20), F.lit(False))
     seen = stored(sketch.numbered(rows.select("lang", "text", mark.alias("mark")).mapInArrow(
         _statistics, f"lang string, found binary, share binary, {sketch.FIELDS}")))
     df = sketch.total(seen.where("slice is not null").select("slice", "part", "counts"), DIMS + sketch.SLICES)
     idf = np.log((1.0 + df[DIMS]) / (1.0 + df[:DIMS])) + 1.0
-    sample = []
+    sample, place = [], {name: k for k, name in enumerate(langs)}
     for r in seen.where("slice is null").select("lang", "found", "share").orderBy("lang", F.xxhash64("found")).toLocalIterator():
         i = np.frombuffer(r.found, np.int32)
-        sample.append((langs.index(r.lang), i, (np.frombuffer(r.share, np.float32) * idf[i]).astype(np.float32)))
+        sample.append((place[r.lang], i, (np.frombuffer(r.share, np.float32) * idf[i]).astype(np.float32)))
     order = np.random.default_rng(11).permutation(len(sample))
     w, bias, t = train([sample[k] for k in order], len(langs))
-    return Model(langs, (w * idf[:, None]).astype(np.float32), bias, t)
+    return Model(langs, w.times(idf) if isinstance(w, Sparse) else (w * idf[:, None]).astype(np.float32), bias, t)
 
 
 def scores(batch: pa.RecordBatch, column: str, model: Model) -> np.ndarray:
     """Calibrated probabilities of each language for each text of a batch."""
+    if isinstance(model.weights, Sparse):
+        z = [model.weights.of(found, share) for found, share in features(batch, column)]
+        return _softmax((np.array(z).reshape(len(batch), len(model.langs)) + model.bias) / model.temperature)
     total, count = np.zeros((len(batch), len(model.langs))), np.zeros(len(batch))
     for found, row in _ngrams(batch, column):
         if len(found):
@@ -175,6 +230,12 @@ def scores(batch: pa.RecordBatch, column: str, model: Model) -> np.ndarray:
     return _softmax((total / np.maximum(count, 1)[:, None] + model.bias) / model.temperature)
 
 
+def _few(batches, rows: int):
+    for batch in batches:
+        for low in range(0, max(1, len(batch)), rows):
+            yield batch.slice(low, rows)
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """`docs` with lang_pred and score: the likeliest language and its probability, or `und` and 0.
 
@@ -188,7 +249,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
 
     def run(batches):
         known = shared.value
-        for batch in pieces(batches, "_text"):
+        for batch in _few(pieces(batches, "_text"), max(1, CELLS // max(1, len(known.langs)))):
             texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
             p = scores(batch, "_text", known) if known.langs else np.zeros((len(batch), 1))
             best = p.argmax(axis=1) if len(batch) else np.zeros(0, int)

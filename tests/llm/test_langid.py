@@ -42,6 +42,30 @@ def test_scores_match_the_linear_model():
         assert np.allclose(row, np.exp(z) / np.exp(z).sum(), atol=1e-6)
 
 
+def test_every_language_is_learned(spark):
+    """205 languages of own alphabets, the last five with fewer texts than the others."""
+    rows = []
+    for k in range(205):
+        rng = np.random.default_rng(k)
+        rows += [(f"l{k:03}", " ".join("".join(chr(0x4E00 + 40 * k + c) for c in rng.integers(0, 12, 4)) for _ in range(8))) for _ in range(8 if k < 200 else 6)]
+    docs = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = langid.languages(docs, F.lit(True)).collect()
+    assert len(got) == len(rows) and np.mean([r.lang == r.lang_pred for r in got]) > 0.99
+    assert {r.lang_pred for r in got} == {r.lang for r in got}
+
+
+def test_sparse_weights_say_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    one = langid.fit(docs, F.lit(True))
+    monkeypatch.setattr(langid, "DENSE", 1)
+    monkeypatch.setattr(langid, "LEAST", langid.SAMPLE)
+    other = langid.fit(docs, F.lit(True))
+    texts = [r.text for r in docs.orderBy("doc_id").limit(100).collect()]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    assert isinstance(other.weights, langid.Sparse)
+    assert np.allclose(langid.scores(batch, "text", one), langid.scores(batch, "text", other), atol=1e-3)
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     got = langid.languages(docs, F.lit(True), pred="p", score="s")
