@@ -8,7 +8,8 @@ tasks, so a host's wrapper is one expression over all its pages, such as
     <body>(<nav>(<a>#</a>)+</nav>)?<article><h1>#</h1>(<p>#</p>)+</article></body>
 
 The wrapper tells where the main text is: its article elements, else its main element, else
-the element that holds most slot text, where texts equal on all pages are part of the template.
+the element that holds most slot text, where texts equal on all pages are part of the template
+(of three pages with different texts or more; a text in an optional element never is).
 Elements for navigation, adverts, forms and the like have no part in it.
 """
 
@@ -315,34 +316,50 @@ def _walk(nodes: list, path: str = ""):
         yield from _walk(node[6], here)
 
 
-def _chars(node: list) -> int:
-    return 0 if node[3] else (node[4] if node[5] is None else 0) + sum(map(_chars, node[6]))
+def _constant(nodes: list, path: str = ""):
+    """(path, text) of the texts that are equal on all pages: neither they nor an ancestor is optional."""
+    for node in nodes:
+        if node[3] or node[2]:
+            continue
+        if node[0] == "#" and node[5] is not None:
+            yield path, node[5]
+        yield from _constant(node[6], path if node[0] == "()" else f"{path}/{node[0]}")
+
+
+def _chars(node: list, optional: bool = False) -> int:
+    """Characters of a node's text that isn't template."""
+    optional |= node[2]
+    return 0 if node[3] else (node[4] if node[5] is None or optional else 0) + sum(_chars(x, optional) for x in node[6])
 
 
 def rule(wrapper: list, pages: int) -> dict:
-    """Where the main text is: paths of article elements, of main elements, and of the element with most slot text."""
+    """Where the main text is: paths of article elements, of main elements, and of the element with most slot text.
+
+    pages: how many pages with different texts the wrapper is of.
+    """
     found = {"article": [], "main": []}
     for path, node in _walk(wrapper):
         tag = node[0].split(".")[0].split("@")[0]
         kind = "article" if tag == "article" else "main" if tag == "main" or "@main" in node[0] else None
         if kind and not any(path.startswith(f"{p}/") for p in found[kind]):
             found[kind].append(path)
-    path, level = "", wrapper
-    constants = sorted({(p.rsplit("/", 1)[0], n[5]) for p, n in _walk(wrapper) if n[0] == "#" and n[5] is not None}) if pages > 2 else []
+    path, level, optional = "", wrapper, False
+    constants = sorted(set(_constant(wrapper))) if pages > 2 and sum(map(_chars, wrapper)) else []
     while True:
         kids = [(p, n) for p, n in _walk([[*x[:6], []] if x[0] != "()" else x for x in level], path)]
-        real = {id(x): x for x in _flat(level)}
-        total = sum(_chars(x) for x in real.values())
-        big = [x for x in real.values() if x[0] != "#" and not x[3] and _chars(x) >= 0.8 * total]
-        if not total or not kids or len(big) != 1 or big[0][0].split(".")[0] in LEAF or big[0][1]:
+        real = {id(x): (x, o) for x, o in _flat(level, optional)}
+        total = sum(_chars(x, o) for x, o in real.values())
+        big = [(x, o) for x, o in real.values() if x[0] != "#" and not x[3] and _chars(x, o) >= 0.8 * total]
+        if not total or not kids or len(big) != 1 or big[0][0][0].split(".")[0] in LEAF or big[0][0][1]:
             break
-        path, level = f"{path}/{big[0][0]}", big[0][6]
+        path, level, optional = f"{path}/{big[0][0][0]}", big[0][0][6], big[0][1] or big[0][0][2]
     return {"article": sorted(set(found["article"])), "main": sorted(set(found["main"])), "dense": path, "constants": constants}
 
 
-def _flat(level: list):
+def _flat(level: list, optional: bool = False):
+    """(node, whether an ancestor is optional) of a level, groups passed through."""
     for x in level:
-        yield from _flat(x[6]) if x[0] == "()" else [x]
+        yield from _flat(x[6], optional or x[2]) if x[0] == "()" else [(x, optional)]
 
 
 def main_text(html: str | None, known: dict) -> str:
@@ -386,24 +403,40 @@ def main_text(html: str | None, known: dict) -> str:
     return "\n".join(blocks[pick])
 
 
-_WRAPPER = "host string, wrapper string, pages long"
+_WRAPPER = "host string, wrapper string, pages long, texts array<string>"
+TEXTS = 3  # digests of different pages' texts that are kept of a host; so many tell template from text
+
+
+def _texts(nodes: list) -> str:
+    """A digest of a page's texts."""
+    return hashlib.blake2b("\n".join(n[5] or str(n[4]) for _, n in _walk(nodes) if n[0] == "#").encode("utf-8", "replace"), digest_size=12).hexdigest()
+
+
+def _more(texts: list[str], new) -> list[str]:
+    return sorted({*texts, *new})[:TEXTS]
+
+
+def _both(a: list | None, b: list) -> list:
+    """One wrapper of two; pages without a node say nothing about the others."""
+    return aligned(a, b) if a and b else a or b
 
 
 def _induced(batches):
     """Of each host in a task the wrapper of its pages there."""
-    held: dict[str, tuple[list, int]] = {}
+    held: dict[str, tuple[list, int, list[str]]] = {}
 
     def rows():
         out = pa.RecordBatch.from_arrays([
-            pa.array(list(held), pa.string()), pa.array([json.dumps(w, ensure_ascii=False) for w, _ in held.values()], pa.string()),
-            pa.array([n for _, n in held.values()], pa.int64())], ["host", "wrapper", "pages"])
+            pa.array(list(held), pa.string()), pa.array([json.dumps(w, ensure_ascii=False) for w, _, _ in held.values()], pa.string()),
+            pa.array([n for _, n, _ in held.values()], pa.int64()), pa.array([t for _, _, t in held.values()], pa.list_(pa.string()))],
+            ["host", "wrapper", "pages", "texts"])
         held.clear()
         return out
     for batch in pieces(batches, "html"):
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             one = expression(html or "")
-            wrapper, n = held.get(host, (None, 0))
-            held[host] = (one if wrapper is None else aligned(wrapper, one), n + 1)
+            wrapper, n, texts = held.get(host, (None, 0, []))
+            held[host] = (_both(wrapper, one), n + 1, _more(texts, [_texts(one)] if one else []))
         if len(held) > HOSTS:
             yield rows()
     yield rows()
@@ -411,18 +444,17 @@ def _induced(batches):
 
 def _met(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One wrapper of a host's wrappers, aligned one after the other."""
-    wrapper, pages = None, 0
+    wrapper, pages, texts = None, 0, []
     for batch in batches:
-        for text, n in zip(batch.column(batch.schema.get_field_index("wrapper")).to_pylist(), batch.column(batch.schema.get_field_index("pages")).to_pylist()):
-            one = json.loads(text)
-            wrapper, pages = one if wrapper is None else aligned(wrapper, one), pages + n
+        for text, n, some in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("wrapper", "pages", "texts"))):
+            wrapper, pages, texts = _both(wrapper, json.loads(text)), pages + n, _more(texts, some)
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.string()), pa.array([json.dumps(wrapper, ensure_ascii=False)], pa.string()),
-                                      pa.array([pages], pa.int64())], ["host", "wrapper", "pages"])
+                                      pa.array([pages], pa.int64()), pa.array([texts], pa.list_(pa.string()))], ["host", "wrapper", "pages", "texts"])
 
 
 def _ruled(batches):
     for batch in batches:
-        found = [(json.loads(w), n) for w, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        found = [(json.loads(w), len(t)) for w, t in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())]
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array([written(w) for w, _ in found], pa.string()),
             pa.array([json.dumps(rule(w, n), ensure_ascii=False) for w, n in found], pa.string()), batch.column(2)], ["host", "wrapper", "rule", "pages"])

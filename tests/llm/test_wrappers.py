@@ -50,6 +50,18 @@ def test_pages_without_an_article_use_slots():
     assert text_of(*pages) == [f"Text {i} of this page, quite long and new {i * 7}" for i in range(5)]
 
 
+def test_text_that_one_page_alone_has_stays(spark):
+    """A quote, a heading and the paragraph behind it on one page of six, and three copies of one page on a host."""
+    bodies = [f"<p>Text {i} of this page, quite long and new {i * 7}</p>" for i in range(6)]
+    bodies[2] += "<blockquote>Only quote</blockquote><h3>Only head</h3><p>Behind it</p>"
+    rows = [(i, "http://a/", f"<body><div class='top'>Brand</div><div class='body'>{b}</div></body>") for i, b in enumerate(bodies)]
+    rows += [(10 + i, "http://b/", "<body><div><p>One page</p><p>in copies</p></div></body>") for i in range(3)]
+    got = {r.page_id: r.text for r in W.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    own = [f"Text {i} of this page, quite long and new {i * 7}" for i in range(6)]
+    assert got == {**{i: t + ("\nOnly quote\nOnly head\nBehind it" if i == 2 else "") for i, t in enumerate(own)},
+                   **{10 + i: "One page\nin copies" for i in range(3)}}
+
+
 def test_main_element_and_mixed_hosts():
     a, b = "<body><main><p>Main</p></main><p>Other</p></body>", "<body><article><p>Art</p></article><p>Other</p></body>"
     assert text_of(a, b) == ["Main", "Art"]
