@@ -48,6 +48,11 @@ NOISE = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "disclaimer disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pager "
             "pagination popup promo promoted promotion recommended related replies respond share sharing sidebar signup skip social "
             "sponsor sponsored subscribe subscription teaser teasers toolbar widget".split())
+# Words that a name may have besides those of NOISE and still be one of furniture: "comment-list", "left-sidebar", not "related-work".
+PARTS = set("area bar block body bottom box btn button buttons center col column container content desktop fixed float global group header heading icon "
+            "icons inner inline item items js left links list lists main media mobile module outer overlay page panel post posts primary right row "
+            "secondary section site slot small sticky tag text title top unit widget widgets wrap wrapper".split())
+PROSE = INLINE | set("h1 h2 h3 h4 h5 h6 p blockquote pre".split())  # a name of one of these tells of its words, not of the page
 QUALIFIERS = set("has have hide is js no not show with without".split())  # "has-sidebar" names a page's layout, not a sidebar
 ARTICLE_NOISE = set("ad ads advert comment comments promo promoted recommended related replies reply sponsored teaser teasers".split())
 NOISE_ROLES = set("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -56,20 +61,22 @@ LEAF = set("p h1 h2 h3 h4 h5 h6 li td th dd dt blockquote pre figcaption".split(
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S)
 _ATTR = re.compile(r"(?<![^\s\"'])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_SECTION = re.compile(r"\bclass\s*=\s*(?:\"[^\"]*\bsection\b|'[^']*\bsection\b|section\b)", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """(name in the wrapper, whether it is page furniture) of a start tag."""
     noise, kinds = tag in FURNITURE, ""
+    headed = tag == "section" or bool(attributes) and _SECTION.search(attributes) is not None  # its id is made of its heading
     if attributes and tag not in ("html", "body"):
         for m in _ATTR.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
                 known = ARTICLE_NOISE if tag in ("article", "main") else NOISE
-                for one in value.split():
-                    words = [w.lower() for w in _PART.findall(one)]
-                    noise |= bool(words) and words[0] not in QUALIFIERS and not known.isdisjoint(words)
+                for one in value.split() if tag not in PROSE and not (headed and name == "id") else ():
+                    words = [w.lower() for w in _PART.findall(one) if not w.isdigit()]
+                    noise |= bool(words) and words[0] not in QUALIFIERS and not known.isdisjoint(words) and PARTS.union(NOISE).issuperset(words)
                 if name == "class":
                     kinds += "." + ".".join(sorted({re.sub(r"\d+", "0", w) for w in value.split()}))
             elif name == "role":

@@ -79,6 +79,13 @@ def test_layout_names_are_not_furniture():
     assert text_of(page) == ["x"]
 
 
+def test_names_made_of_words_of_the_text_are_not_furniture():
+    page = ("<article><h2 id='related-work'>Related work</h2><p id='notice-period'>A <span class='social'>social</span> word</p>"
+            "<section id='feedback-loops'><p>Loops</p></section><section id='comments'><p>On comments</p></section>"
+            "<div class='banner-history'>Banners</div><div class='comment-list'>c</div><div id='share-buttons'>s</div><div class='ad-2'>a</div></article>")
+    assert text_of(page) == ["Related work\nA social word\nLoops\nOn comments\nBanners"]
+
+
 def test_unclosed_article_keeps_its_text():
     assert text_of("<body><article><h1>a</h1><p>b") == ["a\nb"]
 
