@@ -4,7 +4,9 @@ A template's fingerprints are the smallest of every few neighbouring hashes of i
 runs (winnowing), in an inverted index from hash to template and place. A text's runs look the
 index up; hits of one template on about the same diagonal (place in the text less place in the
 template) are one candidate. The template is then aligned, word by word, with the text around
-that diagonal, within a band; the share of its words that match is the coverage.
+that diagonal, within a band; the share of its words that match is the coverage. Candidates that
+cover too little alone are chained: parts of BAND words or more that follow each other in text and
+template, whatever stands between them, count together.
 """
 
 from __future__ import annotations
@@ -74,14 +76,20 @@ def aligned(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tu
 
     Template word j may meet text words shift + j - band to shift + j + band.
     """
-    best, m, n = (0, 0, -1, -1), len(template), len(text)
-    rows: dict[int, tuple] = {}  # text place -> (score, matches, first, last) with the words so far
+    return segment(template, text, shift, band)[:3]
+
+
+def segment(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tuple[int, int, int, int, int]:
+    """What `aligned` returns, and the first and last matched place in the template."""
+    none = (0, 0, -1, -1, -1, -1)
+    best, m, n = none, len(template), len(text)
+    rows: dict[int, tuple] = {}  # text place -> (score, matches, first, last, first and last in the template) with the words so far
     for j in range(m):
         new: dict[int, tuple] = {}
         for i in range(max(0, shift + j - band), min(n, shift + j + band + 1)):
-            before = rows.get(i - 1, (0, 0, -1, -1))
+            before = rows.get(i - 1, none)
             if template[j] == text[i]:
-                cell = (before[0] + MATCH, before[1] + 1, before[2] if before[2] >= 0 else i, i)
+                cell = (before[0] + MATCH, before[1] + 1, before[2] if before[2] >= 0 else i, i, before[4] if before[4] >= 0 else j, j)
             else:
                 cell = max((before[0] + MISMATCH, *before[1:]), _worse(rows.get(i)), _worse(new.get(i - 1)), key=lambda c: c[:2])
             if cell[0] > 0:
@@ -91,7 +99,37 @@ def aligned(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tu
             if i not in new and cell[0] + GAP > 0:
                 new[i] = (cell[0] + GAP, *cell[1:])
         rows = new
-    return best[1], best[2], best[3]
+    return best[1:]
+
+
+def chained(parts: list[tuple[int, int, int, int, int]], size: int, least: float) -> list[tuple[int, int, int]]:
+    """(matches, first and last place in the text) of chains of parts that match `least` words of a template of `size` or more.
+
+    Parts are (matches, first, last, first and last in the template). Words where two of a chain
+    overlap are taken off. Of equal chains the one whose parts are nearest counts.
+    """
+    parts, out = sorted(set(parts), key=lambda x: x[1]), []
+    while len(parts) > 1:
+        total, end = np.zeros(size, np.int64), np.full(size, -1)  # of the best chain that ends at each template place
+        owner, chain = np.full(size, -1), []
+        for k, (n, a, b, p, q) in enumerate(parts):
+            gain = total[:q] - np.maximum(np.maximum(np.arange(q) - p, end[:q] - a) + 1, 0)
+            gain[(owner[:q] < 0) | (end[:q] >= b)] = 0
+            i = q - 1 - int(np.argmax(gain[::-1])) if q else 0
+            ahead = q > 0 and gain[i] > 0
+            chain.append((n + int(gain[i]) if ahead else n, int(owner[i]) if ahead else -1))
+            if chain[k][0] >= total[q]:
+                total[q], end[q], owner[q] = chain[k][0], b, k
+        k = max(range(len(parts)), key=lambda x: chain[x][0])
+        n, used = chain[k][0], []
+        if n < least:
+            break
+        while k >= 0:
+            used.append(k)
+            k = chain[k][1]
+        out.append((n, parts[used[-1]][1], parts[used[0]][2]))
+        parts = [x for i, x in enumerate(parts) if i not in used]
+    return out
 
 
 def _worse(cell: tuple | None) -> tuple:
@@ -128,18 +166,24 @@ def _scan(index: Index, coverage: float):
     def run(batches):
         for batch in pieces(batches, "text"):
             w = words(batch, "text", _ALNUM)
-            hashes, first, chars = w.hashes(), w.firsts(), None
-            out = set()
+            hashes, first, chars = w.hashes(), w.firsts(), w.chars()
+            out, parts = set(), {}
+
+            def add(r, t, n, a, b):
+                base, a, b = chars[w.at[r]], first[r] + a, first[r] + b
+                out.add((r, t, int(chars[w.start[a]] - base), int(chars[w.end[b]] - base), n))
             for r, t, low, high in _candidates(index, w.row, hashes, first):
                 own = hashes[first[r]:first[r + 1]]
                 template = index.words[t]
                 start = max(0, low - BAND)
-                n, a, b = aligned(template, own[start:high + len(template) + BAND], (low + high) // 2 - start, _band(len(template)) + (high - low + 1) // 2)
+                n, a, b, p, q = segment(template, own[start:high + len(template) + BAND], (low + high) // 2 - start, _band(len(template)) + (high - low + 1) // 2)
                 if n >= coverage * len(template):
-                    if chars is None:
-                        chars = w.chars()
-                    base, a, b = chars[w.at[r]], first[r] + start + a, first[r] + start + b
-                    out.add((r, t, int(chars[w.start[a]] - base), int(chars[w.end[b]] - base), n))
+                    add(r, t, n, start + a, start + b)
+                elif n >= BAND:
+                    parts.setdefault((r, t), []).append((n, int(start + a), int(start + b), p, q))
+            for (r, t), some in parts.items():
+                for found in chained(some, len(index.words[t]), coverage * len(index.words[t])):
+                    add(r, t, *found)
             rows = sorted(out)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array([x[0] for x in rows], pa.int64())), pa.array([index.names[x[1]] for x in rows], pa.string()),
@@ -159,7 +203,8 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage:
     each place. Templates that share words are reported each if each is covered. Empty tables
     give no rows; other columns are not read. Whole texts are scanned, row by row, without a
     shuffle; the index has the size of the templates. A template of fewer than GRAM words is
-    never found.
+    never found. Words inserted into a notice don't hide it, however many, where the template's
+    words between insertions are BAND or more.
     """
     shipped(docs.sparkSession)
     index = Index.of(templates if templates is not None else TEMPLATES)

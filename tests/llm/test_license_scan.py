@@ -38,6 +38,19 @@ def test_edited_notices(spark):
     assert not [k for k in got if k[0] == 3]
 
 
+def test_words_inserted_into_a_notice(spark):
+    words = TEMPLATES["MIT"].split()
+    half, third = len(words) // 2, len(words) // 3
+    more = [f"own{i}" for i in range(600)]
+    middle = " ".join(words[:half] + more[:20] + words[half:])
+    texts = [middle, " ".join(words[:third] + more[:9] + words[third:2 * third] + more[9:] + words[2 * third:]), f"{middle}\n{middle}",
+             " ".join(words[half:] + more[:20] + words[:half])]
+    rows = [r for r in licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect() if r.license == "MIT"]
+    assert sorted((r.doc_id, r.start) for r in rows) == [(0, 0), (1, 0), (2, 0), (2, len(middle) + 1)]
+    assert all(r.coverage == 1.0 for r in rows)
+    assert {r.end for r in rows if r.doc_id == 0} == {len(middle.rstrip('."'))}
+
+
 def test_repeated_notices_are_rows_each(spark):
     line = "Released under the MIT License."
     df = spark.createDataFrame([(1, "\n".join([line] * 50)), (2, f"{line} {'x ' * 5000}{line.upper()}")], "doc_id long, text string")
