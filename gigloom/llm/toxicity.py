@@ -28,9 +28,11 @@ DIM = 16
 ORDERS = (3, 4, 5)
 WINDOW = 8
 SAMPLE = 1500  # labelled texts of each class that are learned from, about; they are chosen by a hash of the id
-SHORT = 4000  # code points of a text in the sample, at most: it bounds what the driver holds
+BYTES = 6 << 20  # of the texts of each class in the sample, about: it bounds what the driver holds
+LONG = 100_000  # code points; of a longer text so many are learned from, in pieces chosen by hash from its whole length
+PIECE = 2000  # code points of such a piece
+CUT = 1 << 18  # code points of the texts that are cut into subwords at a time
 RATE, BATCH = 0.1, 128
-TEXTS = 64  # of the sample that are cut into subwords at a time
 ROUNDS = 6
 
 _BLANK = np.zeros(256, bool)
@@ -118,10 +120,23 @@ def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Texts are cut a few at a time, so that only the buckets of all of them are held.
     """
-    parts = [_cut(bags(texts[i:i + TEXTS])) for i in range(0, len(texts), TEXTS)]
+    few = list(_few(texts))
+    parts = [_cut(bags(texts[i:j])) for i, j in few]
     sizes = np.concatenate([np.diff(at) for _, at, _ in parts])
     return (np.concatenate([b for b, _, _ in parts]), np.concatenate([[0], np.cumsum(sizes)]),
-            np.concatenate([row + i * TEXTS for i, (_, _, row) in enumerate(parts)]))
+            np.concatenate([row + i for (i, _), (_, _, row) in zip(few, parts)]))
+
+
+def _few(texts: list[str]):
+    """(first, end) of neighbouring texts of CUT code points at most, or one."""
+    i = 0
+    while i < len(texts):
+        j, size = i + 1, len(texts[i])
+        while j < len(texts) and size + len(texts[j]) <= CUT:
+            size += len(texts[j])
+            j += 1
+        yield i, j
+        i = j
 
 
 def _cut(b: Bags) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,8 +207,7 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
         target = positive & ((logit >= best[row]) | (logit > 2.0))  # each toxic text's worst window, and all that are plainly toxic
         trained = used & (target | ~positive)
     part = emb @ (top[:, 1] - top[:, 0])
-    highest = np.concatenate([worst(bags(texts[i:i + TEXTS]), part, float(bias[1] - bias[0]), len(texts[i:i + TEXTS]))
-                              for i in range(0, len(texts), TEXTS)])
+    highest = np.concatenate([worst(bags(texts[i:j]), part, float(bias[1] - bias[0]), j - i) for i, j in _few(texts)])
     slope, offset = _logistic(highest, labels, aside if aside.any() else ~aside)
     return Model(part.astype(np.float32), float(bias[1] - bias[0]), slope, offset)
 
@@ -230,12 +244,27 @@ def _logistic(x: np.ndarray, labels: np.ndarray, use: np.ndarray) -> tuple[float
     return float(max(w[0], 1e-6) / s), float(w[1] - max(w[0], 1e-6) * m / s)
 
 
+def _sampled(batches):
+    """Texts of over LONG code points as pieces from their whole length, LONG in all, about; others whole."""
+    for batch in batches:
+        out = []
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if len(t) > LONG:
+                n = -(-len(t) // PIECE)
+                some = np.sort(np.random.default_rng(abs(i)).permutation(n)[:LONG // PIECE])
+                t = "\n".join(t[k * PIECE:(k + 1) * PIECE] for k in some)
+            out.append(t)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), batch.column(2)], ["doc_id", "text", "y"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model | None:
     """Learn from about SAMPLE labelled texts of each class among the labelled ids where `learn` holds.
 
-    The ids are chosen first, by a hash, so the texts of the others are never moved. A repeated
-    id has the highest of its labels; null labels and ids don't count.
+    The ids are chosen first, by a hash, so the texts of the others are never moved. Of the chosen
+    texts, short and long, those first by the hash are learned from until a class has BYTES. A
+    repeated id has the highest of its labels; null labels and ids don't count.
     """
+    shipped(docs.sparkSession)
     marked = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(
         F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).where(learn).groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
@@ -244,10 +273,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_id
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20))
     limit = F.create_map(*[F.lit(x) for y, n in counts.items() for x in (y, min(1.0, 2 * SAMPLE / n) * (1 << 20))])[F.col("y")]
     chosen = marked.where(draw < limit)  # about 4 * SAMPLE ids
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where(
-        F.length("text") <= SHORT).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where(
+        F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    sizes = texts.select("doc_id", F.least(F.octet_length("text"), F.lit(4 * LONG)).alias("size")).join(F.broadcast(chosen), "doc_id").groupBy(
+        "doc_id", "y").agg(F.max("size").alias("size")).withColumn("draw", draw).collect()
+    held, ids = dict.fromkeys(counts, 0), []
+    for r in sorted(sizes, key=lambda r: (r.draw, r.doc_id)):
+        if held[r.y] < BYTES:
+            held[r.y] += r.size
+            ids.append(r.doc_id)
+    if not ids:
+        return None
+    kept = F.broadcast(docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(sorted(ids), pa.int64())})))
+    rows = texts.join(F.broadcast(chosen), "doc_id").join(kept, "doc_id").select("doc_id", "text", "y")
+    rows = rows.mapInArrow(_sampled, "doc_id long, text string, y int").groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("one")).select("doc_id", "one.*")
     found = sorted(((r.doc_id, r.text, r.y) for r in rows.collect()), key=lambda r: r[0])
-    found = [r for r in found if r[1].strip(" \t\n\x0b\f\r")]
     order = np.random.default_rng(3).permutation(len(found))
     return train([found[i][1] for i in order], np.array([found[i][2] for i in order], np.int64))
 

@@ -67,6 +67,20 @@ def test_words_have_their_own_subwords():
     assert own[0] == own[2] == own[4] and b.row.tolist() == [0, 1, 1, 1, 2]
 
 
+def test_long_texts_teach(spark):
+    """All texts have over 4,000 code points, one over LONG, and toxic ones are told from others."""
+    rng = random.Random(9)
+    rows = [(" ".join(t for t, _ in texts(90, 100 + i)[1::3]), i % 2) for i in range(60)]
+    rows = [(f"{t[:len(t) // 2]} {' '.join(rng.choice(INSULTS) for _ in range(4))} {t[len(t) // 2:]}" if y else t, y) for t, y in rows]
+    rows[0] = (rows[0][0] * (toxicity.LONG // len(rows[0][0]) + 2), 0)
+    assert min(len(t) for t, _ in rows) > 4000
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    learned = fit(docs, labels, F.col("doc_id") < 40)
+    held = [r for r in scored(docs, learned).collect() if r.doc_id >= 40]
+    assert np.mean([(r.score >= 0.5) == bool(r.doc_id % 2) for r in held]) >= 0.9
+
+
 def test_odd_rows(spark):
     rows = texts(300, 4)
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
