@@ -1,12 +1,11 @@
-"""Benchmark decontamination: short test items inside long documents, by size-partitioned MinHash containment.
-
-Jaccard signatures say little when a 30-shingle item sits in a 9,000-shingle document, so only
-the small side is sketched: an item's signature is its smallest shingle hashes, and a document
-is asked how many of them it holds. Items are partitioned by size (powers of two) and all items
-of a partition have signatures of one length, long enough that a document with the asked share
-of the item's shingles must hold at least HITS of the signature: nothing is missed. Documents
-too small for an item's partition aren't asked. Candidates are then verified by the exact share
-of the item's distinct shingles that the document has.
+"""Benchmark decontamination: short test items inside long documents, by exact containment in an inverted index.
+
+Jaccard similarity says little when a 30-shingle item sits in a 9,000-shingle document, so only
+the small side is indexed: documents meet all distinct shingles of all items, and the share of
+an item's shingles that a document has is exact. This join replaced a search by MinHash
+signatures. The index still marks them (the smallest hashes of each item, as many for all items
+of a size partition), and a document is still asked for HITS of them, but whoever has the asked
+share has those, so they decide nothing.
 
 DataFrame functions only. The shingles of the items are an inverted index; below INDEX_ROWS
 rows (a checked count) it is broadcast and documents are never shuffled, above that both sides
