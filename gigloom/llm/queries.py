@@ -3,8 +3,9 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gigloom.llm import decontaminate, langid, lattice_lm, license_scan, line_dedup, mixing, ngram_join, topk, toxicity, wrappers
+from gigloom.llm import alignment, decontaminate, langid, lattice_lm, lexical, license_scan, line_dedup, mixing, ngram_join, token_counts, topk, toxicity, wrappers
 from gigloom.llm.store import read
+from gigloom.llm.tokens import public
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
@@ -143,5 +144,39 @@ SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*
 FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_language_id, op4_lattice_lm, op5_line_dedup, op6_license_scan, op7_mixing, op8_topk, op9_wrappers, op10_decontaminate)}
-ORACLES = {"op1_ngram_join": OP1_SQL, "op5_line_dedup": OP5_SQL, "op9_wrappers": OP9_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL}
+
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item by their terms."""
+    return lexical.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
+_TERMS = rf"unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+OP11_SQL = f"""WITH t AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY doc_id, term),
+s AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM s),
+m AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // words AS m FROM s, g),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), g),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY item_id, term),
+r AS (SELECT q.item_id, t.doc_id, sum(q.times * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * m.m)))::BIGINT AS score
+  FROM q JOIN w ON w.term = q.term JOIN t ON t.term = q.term JOIN m ON m.doc_id = t.doc_id GROUP BY q.item_id, t.doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 20"""
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens word_bpe_49k gives every text; the cache of digests is this call's own, so all distinct texts are encoded."""
+    return token_counts.counted(read(spark, sf_dir, "documents"), public("word_bpe_49k.json"), limit=2048)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of byte_bpe_50k and piece_bpe_32k line up in every text, and how usual each pair is in the corpus."""
+    found = alignment.aligned(read(spark, sf_dir, "documents"), public("byte_bpe_50k.json"), public("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_join, op2_toxicity, op3_language_id, op4_lattice_lm, op5_line_dedup, op6_license_scan, op7_mixing, op8_topk, op9_wrappers,
+    op10_decontaminate, op11_lexical, op12_token_counts, op13_alignment)}
+ORACLES = {"op1_ngram_join": OP1_SQL, "op5_line_dedup": OP5_SQL, "op9_wrappers": OP9_SQL, "op8_topk": OP8_SQL, "op10_decontaminate": OP10_SQL,
+           "op11_lexical": OP11_SQL}
