@@ -7,7 +7,6 @@ Spark array expressions. A page stays one row: choosing elements never shuffles.
 """
 
 import sys
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -18,22 +17,12 @@ from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, Struc
 from gigloom.functions import urls
 from gigloom.functions.text import col, let, strip
 from gigloom.session import bounded_batches, spread
+from gigloom.sources.markup import Flat
 
 # executors need no copy of this package: the parser travels with the function
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-BREAKS = frozenset(
-    "address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
-    "li main nav ol option p pre section table tbody td th thead tr ul".split())
-# an opening tag ends an open element of these kinds, unless the stopper lies between
-IMPLIED_END = {
-    "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "option": ({"option"}, {"select"}), "a": ({"a"}, BREAKS - {"br", "hr"}),
-}
 CHUNK = 100_000
-HIDDEN = frozenset(["script", "style", "template"])
 
 NODE = pa.struct([
     ("pos", pa.int32()), ("last", pa.int32()), ("up", pa.int32()), ("tag", pa.string()), ("cls", pa.string()),
@@ -44,90 +33,6 @@ NODES = ArrayType(StructType(
     + [StructField("attrs", MapType(StringType(), StringType())), StructField("text", StringType())]))
 
 
-class _Flat(HTMLParser):
-    """Appends one entry per element and text run to flat lists.
-
-    Any markup is read, in time proportional to its length: the open elements of each kind are
-    kept on a stack of their own, so the nearest one is found without walking over the others.
-    """
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.up, self.last, self.tag, self.attrs, self.text = [-1], [0], ["#root"], [()], [None]
-        self.open = [0]
-        self.at = {}  # depths of the open elements of each kind
-
-    def add(self, tag, attrs=(), text=None):
-        self.up.append(self.open[-1])
-        self.last.append(len(self.tag))
-        self.tag.append(tag)
-        self.attrs.append(attrs)
-        self.text.append(text)
-        return len(self.tag) - 1
-
-    def gap(self):
-        if self.tag[-1] != "#br":
-            self.add("#br")
-
-    def shut(self, depth):
-        if depth is None:
-            return
-        end = len(self.tag) - 1
-        for at in reversed(self.open[depth:]):
-            self.last[at] = end
-            if at:
-                self.at[self.tag[at]].pop()
-        del self.open[depth:]
-
-    def nearest(self, names, stoppers=()):
-        depth = max((self.at[n][-1] for n in names if self.at.get(n)), default=None)
-        if depth is None or any(self.at[n][-1] > depth for n in stoppers if self.at.get(n)):
-            return None
-        return depth
-
-    def handle_starttag(self, tag, attrs):
-        if tag in IMPLIED_END:
-            self.shut(self.nearest(*IMPLIED_END[tag]))
-        if tag in BREAKS and tag != "br":
-            self.shut(self.nearest({"p"}, {"button", "td", "th", "table"}))
-        if tag in BREAKS:
-            self.gap()
-        at = self.add(tag, attrs)
-        if tag not in VOID:
-            self.at.setdefault(tag, []).append(len(self.open))
-            self.open.append(at)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        depth = self.nearest({tag}, () if tag in ("table", "ul", "ol", "div", "body", "html") else ("table",))
-        self.shut(depth)
-        if depth and tag in BREAKS:
-            self.gap()
-
-    def handle_data(self, data):
-        hidden = self.tag[self.open[-1]] in HIDDEN
-        self.add("#data" if hidden else "#text", text=data)
-
-    def parse_marked_section(self, i, report=1):
-        """A declaration that HTML does not know is a comment, as in browsers."""
-        return self.parse_bogus_comment(i, 0)
-
-    def parse_html_declaration(self, i):
-        known = self.rawdata.startswith("<!--", i) or self.rawdata[i:i + 9].lower() == "<!doctype"
-        return super().parse_html_declaration(i) if known else self.parse_bogus_comment(i, 0)
-
-    def read(self, markup):
-        try:
-            self.feed(markup)
-            self.close()
-        except AssertionError:  # the markup ends within a declaration: what was read before counts
-            pass
-        self.shut(0)
-        return self
-
-
 def _as_structs(pos, last, up, tag, attrs, text) -> pa.StructArray:
     cls, at, keys, values = [], [0], [], []
     for pairs in attrs:
@@ -149,7 +54,7 @@ def _nodes(markup: pa.Array) -> pa.Array:
     held = [[] for _ in range(6)]
     for page in markup:
         if page.is_valid:
-            flat = _Flat().read(page.as_py())
+            flat = Flat().read(page.as_py())
             for into, new in zip(held, (range(len(flat.tag)), flat.last, flat.up, flat.tag, flat.attrs, flat.text)):
                 into.extend(new)
             starts.append(starts[-1] + len(flat.tag))

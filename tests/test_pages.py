@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gigloom.boards import BOARDS
 from gigloom.boards.base import DETAIL, LISTED, details, detailed, listed, pairs, posting, route, routed
 from gigloom.sources import pages as P
+from gigloom.sources.markup import Flat
 
 
 @pytest.fixture
@@ -99,17 +100,41 @@ def test_large_pages_in_one_batch_stay_whole_and_apart(spark):
 
 @pytest.mark.parametrize("markup", ["<![foo[bar]]><p>x</p>", "<p>x</p><![ x", "<p>x</p>a<![1", "<!foo><p>x</p>", "<p>x<!ENTITY a", "<p>x</p><![CDATA[y]]>"])
 def test_unknown_declarations_are_comments(markup):
-    flat = P._Flat().read(markup)
+    flat = Flat().read(markup)
     assert "x" in [t for t in flat.text if t]
 
 
-def test_time_grows_with_the_page():
+HOSTILE = ["<a \"", "<a '", "&#", "&amp", "<!--", "<!-- -", "--", "<div>", "<b>", "</i>", "<a href=x>", "<li><p>", "<a href='", "<a =", "<a b ", "<", "</", "<!", "<?", "<script>",
+           "<style></", "<a/", "<table><tr><td>", "<p><table>", "<option>", "</p>", "<x y=\"'", "< a", "<![CDATA["]
+
+
+@pytest.mark.parametrize("piece", HOSTILE)
+def test_time_grows_with_the_page(piece):
+    markup = "<p>before</p>" + piece * (1_000_000 // len(piece))
     start = time.time()
-    for markup in ("<b>" * 200_000 + "</i>" * 200_000, "<div>" * 100_000 + "</p>" * 100_000, "<a href=x>" * 200_000, "<li><p>" * 100_000):
-        P._Flat().read(markup)
-    assert time.time() - start < 20
+    flat = Flat().read(markup)
+    assert time.time() - start < 6
+    assert "before" in flat.text
+
+
+@pytest.mark.parametrize(("markup", "want"), [
+    ("a < b <3 &lt;c&gt; & d", ["a < b <3 <c> & d"]),
+    ("<p>x<!-- <b>no</b> -->y<!-->z<!--->w<!--a--!>v", ["x", "y", "z", "w", "v"]),
+    ("<?xml version='1'?>a</>b</ c>d<!DOCTYPE html>e", ["a", "b", "d", "e"]),
+    ("a<p title='x", ["a"]), ("a<p title", ["a"]), ("a<p", ["a"]), ("a</p", ["a"]), ("a<!-- b", ["a"]),
+    ("<script>if (a<b) x='</scripty>'</SCRIPT >after", ["if (a<b) x='</scripty>'", "after"]),
+    ("<style>p > a {}</style><script/>x", ["p > a {}", "x"]),
+])
+def test_scanner_reads_as_browsers_do(markup, want):
+    assert [t for t in Flat().read(markup).text if t] == want
+
+
+def test_attributes():
+    flat = Flat().read("<A HREF = \"a&amp;b\" x=1/2 y Z='q\"' =w =v=3 data-i=></A><img src=u/>")
+    assert flat.attrs[1] == [("href", "a&b"), ("x", "1/2"), ("y", None), ("z", 'q"'), ("=w", "v=3"), ("data-i", "")]
+    assert (flat.tag[1], flat.tag[2], flat.attrs[2]) == ("a", "img", [("src", "u/")])
 
 
 def test_unclosed_anchors_do_not_nest():
-    flat = P._Flat().read("<p><a href=1>one<a href=2>two<p><a href=3><div>three</div></a>")
+    flat = Flat().read("<p><a href=1>one<a href=2>two<p><a href=3><div>three</div></a>")
     assert [flat.last[i] - i for i, t in enumerate(flat.tag) if t == "a"][:2] == [1, 1]
