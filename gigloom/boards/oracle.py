@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 
 from gigloom.functions import dates, rules, urls
 from gigloom.functions.text import clean, first_nonempty, let, nonempty
+from gigloom.operators.coverage import gaps
 from gigloom.operators.keys import lookup_join, salts_of
 from gigloom.sources.pages import joined, nodes
 from gigloom.sources.tables import REQUISITION_DETAILS, REQUISITIONS
 
+PAGE = 100  # requisitions that a listing request asks for
+
 
 def json_rows(df: DataFrame, column: str, schema: str, path: Column) -> DataFrame:
     """Parse a JSON text column and give one row per element of the array at `path`.
@@ -32,6 +35,19 @@ def requisitions(listings: DataFrame) -> DataFrame:
         "site_number", F.coalesce("site_number", "site_name"))
 
 
+def listing_gaps(listings: DataFrame, limit: int = PAGE) -> DataFrame:
+    """api_base, site_name, total, from_position, to_position: the requisitions of each site that no landed page lists.
+
+    A page lists `limit` requisitions from its offset on, as the next page is asked for at offset + limit; one that lists none
+    or can't be read covers nothing. The site's count is the largest that its pages tell; sites that tell none aren't judged.
+    """
+    top = F.get(F.from_json("body", REQUISITIONS)["items"], F.lit(0))
+    told = listings.select("api_base", "site_name", F.col("offset").cast("long").alias("start"), top.alias("_top")).select(
+        "api_base", "site_name", "start", F.when(F.size("_top.requisitionList") > 0, F.col("start") + limit).alias("stop"),
+        F.col("_top.TotalJobsCount").alias("total"))
+    return gaps(told, ["api_base", "site_name"])
+
+
 def listed(listings: DataFrame, keep=rules.is_green_title, country: str | None = "IN") -> DataFrame:
     """Requisitions that pass the title and country gates, with their public address."""
     r = requisitions(listings)
@@ -63,11 +79,11 @@ def detail(bodies: DataFrame) -> DataFrame:
     return said.withColumn("d_description", nonempty(let(nodes("markup"), lambda d: joined(d, "\n")))).drop("markup")
 
 
-def merged(listing: DataFrame, details: DataFrame) -> DataFrame:
-    """Detail fields win, listed ones fill; organization stands for department when given."""
+def merged(listing: DataFrame, details: DataFrame, extra=()) -> DataFrame:
+    """Detail fields win, listed ones fill; organization stands for department when given. `extra` columns of the listing stay."""
     out = lookup_join(listing, details, ["api_base", "job_id"])
     return out.select(
-        *[c for c in ("company_sustain_id",) if c in out.columns],
+        *[c for c in ("company_sustain_id", *extra) if c in out.columns],
         "title", "job_url", F.coalesce("d_location", "location").alias("location"),
         F.coalesce("d_organization", "organization", "d_department", "department").alias("department"),
         F.coalesce("d_job_type", "job_type", "job_schedule", "contract_type").alias("job_type"),

@@ -299,6 +299,39 @@ def once_oracle_hcm(spark, sf):
     return _once_oracle(spark, sf, True)
 
 
+# listing pages of sites: a supplier's orders are dealt over twenty sites, parts say which pages landed; those of line 7 list nothing
+LANDED_PAGES = Shape(
+    "lineitem", api_base="concat('https://s', CAST(l_suppkey AS STRING))", site_name="concat('CX', CAST(l_orderkey % 20 AS STRING))",
+    offset="100 * (l_partkey % 67)", total="100 * (30 + l_suppkey % 41) + 7", n="CASE WHEN l_linenumber = 7 THEN 0 ELSE 1 END",
+    id="CAST(l_orderkey AS STRING)")
+LANDED_BODY = """CASE WHEN n = 0 THEN concat('{"items":[{"TotalJobsCount":', total, ',"requisitionList":[]}]}')
+    WHEN CAST(id AS INT) % 50 = 1 THEN 'not json' ELSE concat('{"items":[{"TotalJobsCount":', total, ',"requisitionList":[{"Id":"', id, '"}]}]}') END"""
+
+
+@query(f"""WITH p AS (SELECT *, CAST(id AS INT) % 50 <> 1 OR n = 0 AS readable FROM {LANDED_PAGES.sql()}),
+    t AS (SELECT api_base, site_name, max(total)::BIGINT AS total FROM p WHERE readable GROUP BY 1, 2),
+    s AS (SELECT DISTINCT api_base, site_name, "offset"::BIGINT AS a FROM p WHERE readable AND n = 1
+          UNION ALL SELECT api_base, site_name, total FROM t),
+    g AS (SELECT *, coalesce(max(a + 100) OVER (PARTITION BY api_base, site_name ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM s)
+    SELECT api_base, site_name, total, b AS from_position, least(a, total) AS to_position FROM g JOIN t USING (api_base, site_name) WHERE b < least(a, total)""")
+def listing_gaps(spark, sf):
+    """The requisitions of each site that no landed page lists."""
+    pages = LANDED_PAGES.df(spark, sf)
+    return oracle.listing_gaps(pages.selectExpr("api_base", "site_name", "offset", f"{LANDED_BODY} AS body"))
+
+
+@query(f"""SELECT * EXCLUDE (nation), nation % 5 <> 0 AS listing_complete FROM (
+    {_oracle_sql("nation % 2 = 1").replace(" FROM ", ", nation FROM ")})""")
+def once_oracle_marked(spark, sf):
+    """Postings with a mark where the site's pages landed in part: every fifth nation's sites say they have 300."""
+    s, listings, bodies = _requisitions(spark, sf)
+    less = "replace(body, '\"TotalJobsCount\":3', '\"TotalJobsCount\":300')"
+    listings = listings.withColumn("body", F.expr(f"CASE WHEN CAST(substr(site_name, 8) AS INT) % 5 = 0 THEN {less} ELSE body END"))
+    seen = s.where("nation % 6 = 0").selectExpr("concat(api_base, '/hcmUI/CandidateExperience/en/sites/', site_name, '/job/', id, '3') AS job_url")
+    return plan.once_oracle(s, listings, bodies, seen, True, whole="listing_complete").select(
+        "company_sustain_id", "title", "job_url", "location", "department", "job_type", "published_date", "original_description", "listing_complete")
+
+
 @query(f"""SELECT api_base, site_name, site_number, pos, id || (pos + 1) AS job_id FROM {SITE_JSON.sql()}, (SELECT unnest([0, 1, 2, 3]) AS pos)""")
 def requisition_rows(spark, sf):
     return oracle.requisitions(_requisitions(spark, sf)[1]).select("api_base", "site_name", "site_number", "pos", F.col("Id").alias("job_id"))

@@ -3,60 +3,117 @@
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gigloom.functions.text import col, let
-from gigloom.operators.keys import lookup_join
+from gigloom.operators.keys import lookup_join, partitions
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK = 4096  # categories that a task compares at a time
-
-
-def _best(rows: pd.DataFrame, cats: pd.DataFrame) -> pd.DataFrame:
-    """Of one block of vectors and one of categories: each vector's best category, by one matrix product."""
-    columns = ["vec", "label", "score", "rank"]
-    if not len(rows) or not len(cats):
-        return pd.DataFrame(columns=columns)
-    cats = cats.sort_values(["rank", "category"], na_position="last")
-    a, b = (np.stack(x.vec.to_numpy()).astype("float64") for x in (rows, cats))
-    a, b = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-30) for m in (a, b))
-    scores = a @ b.T
-    at = scores.argmax(axis=1)
-    return pd.DataFrame({"vec": rows.vec.to_numpy(), "label": cats.category.to_numpy(dtype=object)[at],
-                         "score": scores[np.arange(len(at)), at], "rank": cats["rank"].to_numpy()[at]}, columns=columns)
+BLOCK = 4096  # categories that a task compares at a time; up to so many go to every task
+CELLS = 1 << 20  # scores that a task holds at a time
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-30)
+
+
+class Categories:
+    """Some categories in the order that decides equal scores, as one matrix for each length of vectors."""
+
+    def __init__(self, rows):
+        held = {}
+        for category, rank, vec in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0.0, r[0] is None, r[0] or "")):
+            if all(x is not None for x in vec):
+                held.setdefault(len(vec), []).append((category, rank, vec))
+        self.rows = {n: [(c, r) for c, r, _ in some] for n, some in held.items()}
+        self.matrix = {n: _unit(np.array([v for *_, v in some], np.float64).reshape(len(some), n)).T for n, some in held.items()}
+
+    def best(self, vectors: pa.Array) -> tuple[list, list, list]:
+        """(category, score, rank) of the first best category for each vector; nulls where none of its length can be scored."""
+        out = ([None] * len(vectors), [None] * len(vectors), [None] * len(vectors))
+        sizes = pc.list_value_length(vectors).fill_null(-1).to_numpy(zero_copy_only=False)
+        for size, matrix in self.matrix.items():
+            mine = np.flatnonzero(sizes == size)
+            step = max(1, CELLS // max(1, matrix.shape[1]))
+            for some in (mine[i:i + step] for i in range(0, len(mine), step)):
+                flat = vectors.take(pa.array(some)).flatten()
+                held = np.asarray(flat.fill_null(float("nan")), np.float64).reshape(len(some), size)
+                scores = np.nan_to_num(_unit(held) @ matrix, nan=-np.inf)
+                at = scores.argmax(axis=1)
+                top = scores[np.arange(len(at)), at]
+                for row, category, score in zip(some.tolist(), at.tolist(), top.tolist()):
+                    if score > -np.inf:
+                        out[0][row], out[2][row] = self.rows[size][category]
+                        out[1][row] = score
+        return out
 
 
 def nearest(df: DataFrame, vec: str, categories: DataFrame, threshold: float, default: str | None = None,
             to: str = "label", block: int = BLOCK) -> DataFrame:
     """Category with the highest cosine at or above the threshold, else the default.
 
-    `categories` has (category, rank, vec); equal scores go to the smaller rank, a null rank
-    last. Distinct vectors are dealt over the shuffle partitions; each of those meets the
-    categories in blocks of about `block`, and the best of all blocks is taken. How many blocks
-    there are is a subquery of the plan: nothing runs before it does. The size of a block
+    `categories` has (category, rank, vec); equal scores go to the smaller rank, a null rank last. Vectors that are null, hold
+    a null or NaN or have a length that no category has get the default.
+
+    Up to `block` categories (they are counted by reading no more than that) go to every task as one matrix, and the label is a
+    projection: rows don't move. More are cut into blocks that stream past the distinct vectors, and the best of all blocks is
+    taken. Either way a task holds one block and CELLS scores, however many rows or equal vectors there are; the size of a block
     changes no answer.
     """
-    spark = df.sparkSession
-    bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = dict(categories.dtypes)["vec"]
     cats = categories.select("category", F.col("rank").cast("double").alias("rank"), "vec").where(F.col("vec").isNotNull())
-    blocks = cats.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block)).cast("int").alias("n")).scalar()
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    asked = df.select(F.col(vec).cast(kind).alias("vec")).where(F.col("vec").isNotNull()).distinct().withColumn("_n", blocks)
-    asked = asked.select("vec", F.pmod(F.hash("vec"), F.lit(bins)).alias("_bin"), every(F.col("_n")).alias("_block"))
-    cats = cats.withColumn("_n", blocks).select(
-        "category", "rank", "vec", F.pmod(F.hash("category", "rank", "vec"), F.col("_n")).alias("_block"), every(F.lit(bins)).alias("_bin"))
-    scored = asked.groupBy("_bin", "_block").cogroup(cats.groupBy("_bin", "_block")).applyInPandas(
-        _best, f"vec {kind}, label string, score double, rank double")
-    won = scored.groupBy("vec").agg(F.max_by(F.struct("label", "score"), F.struct(
+    few = cats.limit(block + 1).collect()
+    if len(few) <= block:
+        held = Categories([tuple(r) for r in few])
+
+        @F.arrow_udf("string")
+        def label(vectors: pa.Array) -> pa.Array:
+            names, scores, _ = held.best(vectors)
+            return pa.array([n if s is not None and s >= threshold else default for n, s in zip(names, scores)], pa.string())
+
+        return df.withColumn(to, label(F.col(vec).cast(kind)))
+    won = _by_blocks(df.select(F.col(vec).cast(kind).alias("_vec")).where(F.col("_vec").isNotNull()).distinct(), cats, kind, block)
+    hit = lookup_join(df.withColumn("_vec", F.col(vec).cast(kind)), won, ["_vec"]).drop("_vec")
+    chosen = F.when(F.col("_near.score") >= threshold, F.col("_near.label")).otherwise(F.lit(default).cast("string"))
+    return hit.withColumn(to, chosen).drop("_near")
+
+
+def _streamed(batches):
+    """Of rows in the order (bin, block, categories first): each vector's best category of each block."""
+    now, rows, held = None, [], None
+    for batch in batches:
+        places = list(zip(*[batch.column(c).to_pylist() for c in ("bin", "block", "asks")]))
+        cuts = [0] + [i for i in range(1, len(places)) if places[i] != places[i - 1]] + [len(places)]
+        for i, j in zip(cuts, cuts[1:]):
+            if places[i][:2] != now:
+                now, rows, held = places[i][:2], [], None
+            if not places[i][2]:
+                rows.extend(zip(*[batch.column(c)[i:j].to_pylist() for c in ("category", "rank", "vec")]))
+                continue
+            held = held or Categories(rows)
+            vectors = batch.column("vec")[i:j]
+            names, scores, ranks = held.best(vectors)
+            yield pa.RecordBatch.from_arrays([vectors, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(ranks, pa.float64())],
+                                             ["vec", "label", "score", "rank"])
+
+
+def _by_blocks(asked: DataFrame, cats: DataFrame, kind: str, block: int) -> DataFrame:
+    """_vec, _near (label, score): distinct vectors meet blocks of categories in as many bins as a shuffle has tasks."""
+    bins, blocks = partitions(asked), -(-cats.count() // block)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.select(F.pmod(F.hash("_vec"), F.lit(bins)).alias("bin"), each(blocks).alias("block"), F.lit(True).alias("asks"),
+                        F.lit(None).cast("string").alias("category"), F.lit(None).cast("double").alias("rank"), F.col("_vec").alias("vec"))
+    right = cats.select(each(bins).alias("bin"), F.pmod(F.hash("category", "rank", "vec"), F.lit(blocks)).alias("block"),
+                        F.lit(False).alias("asks"), "category", "rank", "vec")
+    met = right.unionByName(left).repartition("bin", "block").sortWithinPartitions("bin", "block", "asks")
+    scored = met.mapInArrow(_streamed, f"vec {kind}, label string, score double, rank double").where("score is not null")
+    return scored.groupBy(F.col("vec").alias("_vec")).agg(F.max_by(F.struct("label", "score"), F.struct(
         F.col("score"), F.col("rank").isNotNull(), -F.col("rank"))).alias("_near"))
-    hit = lookup_join(df.withColumn("_vec", F.col(vec).cast(kind)), won.withColumnRenamed("vec", "_vec"), ["_vec"]).drop("_vec")
-    label = F.when(F.col("_near.score") >= threshold, F.col("_near.label")).otherwise(F.lit(default).cast("string"))
-    return hit.withColumn(to, label).drop("_near")
 
 
 def cosine(a, b) -> Column:

@@ -145,8 +145,11 @@ def once(board: Board, companies: DataFrame, pages: DataFrame, jobs: DataFrame,
 
 
 def once_oracle(companies: DataFrame, listings: DataFrame, bodies: DataFrame, jobs: DataFrame, hcm: bool = False,
-                keep=rules.is_green_title) -> DataFrame:
-    """One pass for landed requisition JSON: (api_base, site_name, offset, body) and (api_base, job_id, body)."""
+                keep=rules.is_green_title, whole: str | None = None) -> DataFrame:
+    """One pass for landed requisition JSON: (api_base, site_name, offset, body) and (api_base, job_id, body).
+
+    whole: a further column that tells whether the landed pages list all that the posting's site says it has.
+    """
     targets = (T.targets(companies, "oracle hcm") if hcm else T.targets(companies, "oraclecloud", without="oracle hcm"))
     sites = targets.withColumn("_s", urls.site_info("url")).where(F.col("_s.site_name").isNotNull()).select(
         "company_sustain_id", "_s.api_base", "_s.site_name")
@@ -160,8 +163,13 @@ def once_oracle(companies: DataFrame, listings: DataFrame, bodies: DataFrame, jo
                         spread_by=["job_id"])
     rows = dedupe(found, ["job_url"], ["company_sustain_id", "offset", "pos"], "first")
     rows = new_only(rows, jobs, "job_url")
-    merged = oracle.merged(rows, oracle.detail(bodies))
-    return T.conform(merged.withColumn("id", row_id("job_url")), T.SCHEMAS["jobs_sustain"])
+    if whole:
+        lacking = oracle.listing_gaps(listings).select("api_base", "site_name").distinct().withColumn(whole, F.lit(False))
+        rows = lookup_join(rows, lacking, ["api_base", "site_name"], salts=salts_of(rows), spread_by=["job_id"])
+        rows = rows.withColumn(whole, F.coalesce(whole, F.lit(True)))
+    merged = oracle.merged(rows, oracle.detail(bodies), [whole] if whole else ()).withColumn("id", row_id("job_url"))
+    schema = T.SCHEMAS["jobs_sustain"]
+    return T.conform(merged, f"{schema}, {whole} boolean" if whole else schema)
 
 
 def save_once(jobs: DataFrame, rows: DataFrame) -> DataFrame:

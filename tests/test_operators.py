@@ -191,3 +191,35 @@ def test_replaced_tables_are_whole_at_any_time(spark, tmp_path):
     assert spark.read.parquet(T.live(spark, path)).count() == 8 and len(T._versions(spark, path)) == 2
     (tmp_path / "t/_versions/v99999999-broken").mkdir()  # a writer that died
     assert spark.read.parquet(T.live(spark, path)).count() == 8
+
+
+@pytest.mark.parametrize("block", [4096, 2])
+def test_nearest_of_odd_vectors(spark, block):
+    cats = spark.createDataFrame([("a", 1, [1.0, 0.0]), ("b", 2, [0.0, 1.0]), ("c", 3, [1.0, 0.0]), ("d", 4, [1.0, 0.0, 0.0]), ("e", 5, [None, 1.0])],
+                                 "category string, rank int, vec array<double>")
+    df = spark.createDataFrame([(1, [2.0, 0.1]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [5.0, 0.0, 0.0]), (6, [1.0]), (7, [0.0, 0.0]), (8, [])],
+                               "id int, vec array<double>")
+    got = dict(rows(nearest(df, "vec", cats, 0.5, "none", block=block), "id", "label"))
+    assert got == {1: "a", 2: "none", 3: "none", 4: "none", 5: "d", 6: "none", 7: "none", 8: "none"}
+
+
+@pytest.mark.parametrize("block", [4096, 700])
+def test_nearest_holds_a_chunk_of_many_vectors(spark, block):
+    """200,000 distinct vectors in one task meet 1,500 categories: their scores together are 2.4 GB, a chunk's are 8 MB."""
+    def peak(batches):
+        import resource
+
+        import pyarrow as pa
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024])], ["mb"])
+
+    cats = spark.range(1500).selectExpr("concat('c', id) AS category", "cast(id AS int) AS rank", "array(cos(id / 1500), sin(id / 1500)) AS vec")
+    df = spark.range(0, 200_000, 1, 1).selectExpr("id", "array(cos((id % 1500) / 1500) * (1 + id), sin((id % 1500) / 1500) * (1 + id)) AS vec")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = nearest(df, "vec", cats, 0.9, block=block)
+        assert found.where("label <> concat('c', id % 1500)").count() == 0 and found.where("label is not null").count() == 200_000
+        peaks = spark.range(1).mapInArrow(peak, "mb long").collect()
+        assert all(r.mb < 1500 for r in peaks)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
