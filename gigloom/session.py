@@ -60,12 +60,17 @@ def remember(path: str) -> None:
     _settled.append(path)
 
 
-def drop_settled(spark: SparkSession) -> None:
-    """Delete this program's intermediate results once a run's outputs are written."""
-    for path in _settled:
+def remembered() -> list[str]:
+    """The folders that `drop_settled` would remove now."""
+    return list(_settled)
+
+
+def drop_settled(spark: SparkSession, only: list[str] | None = None) -> None:
+    """Delete this program's intermediate results once a run's outputs are written: all of them, or only those named."""
+    for path in list(_settled) if only is None else [p for p in only if p in _settled]:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    _settled.clear()
+        _settled.remove(path)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
