@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gigloom.llm import sketch
-from gigloom.llm.store import shipped, stored
+from gigloom.llm.store import shipped, spare, stored
 from gigloom.llm.words import pieces
 
 DIMS = 1 << 16
@@ -245,21 +245,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
     """
     shipped(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c not in (pred, score)]
+    keep, whole = [c for c in docs.columns if c not in (pred, score)], spare(docs, "_text")
 
     def run(batches):
         known = shared.value
-        for batch in _few(pieces(batches, "_text"), max(1, CELLS // max(1, len(known.langs)))):
-            texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
-            p = scores(batch, "_text", known) if known.langs else np.zeros((len(batch), 1))
+        for batch in _few(pieces(batches, whole), max(1, CELLS // max(1, len(known.langs)))):
+            texts = batch.column(batch.schema.get_field_index(whole)).to_pylist()
+            p = scores(batch, whole, known) if known.langs else np.zeros((len(batch), 1))
             best = p.argmax(axis=1) if len(batch) else np.zeros(0, int)
             good = [bool(known.langs) and t is not None and bool(_LETTER.search(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:-1], pa.array([known.langs[b] if g else "und" for b, g in zip(best, good)], pa.string()),
                 pa.array([float(p[i, b]) if g else 0.0 for i, (b, g) in enumerate(zip(best, good))], pa.float64())],
                 [*batch.schema.names[:-1], pred, score])
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text"))
-    schema = rows.drop("_text").schema.add(pred, "string").add(score, "double")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(whole))
+    schema = rows.drop(whole).schema.add(pred, "string").add(score, "double")
     return rows.mapInArrow(run, schema)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from gigloom.llm.store import shipped, stored
+from gigloom.llm.store import shipped, spare, stored
 from gigloom.llm.words import mix, pieces, place_values, words
 
 MIN_LINE = 5  # words of a line; shorter ones ("Yes.", "Chapter 1") repeat by chance
@@ -189,7 +189,9 @@ def _matched_grams(rows: DataFrame) -> DataFrame:
         seen[(r.k - 1) * len(r.bits):r.k * len(r.bits)] = r.bits
     shared = rows.sparkSession.sparkContext.broadcast(bytes(seen))
     met = stored(rows.mapInArrow(_around(shared), _AROUND).join(firsts, "digest"))
-    theirs = met.where("doc_id = first").groupBy("digest").agg(F.min(F.struct("place", "beside")).alias("one")).select("digest", F.col("one.beside").alias("theirs"))
+    # a table, so that the join can split a digest that a third of all documents have
+    theirs = stored(met.where("doc_id = first").groupBy("digest").agg(F.min(F.struct("place", "beside")).alias("one")).select(
+        "digest", F.col("one.beside").alias("theirs")))
     later = met.where("doc_id > first").join(theirs, "digest").select("doc_id", "place", "span", "beside", "steps", "theirs", "first")
     return later.mapInArrow(_widened, "doc_id long, span long, meta long, first long")
 
@@ -318,9 +320,11 @@ def _without(text: pd.Series, cuts: pd.Series) -> pd.Series:
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with its repeated passages cut out of `text`; rows and other columns stay as they are.
 
-    A text that loses nothing is unchanged to the byte. A text may end up empty.
+    A text that loses nothing is unchanged to the byte. A text may end up empty. Null texts and rows with a null id stay as they
+    are, rows that repeat an id and text are cut alike, an empty table stays empty. Other columns stay, whatever their names.
     """
-    cuts = repeated_passages(docs, doc_id, text).groupBy(F.col("doc_id").alias("_cut_id")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
-    joined = docs.join(cuts, docs[doc_id] == cuts["_cut_id"], "left")
-    return joined.withColumn(text, _without(F.col(text), F.col("_cuts"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    of, spans = spare(docs, "_cut_id"), spare(docs, "_cuts")
+    cuts = repeated_passages(docs, doc_id, text).groupBy(F.col("doc_id").alias(of)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans))
+    joined = docs.join(cuts, docs[doc_id] == cuts[of], "left")
+    return joined.withColumn(text, _without(F.col(text), F.col(spans))).select(*[F.col(f"`{c}`") for c in docs.columns])

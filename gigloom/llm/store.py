@@ -53,5 +53,13 @@ def stored(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, longer where `df` has a column of that name already (names count whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

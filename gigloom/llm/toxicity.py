@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gigloom.llm.store import shipped
+from gigloom.llm.store import shipped, spare
 from gigloom.llm.words import LOWER, pieces, place_values
 
 BUCKETS = 1 << 18
@@ -301,16 +301,16 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", score: str
     """
     shipped(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c != score]
+    keep, whole = [c for c in docs.columns if c != score], spare(docs, "_text")
 
     def run(batches):
         known = shared.value
-        for batch in pieces(batches, "_text"):
-            texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
+        for batch in pieces(batches, whole):
+            texts = batch.column(batch.schema.get_field_index(whole)).to_pylist()
             p = np.zeros(len(texts))
             if known is not None and texts:
                 x = worst(bags(texts), known.part, known.bias, len(texts))
                 p = np.where(np.isfinite(x), 1 / (1 + np.exp(-np.clip(known.slope * x + known.offset, -700, 700))), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p)], [*batch.schema.names[:-1], score])
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text"))
-    return rows.mapInArrow(run, rows.drop("_text").schema.add(score, "double"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(whole))
+    return rows.mapInArrow(run, rows.drop(whole).schema.add(score, "double"))

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 LONG = " ".join(f"word{i % 977}x{i % 31}" for i in range(60_000))
 TEXT = "one two three four five six seven eight nine ten eleven twelve"
 CLASHES = ["n", "h", "g", "l", "z", "row", "size", "digest", "span", "start", "end", "token", "tokens", "component", "component_id", "rep",
-           "score", "lang_pred", "bucket", "target", "taken", "base", "key", "host", "rule", "slice", "counts", "part", "word", "item_id"]
+           "score", "lang_pred", "bucket", "target", "taken", "base", "key", "host", "rule", "slice", "counts", "part", "word", "item_id",
+           "_text", "_cuts", "_cut_id", "_bin", "_lang_pred", "_lang_score", "_TEXT_", "content", "queries", "first", "lot", "doc", "chunk", "pair", "term", "df"]
 
 
 def clashing(df):

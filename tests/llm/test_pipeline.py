@@ -19,9 +19,20 @@ def test_stages_take_odd_rows(spark, name):
         out = stage(spark, docs, SF)
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.schema.names == docs.schema.names
+            assert {r["_lang_pred"] for r in out.select("_lang_pred").collect()} <= {"mine _lang_pred"}
         assert out.count() <= docs.count()
 
 
+def test_language_fills_what_is_null_and_chooses(spark):
+    rows = [(i, ("the cat sat on the mat and " if i % 2 else "der hund und die katze ") * 5, ("en" if i % 2 else "de") if i < 60 else None, "s", 1)
+            for i in range(70)] + [(99, "123", "en", "s", 1), (98, None, None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, SF).collect()}
+    assert out == {i: "en" if i % 2 else "de" for i in range(70)}
+    only = corpus_pipeline.known_language(spark, docs, SF, wanted=("de",)).collect()
+    assert {r.doc_id for r in only} == set(range(0, 70, 2))
+
+
 def test_stages_on_planted_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").where("lang = 'en'")
     item = spark.read.parquet(f"{SF}/benchmark.parquet").where("item_id = 2").first().text
