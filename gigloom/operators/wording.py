@@ -9,6 +9,7 @@ import math
 import sys
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -95,8 +96,76 @@ def weighted(a: str, b: str, floor: float = 0.0) -> float:
     return max(alike(a, b), scale * partial(a, b, floor / scale), 0.95 * scale * partial_tokens(a, b, floor / scale / 0.95))
 
 
+class Labels:
+    """A list of labels with what rules most of them out for a text before they are scored.
+
+    Without a shared word a score is at most what the characters that both have allow, whatever their order: 200 * shared /
+    (sum of the lengths) where whole texts are compared, 200 * shared / (shorter length + shared) where the shorter one meets a
+    stretch of the longer. Both hold for the texts as they are, with sorted words and with distinct words. An index by word gives
+    the labels that share one; of these, texts of like length are also compared by their shared words alone.
+    """
+
+    def __init__(self, labels, threshold: float):
+        self.labels, self.threshold = list(labels), threshold
+        self.at = {ch: i for i, ch in enumerate(sorted({ch for label in self.labels for ch in label}))}
+        self.by_word = {}
+        for i, label in enumerate(self.labels):
+            for w in set(label.split()):
+                self.by_word.setdefault(w, []).append(i)
+        forms = [self.forms(label) for label in self.labels]
+        self.counts = [np.array([f[k][0] for f in forms], np.int64).reshape(len(forms), len(self.at)) for k in range(3)]
+        self.lengths = [np.array([f[k][1] for f in forms], np.int64) for k in range(3)]
+
+    def forms(self, text: str):
+        """(characters that labels have, length) of a text as it is, with single spaces, and with distinct words."""
+        words = text.split()
+        out = []
+        for form in (text, " ".join(words), " ".join(set(words))):
+            count = [0] * len(self.at)
+            for ch in form:
+                if ch in self.at:
+                    count[self.at[ch]] += 1
+            out.append((count, len(form)))
+        return out
+
+    def near(self, text: str) -> list[int]:
+        """Places of the labels that can reach the threshold."""
+        if not text or not self.labels:
+            return []
+        whole = self.lengths[0]
+        stretch = np.maximum(whole, len(text)) / np.maximum(np.minimum(whole, len(text)), 1)
+        scale = np.where(stretch < 1.5, 0.0, np.where(stretch <= 8, 0.9, 0.6))
+        bound = np.zeros(len(self.labels))
+        for (count, length), counts, lengths in zip(self.forms(text), self.counts, self.lengths):
+            shared = np.minimum(counts, np.array(count, np.int64)).sum(axis=1)
+            shorter = np.minimum(lengths, length)
+            bound = np.maximum(bound, 200.0 * shared / np.maximum(lengths + length, 1))
+            bound = np.maximum(bound, scale * 200.0 * shared / np.maximum(shorter + shared, 1))
+        able = set(np.flatnonzero(bound >= self.threshold - 1e-6).tolist())
+        words = set(text.split())
+        for i in {i for w in words for i in self.by_word.get(w, ())} - able:
+            if stretch[i] < 1.5:  # the shared words against either side's distinct words
+                own = set(self.labels[i].split())
+                both = len(" ".join(words & own))
+                rest = min(len(" ".join(words)), self.lengths[2][i])
+                if words <= own or own <= words or 190.0 * both / (both + rest) >= self.threshold - 1e-6:
+                    able.add(i)
+            elif stretch[i] <= 8:
+                able.add(i)
+        return sorted(able)
+
+    def best(self, text: str) -> str | None:
+        """First of the labels with the highest score, or None below the threshold."""
+        best, top = None, math.nextafter(self.threshold, 0)
+        for i in self.near(text):
+            score = weighted(text, self.labels[i], top)
+            if score > top:
+                best, top = self.labels[i], score
+        return best
+
+
 def best_of(text: str, labels, threshold: float):
-    """First of the labels with the highest score, or None below the threshold."""
+    """First of the labels with the highest score, or None below the threshold; every label is scored."""
     best, top = None, math.nextafter(threshold, 0)
     for label in labels:
         score = weighted(text, label, top)
@@ -106,12 +175,12 @@ def best_of(text: str, labels, threshold: float):
 
 
 def closest_wording(c, labels, threshold: float = 85.0):
-    """Best label of a short fixed list per text; each distinct text of a batch is scored once."""
-    labels = list(labels)
+    """Best label of a short fixed list per text; each distinct text of a batch is scored once, with the labels that can win."""
+    held = Labels(labels, threshold)
 
     @F.pandas_udf("string")
     def best(texts: pd.Series) -> pd.Series:
-        found = {t: best_of(t, labels, threshold) for t in texts.dropna().unique()}
+        found = {t: held.best(t) for t in texts.dropna().unique()}
         return pd.Series([found.get(t) for t in texts], dtype=object)
 
     return best(F.col(c) if isinstance(c, str) else c)

@@ -51,3 +51,29 @@ def test_skipping_hopeless_labels_changes_no_answer():
         scores = [W.weighted(text, x) for x in V.LONG_DEPARTMENTS]
         want = V.LONG_DEPARTMENTS[scores.index(max(scores))] if max(scores) >= 85 else None
         assert W.best_of(text, V.LONG_DEPARTMENTS, 85) == want
+
+
+def titles():
+    import random
+    rnd = random.Random(7)
+    words = sorted({w for label in V.LONG_DEPARTMENTS for w in label.split()}) + "senior junior lead of and for manager trainee solar x".split()
+    out = [" ".join(rnd.choices(words, k=rnd.randint(1, 6))) for _ in range(150)]
+    for _ in range(250):  # labels with letters changed, lost, doubled and swapped, in other surroundings
+        t = list(rnd.choice(V.LONG_DEPARTMENTS))
+        for _ in range(rnd.randint(0, 5)):
+            i = rnd.randrange(len(t))
+            t[i:i + 1] = rnd.choice([[], [t[i], t[i]], [rnd.choice("abc e")], [t[i].swapcase()]]) or []
+            t = t or ["q"]
+        out.append(rnd.choice(["", "Senior ", "the "]) + "".join(t) + rnd.choice(["", "s", "  II", " (remote)"]))
+    return out + ["", " ", "q", "data data data data", "&", "a" * 300, "漢字", "A n a l y t i c s", "HR\tManager"]
+
+
+def test_ruled_out_labels_never_win():
+    held, pairs, scored = W.Labels(V.LONG_DEPARTMENTS, 85.0), 0, 0
+    for t in titles():
+        assert held.best(t) == W.best_of(t, V.LONG_DEPARTMENTS, 85.0), t
+        able = set(held.near(t))
+        assert all(W.weighted(t, label) < 85.0 for i, label in enumerate(V.LONG_DEPARTMENTS) if i not in able), t
+        pairs, scored = pairs + len(V.LONG_DEPARTMENTS), scored + len(able)
+    assert scored * 10 <= pairs, (scored, pairs)
+    assert W.Labels([], 85.0).best("x") is None
