@@ -189,8 +189,8 @@ def fit(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text")
     """Learn the languages of the rows where `learn` holds and lang isn't null.
 
     Every value of lang is learned. Document frequencies are of all those rows; weights are
-    learned on about SAMPLE of each language, chosen by a hash of the text, which the driver
-    holds as hashed features. With over DENSE languages it is as many fewer of each that the
+    learned on about SAMPLE distinct texts of each language, chosen by a hash of the text, which the
+    driver holds as hashed features; copies of a chosen text count once. With over DENSE languages it is as many fewer of each that the
     sample doesn't grow, but LEAST at least.
     """
     shipped(docs.sparkSession)
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text")
     df = sketch.total(seen.where("slice is not null").select("slice", "part", "counts"), DIMS + sketch.SLICES)
     idf = np.log((1.0 + df[DIMS]) / (1.0 + df[:DIMS])) + 1.0
     sample, place = [], {name: k for k, name in enumerate(langs)}
-    for r in seen.where("slice is null").select("lang", "found", "share").orderBy("lang", F.xxhash64("found")).toLocalIterator():
+    for r in seen.where("slice is null").select("lang", "found", "share").distinct().orderBy("lang", F.xxhash64("found")).toLocalIterator():
         i = np.frombuffer(r.found, np.int32)
         sample.append((place[r.lang], i, (np.frombuffer(r.share, np.float32) * idf[i]).astype(np.float32)))
     order = np.random.default_rng(11).permutation(len(sample))
