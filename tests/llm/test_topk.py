@@ -44,7 +44,23 @@ def test_matches_brute_force(spark, monkeypatch, block, group, queries):
 
 def test_few_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (100, [2.0]), (3, [-1.0]), (3, [-1.0])], "vec_id long, embedding array<double>")
-    got = {tuple(r) for r in nearest(df).collect()}
-    assert got == {(0, 1, 100, 2 * 1024**2), (0, 2, 3, -1024**2), (100, 1, 0, 2 * 1024**2), (100, 2, 3, -2 * 1024**2)}
+    got = sorted(tuple(r) for r in nearest(df).collect())
+    one = 1024**2
+    assert got == [(0, 1, 100, 2 * one), (0, 2, 3, -one), (0, 3, 3, -one), (100, 1, 0, 2 * one), (100, 2, 3, -2 * one), (100, 3, 3, -2 * one)]
     assert nearest(df.limit(0)).count() == 0
     assert nearest(df.where("vec_id = 0")).count() == 0
+
+
+@pytest.mark.parametrize("group", [16, 1])
+def test_rows_that_repeat_are_candidates_and_queries(spark, monkeypatch, group):
+    monkeypatch.setattr(topk, "GROUP", group)
+    rng = random.Random(4)
+    rows = [(i % 40, [float(rng.randrange(3)) for _ in range(3)]) for i in range(200)] + [(0, [1.0, 1.0, 2.0])] * 15
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in nearest(df, k=4, every=10).collect())
+    want = []
+    for i, (q, a) in enumerate(rows):
+        if q % 10 == 0:
+            near = sorted((-sum(math.floor(1024 * x) * math.floor(1024 * y) for x, y in zip(a, b)), v) for j, (v, b) in enumerate(rows) if j != i)[:4]
+            want += [(q, rank, v, -s) for rank, (s, v) in enumerate(near, 1)]
+    assert got == sorted(want)
