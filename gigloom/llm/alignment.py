@@ -35,6 +35,9 @@ FAN = 128  # runs merged together
 HELD, HELD_BYTES = 400_000, 1 << 24  # stretches of text, and bytes of them, whose tokens are remembered
 LEARNED = 8192  # stretches that are aligned at a time
 
+# fixed value: how byte-level vocabularies of this kind cut a text before merging
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 # every stretch but a text's first begins with a space after something else than white space: no token of either side spans
 # such a place, so stretches are encoded and aligned apart
 _BREAK = re.compile(r" (?<=\S )")
@@ -74,10 +77,9 @@ class Aligner:
     all at once when there are many."""
 
     def __init__(self, a: Tokenizer, b: Tokenizer):
-        import public_tokenizers
         import tiktoken
         ranks = byte_ranks(a)
-        self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = b.load()
         self.bytes_a, self.bytes_b = _table(dict(zip(ranks.values(), ranks))), _table(dict(enumerate(map(self._piece, range(self.b.get_piece_size())))))
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
