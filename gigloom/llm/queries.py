@@ -130,7 +130,7 @@ SELECT page_id, url, text, length(text) AS n_chars FROM t"""
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold 80% or more of a test item's 5-word shingles."""
+    """Documents that hold 80% or more of a test item's 5-word shingles, or all words in a row of a shorter item."""
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
@@ -138,8 +138,12 @@ def _shingled_lower(table: str, key: str) -> str:
     return _shingled(5, table, key).replace(_LOWER, "lower(text)")
 
 
-OP10_SQL = f"""WITH d AS MATERIALIZED {_shingled_lower('documents', 'doc_id')}, i AS MATERIALIZED {_shingled_lower('benchmark', 'item_id')},
-q AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
+OP10_SQL = f"""WITH w AS MATERIALIZED (SELECT doc_id, {_WORDS.replace(_LOWER, "lower(text)")} AS w FROM documents),
+i AS MATERIALIZED {_shingled_lower('benchmark', 'item_id')},
+q AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id),
+k AS (SELECT DISTINCT len(string_split(s, ' ')) AS k FROM i),
+d AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+  FROM w, k WHERE len(w) >= k)
 SELECT d.doc_id, i.item_id, q.n AS n_item_shingles, count(*) AS n_found, count(*) / q.n AS containment
 FROM d JOIN i ON d.s = i.s JOIN q ON q.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, q.n HAVING 100 * count(*) >= 80 * q.n"""
