@@ -1,4 +1,4 @@
-"""Templates of public license notices."""
+"""Templates of public license notices, and the words without which a license isn't the one named."""
 
 # Wordings of public licenses and of the usual one-line notices.
 TEMPLATES = {
@@ -25,18 +25,136 @@ any later version. This program is distributed in the hope that it will be usefu
 the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
 details. You should have received a copy of the GNU General Public License along with this program. If not, see
 <https://www.gnu.org/licenses/>.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the
+GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as
+published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the
+GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.""",
+    "LGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the
+GNU Lesser General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the
+GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.""",
     "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
 that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
 of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
 this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
 distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
 WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
-ARE DISCLAIMED.""",
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF
+ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF
+ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-    "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO
+THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO
+THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.""",
+    "MIT-0": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED
+"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this
+software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the
+benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act
+of relinquishment in perpetuity of all present and future rights to this software under copyright law.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is
+not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+software. 3. This notice may not be removed or altered from any source distribution.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following""",
+    "WTFPL": """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it
+is allowed as long as the name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING,
+DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO.""",
+    "PostgreSQL": """Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without
+fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the
+following two paragraphs appear in all copies.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights to this
+work. CC0 1.0 Universal""",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSD notice": "Released under the BSD License.",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
 not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
+
+# What a notice of a license has and one of its neighbours lacks. All phrases of a license must stand in a match.
+REQUIRED = {
+    "MIT notice": ("MIT",),
+    "BSD notice": ("BSD",),
+    "MIT": ("the above copyright notice and this permission notice shall be included in all copies or substantial portions",),
+    "Apache-2.0 notice": ("Apache License, Version 2.0",),
+    "Apache-2.0": ("Apache License, Version 2.0",),
+    "GPL-3.0 notice": ("GNU General Public License", "version 3"),
+    "GPL-2.0 notice": ("GNU General Public License", "version 2"),
+    "LGPL-3.0 notice": ("GNU Lesser General Public License", "version 3"),
+    "AGPL-3.0 notice": ("GNU Affero General Public License", "version 3"),
+    "GPL-3.0-or-later": ("GNU General Public License", "version 3", "any later version"),
+    "GPL-2.0-or-later": ("GNU General Public License", "version 2", "any later version"),
+    "LGPL-2.1-or-later": ("GNU Lesser General Public License", "version 2.1", "any later version"),
+    "LGPL-3.0-or-later": ("GNU Lesser General Public License", "version 3", "any later version"),
+    "AGPL-3.0-or-later": ("GNU Affero General Public License", "version 3", "any later version"),
+    "BSD-3-Clause": ("may be used to endorse or promote products derived from this software without specific prior written permission",),
+    "ISC": ("provided that the above copyright notice and this permission notice appear in all copies",),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0",),
+    "EPL-2.0": ("Eclipse Public License 2.0",),
+    "CC0-1.0": ("CC0 1.0",),
+}
+
+# The kinds of Creative Commons licenses, and what their versions are called.
+CC_KINDS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+            "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+CC_VERSIONS = {"3.0": "Unported", "4.0": "International"}
+
+for _kind, _name in CC_KINDS.items():
+    for _version, _range in CC_VERSIONS.items():
+        TEMPLATES[f"CC-{_kind}-{_version}"] = f"This work is licensed under a Creative Commons {_name} {_version} {_range} License."
+        REQUIRED[f"CC-{_kind}-{_version}"] = (f"Creative Commons {_name} {_version}",)
+        TEMPLATES[f"CC-{_kind}-{_version} notice"] = f"Licensed under CC {_kind} {_version}."
+        REQUIRED[f"CC-{_kind}-{_version} notice"] = (f"CC {_kind} {_version}",)

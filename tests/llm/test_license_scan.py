@@ -38,6 +38,29 @@ def test_edited_notices(spark):
     assert not [k for k in got if k[0] == 3]
 
 
+def test_neighbours_are_told_apart(spark):
+    """Every template's text has its own name and no other, also with words of its own before and after."""
+    names = sorted(TEMPLATES)
+    got = {}
+    for r in licenses(spark.createDataFrame([(i, f"some words first {TEMPLATES[n]} and others after") for i, n in enumerate(names)],
+                                            "doc_id long, text string")).collect():
+        got.setdefault(names[r.doc_id], []).append(r.license)
+    assert got == {n: [n] for n in names}
+
+
+def test_notices_of_unknown_versions_have_no_name(spark):
+    gpl = TEMPLATES["GPL-3.0-or-later"]
+    texts = ["This work is licensed under the GNU General Public License, version 2.", "Licensed under CC BY 4.0.", "Licensed under CC BY 2.5.",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+             "Released under the Artistic License.", gpl.replace("version 3", "version 9"), gpl.replace("GNU General", "GNU Lesser General"),
+             TEMPLATES["BSD-3-Clause"].replace("holder nor", "owner nor"), f"{TEMPLATES['MIT']}\n{TEMPLATES['Apache-2.0']}"]
+    got = {}
+    for doc, name in found(spark, texts):
+        got.setdefault(doc, set()).add(name)
+    assert got == {0: {"GPL-2.0 notice"}, 1: {"CC-BY-4.0 notice"}, 3: {"CC-BY-NC-4.0"}, 6: {"LGPL-3.0-or-later"}, 7: {"BSD-3-Clause"},
+                   8: {"MIT", "Apache-2.0"}}
+
+
 def test_words_inserted_into_a_notice(spark):
     words = TEMPLATES["MIT"].split()
     half, third = len(words) // 2, len(words) // 3
