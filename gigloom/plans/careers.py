@@ -20,10 +20,10 @@ def page_facts(pages: DataFrame) -> DataFrame:
     keep = [c for c in pages.columns if c not in ("html", "status")]
 
     def anchor(d, a):
-        link = urls.link_from(F.col("url"), a["attrs"]["href"])
-        text = P.shown(P.within(d, a))
-        return F.struct(link.alias("link"), rules.is_job_link(link, text).alias("jobish"),
-                        rules.on_platform(link).alias("platform"))
+        # the rules name link and text once for each of their words, so both are built first
+        said = F.struct(urls.link_from(F.col("url"), a["attrs"]["href"]).alias("link"), P.shown(P.within(d, a)).alias("text"))
+        return let(said, lambda x: F.struct(x["link"].alias("link"), rules.is_job_link(x["link"], x["text"]).alias("jobish"),
+                                            rules.on_platform(x["link"]).alias("platform")))
 
     dom = F.col("dom")
     anchors = F.transform(F.filter(P.pick(dom, P.el("a")), lambda n: F.coalesce(n["attrs"]["href"], F.lit("")) != ""),
@@ -43,24 +43,34 @@ def guesses(sites: DataFrame, stage: int, careers: bool = False) -> DataFrame:
     """Direct path candidates of each site, ranked in path order."""
     paths = F.array(*[F.lit(p) for p in urls.path_guesses()])
     root = urls.careers_host("base") if careers else F.col("base")
-    return sites.select("list_id", root.alias("root"), F.posexplode(paths).alias("pos", "path")).select(
+    return spread(sites).select("list_id", root.alias("root"), F.posexplode(paths).alias("pos", "path")).select(
         "list_id", F.concat("root", "path").alias("url"), F.lit(stage).alias("stage"),
         F.array("pos").alias("rank"), F.lit("direct").alias("how"))
 
 
-def judged(candidates: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(facts of the candidates' pages by address key, candidates whose page passes).
+def addresses(pages: DataFrame) -> DataFrame:
+    """The address keys of all fetched pages, written once: what every round asks before it reads markup."""
+    return settled(P.fetched(pages).select(urls.key("url").alias("_key")).where(F.col("_key").isNotNull()).distinct())
 
-    Only the latest captures of these addresses are read and parsed.
+
+def judged(candidates: DataFrame, pages: DataFrame, landed: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(facts of all pages read so far by address key, candidates whose page passes).
+
+    Candidates without a landed page go first, by address alone. Of the others only the latest
+    captures are read and parsed, and only those that no earlier round has (`known`).
     """
-    candidates = candidates.withColumn("_key", urls.key("url"))
-    held = P.captures(pages, candidates.select("_key"), address=urls.key)
-    facts = page_facts(held).withColumn("_key", urls.key("url")).select("_key", "next", "confidence", "reason")
+    held = settled(lookup_join(candidates.withColumn("_key", urls.key("url")), landed, "_key", "left_semi", spread_by=["list_id"]))
+    fresh = held.select("_key").distinct()
+    if known is not None:
+        fresh = fresh.join(known.select("_key"), "_key", "left_anti")
+    facts = page_facts(P.captures(pages, fresh, address=urls.key))
+    facts = facts.withColumn("_key", urls.key("url")).select("_key", "next", "confidence", "reason")
     facts = settled(dedupe(facts, ["_key"], ["confidence", "reason"]))
+    facts = facts if known is None else known.unionByName(facts)
     passing = facts.where(F.col("confidence") >= ACCEPTED).select("_key", "confidence", "reason")
-    hits = lookup_join(candidates, passing, "_key", "inner", spread_by=["list_id"], salts=salts_of(candidates))
-    return facts, settled(hits.select("list_id", F.col("url").alias("careers_url"), "stage", "rank", "confidence",
-                                      F.concat_ws(":", "how", "reason").alias("method")))
+    hits = lookup_join(held, passing, "_key", "inner", spread_by=["list_id"], salts=salts_of(candidates))
+    return facts, hits.select("list_id", F.col("url").alias("careers_url"), "stage", "rank", "confidence",
+                              F.concat_ws(":", "how", "reason").alias("method"))
 
 
 def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
@@ -69,15 +79,17 @@ def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
     Direct paths come first, then a breadth-first crawl from the homepage over job-like links,
     then the careers subdomain. Each round reads pages for companies that an earlier one has
     not settled: paths and homepages, then links and subdomains, then deeper links. In the
-    crawl an address counts at its first place in the queue and is not followed twice.
+    crawl an address counts at its first place in the queue and is not followed twice, and no
+    page is read in two rounds.
     """
     def crawled(level, depth):
         return level.select("list_id", "url", F.lit(1).alias("stage"), F.concat(F.array(F.lit(depth)), "rank").alias("rank"),
                             F.lit(f"depth-{depth}").alias("how"))
 
+    landed = addresses(pages)
     level = sites.select("list_id", F.col("base").alias("url"), F.array(F.lit(0)).alias("rank"))
     every = level.select("list_id", urls.key("url").alias("_key"))
-    facts, hits = judged(guesses(sites, 0).unionByName(crawled(level, 0)), pages)
+    facts, hits = judged(guesses(sites, 0).unionByName(crawled(level, 0)), pages, landed)
     for depth in range(1, max_depth + 1):
         done = hits.where("stage < 2").select("list_id").distinct()
         here = lookup_join(level.join(done, "list_id", "left_anti").withColumn("_key", urls.key("url")),
@@ -85,12 +97,12 @@ def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
         reached = here.select("list_id", "rank", F.posexplode("next").alias("pos", "url")).select(
             "list_id", "url", urls.key("url").alias("_key"), F.concat("rank", F.array("pos")).alias("rank"))
         reached = dedupe(reached, ["list_id", "_key"], ["rank"], "first").join(every, ["list_id", "_key"], "left_anti")
-        level = settled(reached.select("list_id", "url", "rank"))
+        level = spread(settled(reached.select("list_id", "url", "rank")))
         every = every.union(level.select("list_id", urls.key("url")))
         candidates = crawled(level, depth)
         if depth == 1:
             candidates = candidates.unionByName(guesses(sites.join(done, "list_id", "left_anti"), 2, careers=True))
-        facts, more = judged(candidates, pages)
+        facts, more = judged(candidates, pages, landed, facts)
         hits = hits.unionByName(more)
     return pick_first(hits, "list_id", ["stage", "rank"], ["careers_url", "confidence", "method"])
 
