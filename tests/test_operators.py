@@ -8,8 +8,9 @@ from gigloom.functions import fixed_values as V
 from gigloom.operators import keys as K
 from gigloom.operators import merge as M
 from gigloom.operators.match import nearest
-from gigloom.plans import publish
+from gigloom.plans import careers, publish
 from gigloom.session import settled, shared_dir
+from gigloom.sources import pages as P
 from gigloom.sources import tables as T
 from gigloom.streaming.incremental import append_new
 
@@ -223,3 +224,23 @@ def test_nearest_holds_a_chunk_of_many_vectors(spark, block):
         assert all(r.mb < 1500 for r in peaks)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_careers_search_reads_each_page_once(spark, monkeypatch):
+    """A page that one company reaches in the first round of links and another in the second is parsed once and counts for both."""
+    def a(to):
+        return f"<p><a href='{to}'>Jobs</a></p>"
+    pages = spark.createDataFrame([
+        ("https://a.x/", a("/team"), 200), ("https://a.x/team", a("https://acme.keka.com/careers"), 200),
+        ("https://b.x", a("/x"), 200), ("https://b.x/x", a("https://a.x/team#top"), 200), ("https://b.x/jobs", "gone", 404),
+        ("https://c.x", a("/none"), 200)], "url string, html string, status int")
+    sites = spark.createDataFrame([(1, "https://a.x"), (2, "https://b.x"), (3, "https://c.x"), (4, "https://d.x"), (5, None)], "list_id long, base string")
+    read, own = [], P.captures
+
+    def spied(pages, wanted, **how):
+        read.append({r[0] for r in wanted.collect()})
+        return own(pages, wanted, **how)
+    monkeypatch.setattr(P, "captures", spied)
+    got = {r.list_id: (r.careers_url.split("#")[0], r.confidence, r.method) for r in careers.search(sites, pages).collect()}
+    assert got == {1: ("https://a.x/team", 0.9, "depth-1:links-to-ats"), 2: ("https://a.x/team", 0.9, "depth-2:links-to-ats")}
+    assert read == [{"https://a.x", "https://b.x", "https://c.x"}, {"https://a.x/team", "https://b.x/x"}, set()]
