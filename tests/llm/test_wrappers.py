@@ -86,6 +86,75 @@ def test_names_made_of_words_of_the_text_are_not_furniture():
     assert text_of(page) == ["Related work\nA social word\nLoops\nOn comments\nBanners"]
 
 
+def test_a_page_wide_form_or_layout_name_empties_no_page():
+    text = "<h1>Head</h1><p>Some words of a page</p><p>More of them</p>"
+    search = "<div><form><p>Search here</p></form></div>"
+    for page in (f"<body><form action='x'>{text}</form></body>", f"<body><form><nav>Menu</nav><article>{text}</article></form></body>",
+                 f"<body><div class='content-banner-wrapper'>{text}</div><footer>f</footer></body>",
+                 f"<body><div role='banner'><div class='promo'>{text}</div></div></body>"):
+        assert text_of(page) == ["Head\nSome words of a page\nMore of them"]
+        pages = [page.replace("Some", f"{i} other").replace("More of them", f"Line {i}") for i in range(4)]
+        assert [t.split("\n")[-2:] for t in text_of(*pages)] == [[f"{i} other words of a page", f"Line {i}"] for i in range(4)]
+    assert text_of(f"<body>{search}<div>{text * 3}</div></body>") == ["\n".join(["Head\nSome words of a page\nMore of them"] * 3)]
+    assert text_of(f"<body>{search}<article><p>x</p></article></body>") == ["x"]
+    assert text_of("<body><div class='cookie-notice'><p>We use cookies</p></div><nav>Menu</nav></body>") == [""]
+
+
+def test_an_articles_own_header_stays():
+    page = ("<body><header><h1>Site</h1></header><article><header class='post-header'><h1>Head</h1><p>Standfirst</p></header><p>x</p>"
+            "<header><nav>Menu</nav></header></article></body>")
+    assert text_of(page) == ["Head\nStandfirst\nx"]
+
+
+def test_a_teaser_article_beside_the_text():
+    def page(i):
+        return (f"<body><article class='lead'><p>Read {i}</p></article><div id='main'><h1>Head {i}</h1>"
+                f"<p>Page {i} says much more than its teaser does.</p><p>It goes on for {i} lines.</p></div></body>")
+    for n in (1, 5):
+        assert text_of(*map(page, range(n))) == [f"Head {i}\nPage {i} says much more than its teaser does.\nIt goes on for {i} lines." for i in range(n)]
+    links = "".join(f"<div class='link'>A link to page number {i}</div>" for i in range(50))
+    assert text_of(f"<body><article><p>Short</p></article>{links}</body>") == ["Short"]
+
+
+def test_the_hosts_wrapper_changes_the_result():
+    """A sentence that all pages of a host have in their articles is template; by its own wrapper a page keeps it."""
+    pages = [f"<body><article><h1>Head {i}</h1><p>Words of page {i}</p><p>Write to us at any time.</p></article></body>" for i in range(4)]
+    assert text_of(*pages) == [f"Head {i}\nWords of page {i}" for i in range(4)]
+    assert [text_of(p)[0] for p in pages] == [f"Head {i}\nWords of page {i}\nWrite to us at any time." for i in range(4)]
+    kept = [f"<body><article><h2>What you get from us</h2><p>Words of {i}</p><table><tr><td>Yes</td><td>{i}</td></tr></table></article></body>" for i in range(4)]
+    assert text_of(*kept) == [f"What you get from us\nWords of {i}\nYes\n{i}" for i in range(4)]
+    same = [f"<body><article><p>All alike</p></article><aside>{i}</aside><div>{i}</div></body>" for i in range(4)]
+    assert text_of(*same) == ["All alike"] * 4
+
+
+def size(nodes):
+    return sum(1 + size(n[6]) for n in nodes)
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_generated_class_names_make_no_large_wrapper(nested):
+    def names(i):
+        return [f"css-{''.join(chr(97 + (i * 31 + k * 7 + j * (i + 3)) % 26) for j in range(8))}" for k in range(30)]
+
+    def page(i):
+        if nested:
+            return "<body><article>" + "".join(f"<div class='{c}'>" for c in names(i)) + f"<p>Text {i}</p>" + "</div>" * 30 + "</article></body>"
+        return "<body><article>" + "".join(f"<div class='{c}'><p>Text {i}</p></div>" for c in names(i)) + "</article></body>"
+    start, sizes, wrapper = time.time(), [], W.expression(page(0))
+    for i in range(1, 300):
+        wrapper = W.aligned(wrapper, W.expression(page(i)))
+        sizes.append(size(wrapper))
+    assert time.time() - start < 4 and sizes[-1] <= max(sizes[:100]) < 6000
+    known = W.rule(wrapper, 300)
+    assert all(W.main_text(page(i), known) == "\n".join([f"Text {i}"] * (1 if nested else 30)) for i in range(0, 300, 7))
+
+
+def test_articles_below_any_depth():
+    page = "<body>" + "<div>" * 300 + "<article><p>x</p></article><p>other</p>" + "</div>" * 300 + "</body>"
+    shallow = "<body><article><p>y</p></article></body>"
+    assert text_of(page, shallow) == ["x", "y"]
+
+
 def test_unclosed_article_keeps_its_text():
     assert text_of("<body><article><h1>a</h1><p>b") == ["a\nb"]
 
