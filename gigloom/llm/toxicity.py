@@ -1,14 +1,16 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the bag of its character n-grams (3 to 5 bytes, with the blank before and after it)
-and of itself, hashed to BUCKETS embeddings; so a misspelling shares most of its vectors with
+A word is the bag of its character n-grams (3, 4, 6 and 8 bytes, with the blank before and after
+it, so stems of letters that take two bytes are among them) and of itself, hashed to BUCKETS embeddings; so a misspelling shares most of its vectors with
 the word it stands for. A window of WINDOW words is the average of its subwords' embeddings, and
 a linear softmax over it tells the window's class. A text is as toxic as its worst window: one
 insult in a long text counts as much as in a short one.
 
 Labels are of texts, so training chooses windows: first every window has its text's label, then
-only the windows that already stand out in a toxic text do. A two-parameter logistic fit on
-texts that weren't trained on turns the worst window into a probability.
+only the windows that already stand out in a toxic text do. FOLDS models score the texts they
+haven't learned from; a logistic fit on these, above a floor for texts that are labelled toxic
+without a sign of it, turns the worst window into a probability. The model that scores learns from
+all texts.
 """
 
 from __future__ import annotations
@@ -23,9 +25,10 @@ from pyspark.sql import functions as F
 from gigloom.llm.store import shipped, spare
 from gigloom.llm.words import LOWER, pieces, place_values
 
-BUCKETS = 1 << 18
+BITS = 19
+BUCKETS = 1 << BITS
 DIM = 16
-ORDERS = (3, 4, 5)
+ORDERS = (3, 4, 6, 8)
 WINDOW = 8
 SAMPLE = 1500  # labelled texts of each class that are learned from, about; they are chosen by a hash of the id
 BYTES = 6 << 20  # of the texts of each class in the sample, about: it bounds what the driver holds
@@ -34,6 +37,8 @@ PIECE = 2000  # code points of such a piece
 CUT = 1 << 18  # code points of the texts that are cut into subwords at a time
 RATE, BATCH = 0.1, 128
 ROUNDS = 6
+FOLDS = 2
+FLOORS = (0.0, 0.002, 0.005, 0.01, 0.02, 0.03, 0.05, 0.1)  # parts of toxic labels without a sign that the fit chooses from
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -77,13 +82,13 @@ def bags(texts: list[str | None]) -> Bags:
             inner = inner[:m] & ~blank[n - 2:n - 2 + m]
         if n in ORDERS:
             i = np.flatnonzero(inner & ~blank[1:1 + m])
-            found.append((h[i] * np.uint32(0x9E3779B1)) >> np.uint32(32 - 18))
+            found.append((h[i] * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))
             owner.append(word[i + 1])
     up, down = place_values(len(raw))
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(7)) * up[:len(raw)], out=sums[1:])
     whole = (sums[ends] - sums[begins]) * down[begins]
-    found.append(((whole * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 18)).astype(np.uint32))
+    found.append(((whole * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)).astype(np.uint32))
     owner.append(np.arange(len(begins)))
     return Bags(np.concatenate(found).astype(np.int32), np.concatenate(owner).astype(np.int32), row)
 
@@ -96,6 +101,12 @@ class Model:
     bias: float
     slope: float
     offset: float
+    floor: float = 0.0
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        """Of the worst windows' logits; 0 where a text has no words."""
+        p = self.floor + (1 - self.floor) / (1 + np.exp(-np.clip(self.slope * x + self.offset, -700, 700)))
+        return np.where(np.isfinite(x), p, 0.0)
 
 
 def worst(b: Bags, part: np.ndarray, bias: float, rows: int) -> np.ndarray:
@@ -156,17 +167,31 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
     labels = np.asarray(labels, np.int64)
     if len(set(labels.tolist())) < 2:
         return None
+    windows = _windows(texts)
+    fold = np.zeros(len(texts), np.int64)
+    for y in (0, 1):  # the same part of each class in each fold
+        fold[labels == y] = np.arange((labels == y).sum()) % FOLDS
+
+    def taught(use):
+        part, bias = _embedded(windows, labels, use)
+        return part, bias, np.concatenate([worst(bags(texts[i:j]), part, bias, j - i) for i, j in _few(texts)])
+    part, bias, highest = taught(np.ones(len(texts), bool))
+    if min(np.bincount(labels)) >= FOLDS:
+        for k in range(FOLDS):
+            highest = np.where(fold == k, taught(fold != k)[2], highest)
+    return Model(part.astype(np.float32), bias, *_logistic(highest, labels))
+
+
+def _embedded(windows: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, float]:
+    """(each subword's part of a logit, bias) of embeddings and softmax, learned from the texts in `use`."""
+    bucket, at, row = windows
     rng = np.random.default_rng(5)
-    bucket, at, row = _windows(texts)
-    aside = np.arange(len(texts)) % 5 == 0
-    if len(set(labels[aside].tolist())) < 2 or len(set(labels[~aside].tolist())) < 2:
-        aside = np.zeros(len(texts), bool)
     # embeddings start at zero, and one that a single text has stays there: what is rare or unseen says nothing
     emb = np.zeros((BUCKETS, DIM), np.float32)
     shared = _in_several(bucket, row[np.repeat(np.arange(len(row)), np.diff(at))])
     top = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    positive, used = labels[row] == 1, ~aside[row]
+    positive, used = labels[row] == 1, use[row]
     target = positive.copy()  # of each window
     trained = used.copy()
     past = np.full(BUCKETS, 1e-8, np.float32)  # squared gradients of each embedding, so that rare subwords move as far as frequent ones
@@ -202,14 +227,11 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
             past[which] += (step * step).mean(axis=1)
             emb[which] -= RATE * step / np.sqrt(past[which])[:, None]
         logit = _logits(emb, top, bias, bucket, at)
-        best = np.full(len(texts), -np.inf)
+        best = np.full(len(labels), -np.inf)
         np.maximum.at(best, row, logit)
         target = positive & ((logit >= best[row]) | (logit > 2.0))  # each toxic text's worst window, and all that are plainly toxic
         trained = used & (target | ~positive)
-    part = emb @ (top[:, 1] - top[:, 0])
-    highest = np.concatenate([worst(bags(texts[i:j]), part, float(bias[1] - bias[0]), j - i) for i, j in _few(texts)])
-    slope, offset = _logistic(highest, labels, aside if aside.any() else ~aside)
-    return Model(part.astype(np.float32), float(bias[1] - bias[0]), slope, offset)
+    return emb @ (top[:, 1] - top[:, 0]), float(bias[1] - bias[0])
 
 
 def _in_several(bucket: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -228,20 +250,31 @@ def _logits(emb, top, bias, bucket, at) -> np.ndarray:
     return np.add.reduceat(part[bucket], at[:-1]) / np.diff(at) + bias[1] - bias[0]
 
 
-def _logistic(x: np.ndarray, labels: np.ndarray, use: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit, with the class targets pulled in as in Platt scaling."""
-    use = use & np.isfinite(x)
-    x, y = x[use], labels[use].astype(float)
+def _logistic(x: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
+    """Slope, offset and floor of a logistic fit, with the class targets pulled in as in Platt scaling.
+
+    The floor is the part of toxic labels that no window explains: of FLOORS the one under which
+    the labels are likeliest. Each turn weighs a toxic label by how likely it is due to the words.
+    """
+    x, y = x[np.isfinite(x)], labels[np.isfinite(x)].astype(float)
     ones, zeros = y.sum(), (1 - y).sum()
     goal = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     m, s = x.mean(), x.std() + 1e-9
     u = np.stack([(x - m) / s, np.ones(len(x))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(u @ w, -30, 30)))
-        hess = (u * (p * (1 - p))[:, None]).T @ u + 1e-3 * np.eye(2)
-        w = w - np.linalg.solve(hess, u.T @ (p - goal) + 1e-3 * w)
-    return float(max(w[0], 1e-6) / s), float(w[1] - max(w[0], 1e-6) * m / s)
+    best = (-np.inf, 1.0, 0.0, 0.0)
+    for floor in FLOORS:
+        w = np.array([4.0, -2.0])
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(u @ w, -30, 30)))
+            target = goal * np.where(y > 0, p / (p + floor * (1 - p)), 1.0)
+            hess = (u * (p * (1 - p))[:, None]).T @ u + 1e-2 * np.eye(2)
+            w = w - np.clip(np.linalg.solve(hess, u.T @ (p - target) + 1e-3 * w), -1, 1)
+        w[0] = max(w[0], 1e-6)
+        p = floor + (1 - floor) / (1 + np.exp(-np.clip(u @ w, -30, 30)))
+        likely = float(np.sum(y * np.log(p) + (1 - y) * np.log(1 - p)))
+        if likely > best[0]:
+            best = likely, float(w[0]) / s, float(w[1] - w[0] * m / s), floor
+    return best[1:]
 
 
 def _sampled(batches):
@@ -262,7 +295,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_id
 
     The ids are chosen first, by a hash, so the texts of the others are never moved. Of the chosen
     texts, short and long, those first by the hash are learned from until a class has BYTES. A
-    repeated id has the highest of its labels; null labels and ids don't count.
+    repeated id has the highest of its labels; null labels and ids don't count. A text of over LONG
+    code points teaches by pieces of its whole length. Without labelled texts of both classes, in
+    an empty table too, there is no model; other columns, clashing names too, are not read.
     """
     shipped(docs.sparkSession)
     marked = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(
@@ -309,8 +344,7 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", score: str
             texts = batch.column(batch.schema.get_field_index(whole)).to_pylist()
             p = np.zeros(len(texts))
             if known is not None and texts:
-                x = worst(bags(texts), known.part, known.bias, len(texts))
-                p = np.where(np.isfinite(x), 1 / (1 + np.exp(-np.clip(known.slope * x + known.offset, -700, 700))), 0.0)
+                p = known.probability(worst(bags(texts), known.part, known.bias, len(texts)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p)], [*batch.schema.names[:-1], score])
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(whole))
     return rows.mapInArrow(run, rows.drop(whole).schema.add(score, "double"))

@@ -33,8 +33,7 @@ def model():
 
 
 def score(model, found):
-    x = worst(bags(found), model.part, model.bias, len(found))
-    return 1 / (1 + np.exp(-(model.slope * x + model.offset)))
+    return model.probability(worst(bags(found), model.part, model.bias, len(found)))
 
 
 def test_held_out(model):
@@ -95,3 +94,28 @@ def test_odd_rows(spark):
     assert fit(no_documents(spark), labels, F.lit(True)) is None
     assert fit(docs, labels.limit(0), F.lit(True)) is None
     assert {r.score for r in scored(odd, None).collect()} == {0.0}
+
+
+def test_labels_without_a_sign_dont_flatten_the_probability():
+    """Toxic labels on texts that look clean are the floor's, so the others still score high."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(-6, 1.2, 900), rng.normal(3, 1.2, 90), rng.normal(-6, 1.2, 10)])
+    y = np.concatenate([np.zeros(900), np.ones(100)]).astype(int)
+    slope, offset, floor = toxicity._logistic(x, y)
+    model = toxicity.Model(np.zeros(1), 0.0, slope, offset, floor)
+    p = model.probability(np.array([-np.inf, -6.0, 1.0, 3.0]))
+    assert 0.005 <= floor <= 0.03 and p[0] == 0 and 0.005 <= p[1] < 0.05 and p[2] > 0.7 and p[3] > 0.97
+    assert toxicity.Model(np.zeros(1), 0.0, *toxicity._logistic(x[:990], y[:990])).floor == 0
+
+
+def test_stems_of_long_letters_are_learned():
+    """Words are told apart by stems of several two-byte letters; new endings share them."""
+    rng = np.random.default_rng(6)
+
+    def text(stem):
+        return " ".join("".join(rng.choice(list("éèêàç"), 5)) for _ in range(12)) + (f" réeux{''.join(rng.choice(list('abdfg'), 4))}" if stem else "")
+    labels = np.arange(400) % 4 == 0
+    model = train([text(y) for y in labels], labels.astype(int))
+    new = [text(i % 2 == 0) for i in range(60)]
+    p = model.probability(worst(bags(new), model.part, model.bias, 60))
+    assert ((p >= 0.7) == (np.arange(60) % 2 == 0)).mean() >= 0.95
