@@ -188,7 +188,7 @@ def _embedded(windows: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.nda
     rng = np.random.default_rng(5)
     # embeddings start at zero, and one that a single text has stays there: what is rare or unseen says nothing
     emb = np.zeros((BUCKETS, DIM), np.float32)
-    shared = _in_several(bucket, row[np.repeat(np.arange(len(row)), np.diff(at))])
+    shared = _in_several(bucket, np.repeat(row.astype(np.int32), np.diff(at)))
     top = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     positive, used = labels[row] == 1, use[row]
