@@ -2,10 +2,12 @@
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from gigloom.llm import lattice_lm
 from gigloom.llm.lattice_lm import Lattice, Level, Model, scored, vocabulary, VOCABULARY
 from tests.llm.odd import no_documents, odd_documents
 
@@ -101,3 +103,69 @@ def test_odd_rows(spark):
     assert scored(no_documents(spark), F.lit(True)).count() == 0
     alone = scored(odd_documents(spark), F.lit(False)).collect()
     assert {(r.n_known, r.train_tokens) for r in alone} == {(0, 0)} and all(np.isfinite(r.score) for r in alone)
+
+
+def segmented(word, p):
+    """All segmentations of a word's bytes, with the blank before it, and their probabilities."""
+    found = []
+
+    def go(raw, pieces_, weight):
+        if not raw:
+            found.append((pieces_, weight))
+        for n in range(1, len(raw) + 1):
+            if raw[:n] in p:
+                go(raw[n:], [*pieces_, raw[:n]], weight * p[raw[:n]])
+    go(b" " + word, [], 1.0)
+    return found
+
+
+def test_scores_against_all_segmentations(spark, monkeypatch):
+    """The whole score by brute force: pieces re-estimated over all segmentations, discounted counts, classes, ends."""
+    names = sorted(PIECES)
+    monkeypatch.setattr(lattice_lm, "vocabulary", lambda path: (names, np.array([PIECES[n] for n in names])))
+    docs = [(0, "ab bb ab", "x"), (1, "AB a", "x"), (2, "bb bb é", "y"), (3, "abab ab bbab", "y"), (4, "a b", None), (5, "", "x"), (6, None, "y"),
+            (10, "ab aab", "x"), (11, "bbbb a abab é", None), (12, "", None), (13, "ab ab ab ab bb", "y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+
+    def tokens(text):
+        return [w.encode() for w in re.findall(r"\S+", (text or "").lower())] + [None]
+    train = [(tokens(t), g or "") for i, t, g in docs if i < 10]
+    kinds = sorted({g for _, g in train})
+    counts = {g: Counter(x for t, k in train for x in t if k == g) for g in kinds}
+    both = sum(counts.values(), Counter())
+    p = dict(PIECES)
+    for _ in range(lattice_lm.ROUNDS):
+        used = Counter()
+        for word in both:
+            if word is not None:
+                cuts_ = segmented(word, p)
+                whole = sum(x for _, x in cuts_)
+                for some, x in cuts_:
+                    for piece in some:
+                        used[piece] += x / whole
+        # the pieces start anew from the file's probabilities each time, as 50 more pieces
+        size = sum(used.values())
+        p = {n: (used[n] + 50 * PIECES[n]) / (size + 50) for n in names}
+
+    def level(c):
+        once, twice = (sum(v == k for v in c.values()) for k in (1, 2))
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        total = sum(c.values())
+        return lambda token: max(c[token] - d, 0) / total, d * len(c) / total
+    seen_all, freed_all = level(both)
+
+    def score(text):
+        out = 0.0
+        for g in kinds:
+            seen, freed = level(counts[g])
+            value = (counts[g][None] + 0.5) / (both[None] + 0.5 * len(kinds))
+            for token in tokens(text):
+                back = seen_all(token) + (freed_all * sum(x for _, x in segmented(token, p)) if token is not None else 0)
+                value *= seen(token) + freed * back
+            out += value
+        return math.log10(out)
+    for head in (1000, 0):
+        got = {r.doc_id: r.score for r in scored(df, F.col("doc_id") < 10, head=head).collect()}
+        assert len(got) == len(docs)
+        for i, text, _ in docs:
+            assert np.isclose(got[i], score(text), rtol=1e-9), (i, got[i], score(text))
