@@ -134,7 +134,8 @@ def label_rows(df: DataFrame, label: str, value: str, order: str, key: str, rout
     """Route label/value rows of a table: one row per key, one column per field.
 
     The rows of a key are combined before the shuffle, so no key gathers in one task. `sep`
-    joins all values of a field in order instead of choosing one (text of one record).
+    joins all values of a field in order instead of choosing one: rows are dealt out by ranges
+    of (key, field, order), each range joins its values, and only these pieces meet by key.
     """
     name = None
     for field_name, test in routes:
@@ -142,13 +143,29 @@ def label_rows(df: DataFrame, label: str, value: str, order: str, key: str, rout
         name = F.when(hit, field_name) if name is None else name.when(hit, field_name)
     rows = df.withColumn("_field", name).where(F.col("_field").isNotNull() & (col(value) != ""))
 
+    names = list(dict.fromkeys(f for f, _ in routes))
+    if sep is not None:
+        return _joined_rows(rows, value, order, key, names, sep)
+
     def chosen(field_name):
         mine = F.col("_field") == field_name
-        if sep is not None:
-            told = F.array_sort(F.collect_list(F.when(mine, F.struct(order, value))))
-            return nonempty(F.array_join(F.transform(told, lambda x: x[value]), sep))
         return (F.min_by if keep == "first" else F.max_by)(F.when(mine, col(value)), F.when(mine, col(order)))
-    return rows.groupBy(key).agg(*[chosen(f).alias(f) for f in dict.fromkeys(f for f, _ in routes)])
+    return rows.groupBy(key).agg(*[chosen(f).alias(f) for f in names])
+
+
+def _joined_rows(rows: DataFrame, value: str, order: str, key: str, names: list[str], sep: str) -> DataFrame:
+    """One row per key: for each field its values in order, joined piece by piece.
+
+    A range holds neighbours in order, so a key of any size is cut into ranges of like size
+    and a task sorts one of them; a field's text is put together from one piece for each range.
+    """
+    def told(found: Column) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(found)), lambda x: x["_text"]), sep)
+    dealt = rows.select(F.col(key), "_field", F.col(order).alias("_order"), F.col(value).cast("string").alias("_text")).repartitionByRange(
+        key, "_field", "_order", "_text").withColumn("_range", F.spark_partition_id())
+    parts = dealt.groupBy(key, "_field", "_range").agg(told(F.struct("_order", "_text")).alias("_text"))
+    return parts.groupBy(key).agg(*[
+        nonempty(told(F.when(F.col("_field") == f, F.struct("_range", "_text")))).alias(f) for f in names])
 
 
 # --- running a layout over pages -----------------------------------------------------
