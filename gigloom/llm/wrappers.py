@@ -65,8 +65,9 @@ PARTS = set("area bar block body bottom box btn button buttons center col column
             "secondary section site slot small sticky tag text title top unit widget widgets wrap wrapper".split())
 PROSE = INLINE | set("h1 h2 h3 h4 h5 h6 p blockquote pre".split())  # a name of one of these tells of its words, not of the page
 QUALIFIERS = set("has have hide is js no not show with without".split())  # "has-sidebar" names a page's layout, not a sidebar
-LAYOUT = set("banner feedback header masthead promo promoted promotion recommended social teaser teasers toolbar widget".split())  # may name what holds the text
-OPEN = set("form header".split())  # so may these elements
+# These may name what holds the text, too.
+LAYOUT = set("banner feedback header masthead promo promoted promotion recommended social teaser teasers toolbar widget".split())
+OPEN = set("form header".split())  # elements that may
 ARTICLE_NOISE = set("ad ads advert comment comments promo promoted recommended related replies reply sponsored teaser teasers".split())
 NOISE_ROLES = set("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 LEAF = set("p h1 h2 h3 h4 h5 h6 li td th dd dt blockquote pre figcaption".split())
