@@ -7,6 +7,7 @@ from gigloom.boards.base import label_rows
 from gigloom.catalog import platforms as C
 from gigloom.catalog.expected import ENRICHED, ONE_PASS
 from gigloom.catalog.registry import AS_OF, Shape, query, table
+from gigloom.operators.keys import shuffled
 from gigloom.plans import listing as plan
 from gigloom.sources import tables as T
 
@@ -45,7 +46,7 @@ def _register_discover(name):
     def run(spark, sf):
         urls = known.df(spark, sf).where("size > 40")
         jobs = urls.select(F.explode(F.array(*[c for c in urls.columns if c != "size"])).alias("job_url"))
-        pages = C.list_pages(name).df(spark, sf).withColumnRenamed("id", "page_id")
+        pages = C.list_pages(name).df(spark, sf, deal=True).withColumnRenamed("id", "page_id")
         _, fresh = plan.discover(BOARDS[name], _board_rows(name).df(spark, sf), pages, jobs, AS_OF)
         return fresh.select("title", "job_url", "is_active", "published_date", "job_type", "location", "department")
 
@@ -55,9 +56,9 @@ def _register_status(name):
 
     @query(C._inline(f"SELECT CAST(id AS VARCHAR) AS ats_website_id, CASE WHEN {lonely} THEN 'failed' ELSE 'success' END AS status FROM part", C.PARTS), f"runs_{name}")
     def run(spark, sf):
-        pages = C.list_pages(name).df(spark, sf).withColumnRenamed("id", "page_id")
+        pages = C.list_pages(name).df(spark, sf, deal=True).withColumnRenamed("id", "page_id")
         sizes = table(spark, sf, "part").selectExpr("p_partkey AS page_id", "CASE WHEN p_size % 7 = 0 THEN 404 ELSE 200 END AS status")
-        scrapes, _ = plan.discover(BOARDS[name], _board_rows(name).df(spark, sf), pages.join(sizes, "page_id"),
+        scrapes, _ = plan.discover(BOARDS[name], _board_rows(name).df(spark, sf), pages.join(shuffled(sizes), "page_id"),
                                    table(spark, sf, "part").selectExpr("p_name AS job_url"), AS_OF)
         return scrapes.select("ats_website_id", "status")
 
@@ -77,7 +78,7 @@ KINDED = Shape("part", id="p_partkey", url=f"concat('{C.SITE}/list/', CAST(p_par
 @query(f"""SELECT page_id, title, job_url FROM ({C.cards_sql('zoho', {'page_id': 'page_id', 'size': 'size', 'title': 'title', 'job_url': 'job_url'})}) WHERE size % 4 <> 0
     UNION ALL SELECT p_partkey, p_brand, '{C.SITE}/r/' || p_partkey FROM part WHERE p_size % 4 = 0""")
 def capture_fallback(spark, sf):
-    p = KINDED.df(spark, sf)
+    p = KINDED.df(spark, sf, deal=True)
     pages = p.select(F.col("id").alias("page_id"), "url", F.explode(F.array(
         F.struct(F.lit("static").alias("kind"), F.col("static").alias("html")),
         F.struct(F.lit("rendered").alias("kind"), F.col("rendered").alias("html")))).alias("k")).select("page_id", "url", "k.*")
@@ -231,7 +232,7 @@ def _register_once(name):
     @query(_once_sql(name), f"once_{name}")
     def run(spark, sf):
         details = told.df(spark, sf)
-        pages = C.list_pages(name).df(spark, sf).withColumnRenamed("id", "page_id").unionByName(
+        pages = C.list_pages(name).df(spark, sf, deal=True).withColumnRenamed("id", "page_id").unionByName(
             details.where("size % 5 <> 0").drop("size"))
         known = details.where("size % 11 = 0").select(F.col("url").alias("job_url"))
         return plan.once(board, companies.df(spark, sf), pages, known, AS_OF).select(*ONCE_COLS)

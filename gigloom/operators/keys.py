@@ -44,6 +44,15 @@ def row_bin(df: DataFrame, keys, bins: int) -> Column:
     return F.pmod(F.xxhash64(*others), F.lit(bins)) if others else F.lit(0).cast("bigint")
 
 
+def shuffled(lookup: DataFrame) -> DataFrame:
+    """The lookup side of a join that meets its rows by a shuffle and never goes through the driver.
+
+    Spark judges a scan by the size of its files: addresses and other built texts don't count, so millions of rows
+    from a small file would be taken for a small table and gathered in the driver.
+    """
+    return lookup.hint("merge")
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", distinct: bool = False,
                 salts: int = 1, spread_by=None) -> DataFrame:
     """Equi-join on key columns that no single key can hold up.
@@ -65,7 +74,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, keys, how: str = "left", disti
     right = lookup.select("*", bins.alias("_bin"))
     if distinct:
         right = right.dropDuplicates([*keys, "_bin"])
-    return left.join(right, [*keys, "_bin"], how).drop("_bin")
+    return left.join(shuffled(right), [*keys, "_bin"], how).drop("_bin")
 
 
 def computed(df: DataFrame, value: Column, to: str, test) -> DataFrame:

@@ -7,7 +7,8 @@ from gigloom.functions import fixed_values as V
 from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
 from gigloom.functions.text import code_name, first_of, let, nonempty, strip, urls_in
-from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, pick_first, reason_counts, salts_of, skip_reasons)
+from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, pick_first, reason_counts, salts_of, shuffled,
+                                   skip_reasons)
 from gigloom.session import settled, spread
 from gigloom.sources import pages as P
 from gigloom.sources.tables import pending
@@ -62,7 +63,7 @@ def judged(candidates: DataFrame, pages: DataFrame, landed: DataFrame, known: Da
     held = settled(lookup_join(candidates.withColumn("_key", urls.key("url")), landed, "_key", "left_semi", spread_by=["list_id"]))
     fresh = held.select("_key").distinct()
     if known is not None:
-        fresh = fresh.join(known.select("_key"), "_key", "left_anti")
+        fresh = fresh.join(shuffled(known.select("_key")), "_key", "left_anti")
     facts = page_facts(P.captures(pages, fresh, address=urls.key))
     facts = facts.withColumn("_key", urls.key("url")).select("_key", "next", "confidence", "reason")
     facts = settled(dedupe(facts, ["_key"], ["confidence", "reason"]))
@@ -91,12 +92,12 @@ def search(sites: DataFrame, pages: DataFrame, max_depth: int = 2) -> DataFrame:
     every = level.select("list_id", urls.key("url").alias("_key"))
     facts, hits = judged(guesses(sites, 0).unionByName(crawled(level, 0)), pages, landed)
     for depth in range(1, max_depth + 1):
-        done = hits.where("stage < 2").select("list_id").distinct()
+        done = shuffled(hits.where("stage < 2").select("list_id").distinct())
         here = lookup_join(level.join(done, "list_id", "left_anti").withColumn("_key", urls.key("url")),
                            facts.select("_key", "next"), "_key", "inner", spread_by=["list_id"], salts=salts_of(level))
         reached = here.select("list_id", "rank", F.posexplode("next").alias("pos", "url")).select(
             "list_id", "url", urls.key("url").alias("_key"), F.concat("rank", F.array("pos")).alias("rank"))
-        reached = dedupe(reached, ["list_id", "_key"], ["rank"], "first").join(every, ["list_id", "_key"], "left_anti")
+        reached = dedupe(reached, ["list_id", "_key"], ["rank"], "first").join(shuffled(every), ["list_id", "_key"], "left_anti")
         level = spread(settled(reached.select("list_id", "url", "rank")))
         every = every.union(level.select("list_id", urls.key("url")))
         candidates = crawled(level, depth)
@@ -121,7 +122,7 @@ def find_careers(input_list: DataFrame, companies: DataFrame, pages: DataFrame,
 
     open_rows = rows.where(~F.col("known"))
     hits = search(open_rows.select("list_id", "base"), pages)
-    told = rows.join(hits, "list_id", "left")
+    told = rows.join(shuffled(hits), "list_id", "left")
     now = moment(as_of)
     fresh = told.where(F.col("careers_url").isNotNull()).select(
         F.sha2(F.concat_ws("|", "list_id", "homepage"), 256).alias("id"), now.alias("created_at"), now.alias("updated_at"),

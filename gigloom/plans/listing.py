@@ -9,7 +9,7 @@ from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
 from gigloom.functions.numbers import experience
 from gigloom.functions.text import nonblank
-from gigloom.operators.keys import computed, dedupe, lookup_join, new_only, salts_of
+from gigloom.operators.keys import computed, dedupe, lookup_join, new_only, salts_of, shuffled
 from gigloom.operators.merge import enrich, patch, upsert
 from gigloom.session import settled
 from gigloom.sources import pages as P
@@ -78,7 +78,7 @@ def discover(board: Board, boards: DataFrame, pages: DataFrame, jobs: DataFrame,
                       .withColumn("is_active", F.lit(True)), T.SCHEMAS["jobs"])
     counts = found.groupBy("scrape_id").agg(F.count("*").alias("n"))
     ok = F.coalesce(F.col("n"), F.lit(0)) > 0 if board.strict else F.lit(True)
-    scrapes = runs.join(counts, "scrape_id", "left").select(
+    scrapes = runs.join(shuffled(counts), "scrape_id", "left").select(
         F.col("scrape_id").alias("id"), "ats_website_id", F.when(ok, "success").otherwise("failed").alias("status"),
         now.alias("created_at"), now.alias("updated_at"), now.alias("finished_at"))
     return scrapes, fresh
@@ -89,7 +89,7 @@ def board_status(boards: DataFrame, postings: DataFrame, key: str, strict: bool)
     counts = postings.groupBy(key).agg(F.count("*").alias("n"))
     n = F.coalesce(F.col("n"), F.lit(0))
     status = F.when(n > 0, "success").otherwise("failed") if strict else F.lit("success")
-    return boards.join(counts, key, "left").withColumn("n", n).withColumn("status", status)
+    return boards.join(shuffled(counts), key, "left").withColumn("n", n).withColumn("status", status)
 
 
 def enrich_pending(board: Board, jobs: DataFrame, scrapes: DataFrame, ats_website: DataFrame, pages: DataFrame,

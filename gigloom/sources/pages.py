@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, Struc
 
 from gigloom.functions import urls
 from gigloom.functions.text import col, let, strip
+from gigloom.operators.keys import shuffled
 from gigloom.session import bounded_batches, spread
 from gigloom.sources.markup import Flat
 
@@ -210,7 +211,7 @@ def captures(pages: DataFrame, wanted: DataFrame, at: str = "url", address=lambd
     chosen pages only. Without a page_id all captures count.
     """
     rows = fetched(pages)
-    held = wanted.toDF("_key").where(F.col("_key").isNotNull()).distinct()
+    held = shuffled(wanted.toDF("_key").where(F.col("_key").isNotNull()).distinct())
     if "page_id" not in rows.columns:
         return rows.withColumn("_key", address(at)).join(held, "_key", "left_semi").select(*rows.columns)
     variant = [c for c in ("url", "kind", "page_ord") if c in rows.columns and (c != "url" or at != "url")]
@@ -219,7 +220,7 @@ def captures(pages: DataFrame, wanted: DataFrame, at: str = "url", address=lambd
     chosen = narrow.groupBy("_key", *variant).agg(F.max(F.struct(*order)).alias("_c")).select(
         *[F.col(c).alias(f"_{c}") for c in variant], *[F.col("_c")[c].alias(f"_{c}") for c in order])
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*variant, *order] if c != "page_id"]
-    return rows.join(chosen, [F.col("page_id") == F.col("_page_id"), *same], "left_semi")
+    return rows.join(shuffled(chosen), [F.col("page_id") == F.col("_page_id"), *same], "left_semi")
 
 
 def with_nodes(pages: DataFrame, markup: str = "html", to: str = "dom") -> DataFrame:
