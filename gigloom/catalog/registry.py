@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gigloom.session import spread
+from gigloom.session import dealt_out
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -27,8 +27,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def dealt(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table for costly expressions, dealt out where the session says so."""
-    return spread(table(spark, sf, name))
+    """A table for costly expressions, dealt out over the tasks of a shuffle where its files make fewer."""
+    return dealt_out(table(spark, sf, name))
 
 
 class Shape:

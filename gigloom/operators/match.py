@@ -125,17 +125,27 @@ def cosine(a, b) -> Column:
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
+def spellable(text, canon, threshold: float) -> Column:
+    """Entries (name, size, order) whose length alone lets them reach the threshold: an edit distance is at least the difference."""
+    names = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(name)).alias("size"), F.lit(-i).alias("order")) for i, name in enumerate(canon)])
+    return let(F.length(text), lambda size: F.filter(
+        names, lambda n: _spelled(F.abs(size - n["size"]), size, n["size"]) >= threshold))
+
+
+def _spelled(edits, size, other) -> Column:
+    longest = F.greatest(size, other)
+    return F.when(longest > 0, 1 - edits / longest).otherwise(0.0)
+
+
 def closest_spelling(c, canon, threshold: float = 0.85) -> Column:
     """Best of a short fixed list by edit similarity, null below the threshold.
 
-    The list travels in the plan, so this is a projection; ties go to the earlier entry.
+    The list travels in the plan, so this is a projection; ties go to the earlier entry. The text is built once, and only
+    entries of a length near its own are compared.
     """
-    text = col(c)
-    names = F.array(*[F.lit(name) for name in canon])
-
-    def similarity(name):
-        longest = F.greatest(F.length(text), F.length(name))
-        return F.when(longest > 0, 1 - F.levenshtein(text, name) / longest).otherwise(0.0)
+    def scored(text):
+        return F.transform(spellable(text, canon, threshold), lambda n: F.struct(
+            _spelled(F.levenshtein(text, n["name"]), F.length(text), n["size"]).alias("score"), n["order"].alias("order"), n["name"].alias("name")))
 
-    scored = F.transform(names, lambda n, i: F.struct(similarity(n).alias("score"), (-i).alias("order"), n.alias("name")))
-    return let(F.array_max(scored), lambda b: F.when(b["score"] >= threshold, b["name"]))
+    best = let(col(c), lambda text: F.array_max(scored(text)))
+    return let(best, lambda b: F.when(b["score"] >= threshold, b["name"]))

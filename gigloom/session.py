@@ -91,3 +91,15 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """
     n = partitions or int(df.sparkSession.conf.get("spark.gigloom.partitions", "0"))
     return df.repartition(n) if n else df
+
+
+def dealt_out(scan: DataFrame) -> DataFrame:
+    """A scan whose rows cost far more than their bytes, over as many tasks as a shuffle has at least.
+
+    Splits follow the bytes of a file, and small rows that are built into pages come in few of them. A scan of more splits
+    stays as it is. spark.gigloom.partitions goes first where it is set.
+    """
+    if int(scan.sparkSession.conf.get("spark.gigloom.partitions", "0")):
+        return spread(scan)
+    tasks = int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scan.repartition(tasks) if scan.rdd.getNumPartitions() < tasks else scan
