@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gigloom.functions.text import col
+from gigloom.session import settled
 
 BUCKET = 100_000  # positions that one window goes over
 
@@ -18,8 +19,10 @@ def gaps(spans: DataFrame, keys: list[str], start="start", stop="stop", total="t
     tells each bucket how far the earlier ones reach. So no task holds more than a bucket's distinct starts or a key's buckets.
     """
     rows = spans.select(*keys, F.greatest(col(start).cast("long"), F.lit(0).cast("long")).alias("_a"), col(stop).cast("long").alias("_b"), col(total).cast("long").alias("total"))
-    totals = rows.groupBy(*keys).agg(F.max("total").alias("total")).where("total is not null")
-    pieces = rows.where("_b > _a").groupBy(*keys, "_a").agg(F.max("_b").alias("_b")).withColumn("_bucket", F.expr(f"_a div {bucket}"))
+    # what is landed is read once: costly spans, as those of parsed bodies are, go into one file of distinct starts
+    starts = settled(rows.groupBy(*keys, "_a").agg(F.max(F.when(F.col("_b") > F.col("_a"), F.col("_b"))).alias("_b"), F.max("total").alias("total")))
+    totals = starts.groupBy(*keys).agg(F.max("total").alias("total")).where("total is not null")
+    pieces = starts.where("_b is not null").select(*keys, "_a", "_b", F.expr(f"_a div {bucket}").alias("_bucket"))
     reached = pieces.groupBy(*keys, "_bucket").agg(F.max("_b").alias("_top"))
     same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
     named = [F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]
