@@ -197,7 +197,7 @@ def detail_sql(name, cols=DOCS, source="documents"):
 def _register_list(name):
     @query(cards_sql(name, {"page_id": "page_id", "card_pos": "card_pos", **{f: f for f in LISTED}}), f"list_{name}")
     def run(spark, sf):
-        pages = list_pages(name).df(spark, sf).withColumnRenamed("id", "page_id")
+        pages = list_pages(name).df(spark, sf, deal=True).withColumnRenamed("id", "page_id")
         return listed(pages, BOARDS[name].listing).drop("url")
 
 

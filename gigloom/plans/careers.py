@@ -7,8 +7,8 @@ from gigloom.functions import fixed_values as V
 from gigloom.functions import rules, urls
 from gigloom.functions.dates import moment
 from gigloom.functions.text import code_name, first_of, let, nonempty, strip, urls_in
-from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, pick_first, reason_counts, salts_of, shuffled,
-                                   skip_reasons)
+from gigloom.operators.keys import (dedupe, is_set, known_by_any, lookup_join, partitions, pick_first, reason_counts, salts_of,
+                                   shuffled, skip_reasons)
 from gigloom.session import settled, spread
 from gigloom.sources import pages as P
 from gigloom.sources.tables import pending
@@ -41,10 +41,10 @@ def page_facts(pages: DataFrame) -> DataFrame:
 
 
 def guesses(sites: DataFrame, stage: int, careers: bool = False) -> DataFrame:
-    """Direct path candidates of each site, ranked in path order."""
+    """Direct path candidates of each site, ranked in path order; a site gives many, so sites are dealt over a shuffle's tasks."""
     paths = F.array(*[F.lit(p) for p in urls.path_guesses()])
     root = urls.careers_host("base") if careers else F.col("base")
-    return spread(sites).select("list_id", root.alias("root"), F.posexplode(paths).alias("pos", "path")).select(
+    return spread(sites, partitions(sites)).select("list_id", root.alias("root"), F.posexplode(paths).alias("pos", "path")).select(
         "list_id", F.concat("root", "path").alias("url"), F.lit(stage).alias("stage"),
         F.array("pos").alias("rank"), F.lit("direct").alias("how"))
 

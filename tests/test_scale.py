@@ -4,7 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from gigloom.boards import BOARDS
+from gigloom.catalog.registry import dealt
+from gigloom.functions import fixed_values as V
 from gigloom.operators import keys as K
+from gigloom.operators.coverage import gaps
+from gigloom.operators.match import closest_spelling, spellable
 from gigloom.plans import listing
 from gigloom.sources import pages as P
 
@@ -40,3 +44,49 @@ def test_a_run_sends_no_board_through_the_driver(spark, landed):
     scrapes, fresh = listing.discover(BOARDS["keka"], boards, landed, landed.select(F.col("url").alias("job_url")), "2024-06-15 12:00:00")
     assert "Broadcast" not in planned(scrapes) and "Broadcast" not in planned(fresh)
     assert (scrapes.count(), fresh.count()) == (300, 0)
+
+
+def test_spellings_are_compared_with_entries_of_like_length(spark):
+    texts = ["Enginering", "Human Resorces", "Solar", "", None, "Operations / Strateg", "é" * 12]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    left = df.select(F.size(spellable(F.col("t"), V.LONG_DEPARTMENTS, 0.85))).collect()
+    assert all(r[0] < len(V.LONG_DEPARTMENTS) / 3 for r in left)
+
+    def best(t, threshold):
+        """Of all entries, without leaving any out."""
+        def edits(a, b):
+            row = list(range(len(b) + 1))
+            for i, x in enumerate(a, 1):
+                row, old = [i], row
+                for j, y in enumerate(b, 1):
+                    row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+            return row[-1]
+        score = [(1 - edits(t, n) / max(len(t), len(n)), -i) for i, n in enumerate(V.LONG_DEPARTMENTS)] if t is not None else [(-1, 0)]
+        top = max(score)
+        return V.LONG_DEPARTMENTS[-top[1]] if top[0] >= threshold else None
+    for threshold in (0.0, 0.3, 0.85, 1.0):
+        got = [r[0] for r in df.select(closest_spelling("t", V.LONG_DEPARTMENTS, threshold)).collect()]
+        assert got == [best(t, threshold) for t in texts]
+
+
+def test_small_rows_of_few_splits_are_dealt_out(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert dealt(spark, str(tmp_path), "part").rdd.getNumPartitions() == K.partitions(spark.range(1))
+    assert dealt(spark, str(tmp_path), "part").count() == 1000
+    spark.range(1000).repartition(9).write.parquet(f"{tmp_path}/many.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(2**28))
+    try:
+        assert "Exchange" not in planned(dealt(spark, str(tmp_path), "many"))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_gaps_read_the_landed_spans_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        read.add(1)
+        return i
+    spans = spark.range(40).select(F.lit("s").alias("k"), F.udf(seen, "long")("id").alias("start"), (F.col("id") + 1).alias("stop"), F.lit(50).alias("total"))
+    assert [tuple(r) for r in gaps(spans, ["k"]).collect()] == [("s", 50, 40, 50)]
+    assert read.value == 40
