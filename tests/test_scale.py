@@ -46,6 +46,21 @@ def test_a_run_sends_no_board_through_the_driver(spark, landed):
     assert (scrapes.count(), fresh.count()) == (300, 0)
 
 
+@pytest.mark.parametrize("name", list(BOARDS))
+def test_whole_runs_send_no_rows_through_the_driver(spark, landed, monkeypatch, name):
+    """With nothing written in between, so that the plan shows every join of the run."""
+    monkeypatch.setattr(listing, "settled", lambda df: df)
+    board, known = BOARDS[name], landed.select(F.col("url").alias("job_url"))
+    boards = landed.select(F.col("page_id").cast("string").alias("id"), F.lit(board.ats).alias("ats_name"), F.col("url").alias("ats_url"))
+    companies = landed.select(F.col("page_id").cast("string").alias("id"), F.lit("c").alias("company_name"),
+                              F.lit(board.ats_once or board.ats).alias("ats_detected"), F.col("url").alias("jobs_page_url"))
+    scrapes, fresh = listing.discover(board, boards, landed, known, "2024-06-15 12:00:00")
+    once = listing.once(board, companies, landed, known, "2024-06-15 12:00:00")
+    assert "Broadcast" not in planned(scrapes)
+    for plan in (planned(fresh), planned(once)):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_spellings_are_compared_with_entries_of_like_length(spark):
     texts = ["Enginering", "Human Resorces", "Solar", "", None, "Operations / Strateg", "é" * 12]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
