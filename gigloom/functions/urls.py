@@ -22,8 +22,16 @@ def base(c) -> Column:
 def key(c) -> Column:
     """What two spellings of one address share: host in lower case, no fragment, no trailing slash."""
     host = r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
-    return let(F.regexp_replace(F.regexp_replace(strip(col(c)), "#.*$", ""), "/+$", ""), lambda u: F.concat(
-        F.lower(F.regexp_extract(u, host, 1)), F.regexp_replace(u, host, "")))
+
+    # patterns are matched only where they would change something: most addresses are passed on as they are
+    def cut(t):
+        bare = F.regexp_replace(F.regexp_replace(t, "#.*$", ""), "/+$", "")
+        return F.when(t.contains("#") | t.endswith("/"), bare).otherwise(t)
+
+    def lowered(u):
+        return F.when(u == F.lower(u), u).otherwise(F.concat(F.lower(F.regexp_extract(u, host, 1)), F.regexp_replace(u, host, "")))
+
+    return let(strip(col(c)), lambda t: let(cut(t), lowered))
 
 
 def origin(c) -> Column:

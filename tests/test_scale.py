@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from gigloom.boards import BOARDS
 from gigloom.catalog.registry import dealt
 from gigloom.functions import fixed_values as V
+from gigloom.functions import urls
+from gigloom.functions.text import strip
 from gigloom.operators import keys as K
 from gigloom.operators.coverage import gaps
 from gigloom.operators.match import closest_spelling, spellable
@@ -105,3 +107,16 @@ def test_gaps_read_the_landed_spans_once(spark):
     spans = spark.range(40).select(F.lit("s").alias("k"), F.udf(seen, "long")("id").alias("start"), (F.col("id") + 1).alias("stop"), F.lit(50).alias("total"))
     assert [tuple(r) for r in gaps(spans, ["k"]).collect()] == [("s", 50, 40, 50)]
     assert read.value == 40
+
+
+def test_addresses_without_capitals_fragment_or_slash_pass_no_pattern(spark):
+    """What the patterns give, but they are matched only where they would change something."""
+    host = r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
+    texts = ["https://a.example.com/jobs", "https://A.Example.com/Jobs", " https://a.b/x// ", "https://a.b/x/#y/", "https://a.b/\n#f", "#f", "/", "", None,
+             "HTTP://É.b/É", "İ://x", " https://a.b/\u0085", "https://a.b?Q#", "a/\r\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "u string")
+    bare = F.regexp_replace(F.regexp_replace(strip("u"), "#.*$", ""), "/+$", "")
+    every = F.concat(F.lower(F.regexp_extract(bare, host, 1)), F.regexp_replace(bare, host, ""))
+    for got, wanted in df.select(urls.key("u"), every).collect():
+        assert got == wanted
+    assert planned(df.select(urls.key("u"))).count("CASE WHEN") >= 2
