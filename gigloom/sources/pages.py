@@ -37,11 +37,18 @@ NODES = ArrayType(StructType(
 def _as_structs(pos, last, up, tag, attrs, text) -> pa.StructArray:
     cls, at, keys, values = [], [0], [], []
     for pairs in attrs:
-        own = {k: v or "" for k, v in reversed(pairs)}  # the first of repeated attributes counts
-        classes = own.get("class")
+        classes = None
+        if len(pairs) == 1:
+            key, value = pairs[0]
+            keys.append(key)
+            values.append(value or "")
+            classes = value if key == "class" else None
+        elif pairs:
+            own = {k: v or "" for k, v in reversed(pairs)}  # the first of repeated attributes counts
+            classes = own.get("class")
+            keys.extend(own)
+            values.extend(own.values())
         cls.append(f" {' '.join(classes.split())} " if classes else None)
-        keys.extend(own)
-        values.extend(own.values())
         at.append(len(keys))
     held = pa.MapArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
     ints = [pa.array(x, pa.int32()) for x in (pos, last, up)]

@@ -1,5 +1,6 @@
 """Markup to nodes, selection, text, and layouts with missing parts."""
 
+import cProfile
 import time
 
 import pytest
@@ -138,3 +139,19 @@ def test_attributes():
 def test_unclosed_anchors_do_not_nest():
     flat = Flat().read("<p><a href=1>one<a href=2>two<p><a href=3><div>three</div></a>")
     assert [flat.last[i] - i for i, t in enumerate(flat.tag) if t == "a"][:2] == [1, 1]
+
+
+@pytest.mark.parametrize(("markup", "want"), [
+    ("a<b x=1 y='2>c", ["a"]), ("a<b x=\"1\" ' y=2>c", ["a", "c"]), ("a<b x = >c", ["a", "c"]), ("1 < 2<b>3</b x>4", ["1 < 2", "3", "4"]),
+    ("a<b/ /x='>'/>c</b", ["a", "c"]), ("a</b", ["a"]), ("<a b=c'd e=\"f\"g>h", ["h"]), ("a<b x=y\"z>c", ["a", "c"]),
+])
+def test_tags_end_where_their_attributes_do(markup, want):
+    assert [t for t in Flat().read(markup).text if t] == want
+
+
+def test_a_tag_takes_few_calls():
+    """A page of short tags costs calls, not characters: each tag is one match."""
+    page = "<ul>" + "<li class='x y'><a href='/j/1'><b>t</b></a></li>" * 200 + "</ul>"
+    calls = cProfile.Profile()
+    calls.runcall(Flat().read, page)
+    assert sum(entry.callcount for entry in calls.getstats()) < 20 * page.count("<")
