@@ -10,14 +10,14 @@ from gigloom.sources.pages import attr_at, child, data_at, each, el, pick, text_
 
 def listing(dom, url, keep=None):
     def group(role):
-        department = text_at(role, el("div", **{"class": "role-title"}), child(el("h5")))
-
-        def job(a):
-            place = location_and_type(text_at(a, el("div", **{"class": "location-info"})))
-            return posting(title=text_at(a, el("div", **{"class": "job-title"})),
-                           job_url=urls.absolute(url, F.get(a, F.lit(0))["attrs"]["href"]), department=department,
-                           location=place["location"], job_type=rules.job_type(place["job_type"], underscores=True))
-        return F.transform(each(role, el("a", cls_has="heading")), job)
+        def job(a, department):
+            # what a card says of its place is read once for all that is taken from it
+            return let(location_and_type(text_at(a, el("div", **{"class": "location-info"}))), lambda place: posting(
+                title=text_at(a, el("div", **{"class": "job-title"})),
+                job_url=urls.absolute(url, F.get(a, F.lit(0))["attrs"]["href"]), department=department,
+                location=place["location"], job_type=rules.job_type(place["job_type"], underscores=True)))
+        return let(text_at(role, el("div", **{"class": "role-title"}), child(el("h5"))), lambda department: F.transform(
+            each(role, el("a", cls_has="heading")), lambda a: job(a, department)))
 
     jobs = F.flatten(F.transform(each(dom, el("li", data_portal_role=True)), group))
     ready = F.size(pick(dom, el("div", data_portal_id="jobs_list"))) > 0

@@ -155,3 +155,10 @@ def test_a_tag_takes_few_calls():
     calls = cProfile.Profile()
     calls.runcall(Flat().read, page)
     assert sum(entry.callcount for entry in calls.getstats()) < 20 * page.count("<")
+
+
+def test_what_a_freshteam_card_says_is_read_once(spark):
+    """The place and the job type stand in one element, the department in its role's heading."""
+    pages = spark.createDataFrame([(1, "https://x.com/", "")], "page_id long, url string, html string")
+    plan = listed(pages, BOARDS["freshteam"].listing)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("location-info") == plan.count("role-title") > 0
